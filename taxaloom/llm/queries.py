@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from taxaloom.llm import quality
-from taxaloom.llm.common import descriptions, ensure, table
+from pyspark.sql import functions as F
+
+from taxaloom.llm import canonical, quality
+from taxaloom.llm.common import checkpoint, descriptions, ensure, table
 
 
 def p1_statistics(spark, sf_dir):
@@ -18,6 +20,24 @@ def p1_found(spark, sf_dir):
     return d.where("verdict <> 'prose'").select("rec_id", "locale").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_statistics": p1_statistics}
+def _names(spark, sf_dir):
+    """name_rows and the English names of species_records as (key, scientific_name, locale, name)."""
+    rows = table(ensure(spark), sf_dir, "name_rows").select(F.col("name_id").alias("key"), "scientific_name", "locale", F.col("common_name").alias("name"))
+    own = table(spark, sf_dir, "species_records").select(F.col("rec_id").alias("key"), "scientific_name", F.lit("en").alias("locale"), F.col("common_name").alias("name"))
+    return rows.unionByName(own)
+
+
+def p4_found(spark, sf_dir):
+    """Pairs of names of one species and locale that look the same but differ in characters."""
+    return canonical.same_look_pairs(_names(spark, sf_dir), materialise=checkpoint)
+
+
+def p4_forms(spark, sf_dir):
+    """Every name, also of the maps of species_records, in its common form."""
+    maps = table(ensure(spark), sf_dir, "species_records").select(F.col("rec_id").alias("key"), "scientific_name", F.explode("common_names").alias("locale", "name"))
+    return canonical.with_form(_names(spark, sf_dir).unionByName(maps), "name", "form")
+
+
+QUERIES = {"p4_found": p4_found, "p4_forms": p4_forms, "p1_found": p1_found, "p1_statistics": p1_statistics}
 
 ORACLE: dict[str, str] = {}
