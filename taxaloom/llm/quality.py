@@ -52,13 +52,13 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
             "_tokens": F.expr(rf"filter(split(lower({t}), '[^\\p{{L}}]+'), w -> w <> '')"),
             "_lines": F.expr(rf"filter(split({t}, '\\n'), l -> trim(l) <> '')"),
             "_pieces": F.expr(
-                rf"regexp_extract_all(regexp_replace({t}, '\\n(?=\\p{{L}})', ' '), '[^\\n.!?。！？]++[.!?。！？]', 0)"
+                rf"regexp_extract_all(regexp_replace({t}, '\\n(?=\\p{{L}})', ' '), '[^\\n.!?。！？]++[.!?。！？]?+', 0)"
             ),
             "_cjk": F.expr(_count(t, r"[\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{ac00}-\\x{d7af}]")),
         }
     )
-    piece_ok = rf"""(p -> (size(filter(split(lower(p), '[^\\p{{L}}]+'), w -> w in ({common})))
-          >= 0.12 * size(split(p, '(?U)\\s+')) and length(p) >= 15 and {_count('p', r'[;|/»>·•=]')} <= 2)
+    piece_ok = rf"""(p -> right(p, 1) in ('.', '!', '?', '。', '！', '？') and (size(filter(split(lower(p), '[^\\p{{L}}]+'), w -> w in ({common})))
+          >= 0.12 * size(split(p, '(?U)\\s+')) and length(p) >= 15 and {_count('p', r'[;|/»>·•=]')} <= 2
           or {_count('p', r'[\\x{3040}-\\x{309f}]')} >= 0.25 * length(p))"""
     d = d.withColumns(
         {
@@ -212,3 +212,13 @@ def assess(df: DataFrame, text: str = "text") -> DataFrame:
     d = with_statistics(df, text)
     blank = rf"trim(regexp_replace(`{text}`, '(?U)\\s+', '')) = ''"
     return d.withColumn("verdict", F.expr(f"case when `{text}` is null then null when {blank} then 'prose' else {verdict_sql()} end"))
+
+
+def flagged(assessed: DataFrame) -> DataFrame:
+    """The rows of `assess` that aren't prose.
+
+    The verdict passes through a generator first: a plain filter on it would be pushed below the
+    projections and have every statistic evaluated once for each test that names it.
+    """
+    held = assessed.withColumn("verdict", F.explode(F.array("verdict")))
+    return held.where("verdict <> 'prose'")

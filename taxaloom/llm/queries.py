@@ -17,7 +17,7 @@ def p1_statistics(spark, sf_dir):
 def p1_found(spark, sf_dir):
     """Entries whose verdict is list, table or junk."""
     d = quality.assess(descriptions(table(ensure(spark), sf_dir, "species_records")))
-    return d.where("verdict <> 'prose'").select("rec_id", "locale").distinct()
+    return quality.flagged(d).select("rec_id", "locale").distinct()
 
 
 def _names(spark, sf_dir):
