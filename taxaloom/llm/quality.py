@@ -57,8 +57,9 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
             "_cjk": F.expr(_count(t, r"[\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{ac00}-\\x{d7af}]")),
         }
     )
-    piece_ok = rf"""(p -> right(p, 1) in ('.', '!', '?', '。', '！', '？') and (size(filter(split(lower(p), '[^\\p{{L}}]+'), w -> w in ({common})))
-          >= 0.12 * size(split(p, '(?U)\\s+')) and length(p) >= 15 and {_count('p', r'[;|/»>·•=]')} <= 2
+    piece_ok = rf"""p -> right(p, 1) in ('.', '!', '?', '。', '！', '？') and (
+          (size(filter(split(lower(p), '[^\\p{{L}}]+'), w -> w in ({common}))) >= 0.12 * size(split(p, '(?U)\\s+'))
+           and length(p) >= 15 and {_count('p', r'[;|/»>·•=]')} <= 2)
           or {_count('p', r'[\\x{3040}-\\x{309f}]')} >= 0.25 * length(p))"""
     d = d.withColumns(
         {
