@@ -215,11 +215,20 @@ def assess(df: DataFrame, text: str = "text") -> DataFrame:
     return d.withColumn("verdict", F.expr(f"case when `{text}` is null then null when {blank} then 'prose' else {verdict_sql()} end"))
 
 
-def flagged(assessed: DataFrame) -> DataFrame:
-    """The rows of `assess` that aren't prose.
+def _held(assessed: DataFrame) -> DataFrame:
+    """Pass the verdict through a generator.
 
-    The verdict passes through a generator first: a plain filter on it would be pushed below the
-    projections and have every statistic evaluated once for each test that names it.
+    A plain filter on it would be pushed below the projections and have every statistic evaluated
+    once for each test that names it.
     """
-    held = assessed.withColumn("verdict", F.explode(F.array("verdict")))
-    return held.where("verdict <> 'prose'")
+    return assessed.withColumn("verdict", F.explode(F.array("verdict")))
+
+
+def flagged(assessed: DataFrame) -> DataFrame:
+    """The rows of `assess` that aren't prose."""
+    return _held(assessed).where("verdict <> 'prose'")
+
+
+def prose(assessed: DataFrame) -> DataFrame:
+    """The rows of `assess` that are prose."""
+    return _held(assessed).where("verdict = 'prose'")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from taxaloom.llm import canonical, quality
+from taxaloom.llm import canonical, langid, quality
 from taxaloom.llm.common import checkpoint, descriptions, ensure, table
 
 
@@ -38,6 +38,31 @@ def p4_forms(spark, sf_dir):
     return canonical.with_form(_names(spark, sf_dir).unionByName(maps), "name", "form")
 
 
-QUERIES = {"p4_found": p4_found, "p4_forms": p4_forms, "p1_found": p1_found, "p1_statistics": p1_statistics}
+def _prose(spark, sf_dir):
+    return quality.prose(quality.assess(descriptions(table(ensure(spark), sf_dir, "species_records")))).select("rec_id", "locale", "text", "text_source")
+
+
+def p6_found(spark, sf_dir):
+    """Languages other than the label's in which a description or one of its sentences is written."""
+    return langid.other_languages(_prose(spark, sf_dir), ["rec_id", "locale"]).distinct()
+
+
+def p6_languages(spark, sf_dir):
+    """The language of each description with its confidence."""
+    return langid.document_languages(descriptions(table(ensure(spark), sf_dir, "species_records")), ["rec_id", "locale"])
+
+
+def p6_segments(spark, sf_dir):
+    """Each segment of each description with its language and confidence."""
+    d = langid.with_segments(descriptions(table(ensure(spark), sf_dir, "species_records")).select("rec_id", "locale", "text"))
+    return d.select("rec_id", "locale", F.posexplode("segments").alias("segment", "s")).select("rec_id", "locale", "segment", "s.*")
+
+
+QUERIES = {
+    "p6_found": p6_found,
+    "p6_languages": p6_languages,
+    "p6_segments": p6_segments,
+    "p4_found": p4_found, "p4_forms": p4_forms, "p1_found": p1_found, "p1_statistics": p1_statistics,
+}
 
 ORACLE: dict[str, str] = {}
