@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from taxaloom.llm import canonical, langid, quality
+from taxaloom.llm import canonical, langid, quality, truncation
 from taxaloom.llm.common import checkpoint, descriptions, ensure, table
 
 
@@ -58,7 +58,25 @@ def p6_segments(spark, sf_dir):
     return d.select("rec_id", "locale", F.posexplode("segments").alias("segment", "s")).select("rec_id", "locale", "segment", "s.*")
 
 
+def _only_prose(d):
+    return quality.prose(quality.assess(d)).drop(*quality.FEATURES, "verdict")
+
+
+def p5_found(spark, sf_dir):
+    """Descriptions that were cut off mid-word or mid-sentence."""
+    d = descriptions(table(ensure(spark), sf_dir, "species_records"))
+    return truncation.cut_entries(d, ["rec_id", "locale"], _only_prose).where("cut").select("rec_id", "locale").distinct()
+
+
+def p5_sources(spark, sf_dir):
+    """Share of cut entries of each source."""
+    d = descriptions(table(ensure(spark), sf_dir, "species_records"))
+    return truncation.source_report(d, truncation.cut_entries(d, ["rec_id", "locale"], _only_prose))
+
+
 QUERIES = {
+    "p5_found": p5_found,
+    "p5_sources": p5_sources,
     "p6_found": p6_found,
     "p6_languages": p6_languages,
     "p6_segments": p6_segments,
