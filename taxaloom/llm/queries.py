@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from taxaloom.llm import canonical, langid, quality, truncation
+from taxaloom.llm import canonical, langid, leakage, quality, truncation
 from taxaloom.llm.common import checkpoint, descriptions, ensure, table
 
 
@@ -74,7 +74,19 @@ def p5_sources(spark, sf_dir):
     return truncation.source_report(d, truncation.cut_entries(d, ["rec_id", "locale"], _only_prose))
 
 
+def p7_leaks(spark, sf_dir):
+    """Items found in documents, with matching words, span and coverage of the item."""
+    return leakage.find_leaks(table(ensure(spark), sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p7_found(spark, sf_dir):
+    """(item, document) of every leaked passage."""
+    return p7_leaks(spark, sf_dir).select("item_id", "doc_id").distinct()
+
+
 QUERIES = {
+    "p7_found": p7_found,
+    "p7_leaks": p7_leaks,
     "p5_found": p5_found,
     "p5_sources": p5_sources,
     "p6_found": p6_found,
