@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from taxaloom.llm import canonical, langid, leakage, quality, truncation
+from taxaloom.llm import canonical, langid, leakage, mixing, quality, reading, truncation
 from taxaloom.llm.common import checkpoint, descriptions, ensure, table
 
 
@@ -84,7 +84,40 @@ def p7_found(spark, sf_dir):
     return p7_leaks(spark, sf_dir).select("item_id", "doc_id").distinct()
 
 
+def p8_mix(spark, sf_dir):
+    """Documents of each mix with the number of times each is used."""
+    prepared = mixing.prepare(table(ensure(spark), sf_dir, "documents"), materialise=checkpoint)
+    return mixing.mix(prepared, table(spark, sf_dir, "mix_targets"))
+
+
+def p8_shares(spark, sf_dir):
+    """Shares reached by each source of each mix."""
+    return mixing.shares(p8_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_levels(spark, sf_dir):
+    """Reading level of every document."""
+    d = table(ensure(spark), sf_dir, "documents")
+    return reading.with_level(d.select("doc_id", "text"), reading.fit_on(d, table(spark, sf_dir, "reading_labels"))).select("doc_id", "reading_score", "reading_level")
+
+
+def p9_profile(spark, sf_dir):
+    """Documents of each source and language by reading level."""
+    d = table(ensure(spark), sf_dir, "documents").select("doc_id", "source", "lang")
+    return d.join(p9_levels(spark, sf_dir), "doc_id").groupBy("source", "lang", "reading_level").agg(F.count("*").alias("documents"))
+
+
+def p9_found(spark, sf_dir):
+    """Documents of reading level 4."""
+    return p9_levels(spark, sf_dir).where("reading_level = 4").select("doc_id").distinct()
+
+
 QUERIES = {
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_levels": p9_levels,
+    "p9_profile": p9_profile,
     "p7_found": p7_found,
     "p7_leaks": p7_leaks,
     "p5_found": p5_found,
