@@ -65,13 +65,13 @@ def _only_prose(d):
 def p5_found(spark, sf_dir):
     """Descriptions that were cut off mid-word or mid-sentence."""
     d = descriptions(table(ensure(spark), sf_dir, "species_records"))
-    return truncation.cut_entries(d, ["rec_id", "locale"], _only_prose).where("cut").select("rec_id", "locale").distinct()
+    return truncation.cut_entries(d, ["rec_id", "locale"], _only_prose, materialise=checkpoint).where("cut").select("rec_id", "locale").distinct()
 
 
 def p5_sources(spark, sf_dir):
     """Share of cut entries of each source."""
     d = descriptions(table(ensure(spark), sf_dir, "species_records"))
-    return truncation.source_report(d, truncation.cut_entries(d, ["rec_id", "locale"], _only_prose))
+    return truncation.source_report(d, truncation.cut_entries(d, ["rec_id", "locale"], _only_prose, materialise=checkpoint))
 
 
 def p7_leaks(spark, sf_dir):

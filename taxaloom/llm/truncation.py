@@ -201,17 +201,20 @@ def verdict(least: float = 0.3) -> str:
         else true end"""
 
 
-def cut_entries(entries: DataFrame, key: list[str], keep_prose, text: str = "text", source: str = "text_source") -> DataFrame:
-    """The entries that were cut, with their source: (key, source).
+def cut_entries(entries: DataFrame, key: list[str], keep_prose, text: str = "text", source: str = "text_source", materialise=None) -> DataFrame:
+    """The suspects with their findings, baselines, source and the verdict `cut`.
 
-    `keep_prose` drops those suspects that aren't prose (see `quality`).
+    `keep_prose` drops those suspects that aren't prose (see `quality`). `materialise` cuts the
+    lineage after the automaton, so that it runs over the texts once; only suspects are kept.
     """
     d = spread(entries.select(*key, text, source))
-    a = with_analysis(d, text).select(*key, text, F.coalesce(source, F.lit("")).alias("_source"), "analysis.*")
-    piles = a.where("not closed and not marked and not broken").groupBy("_source", "size").agg(F.count("*").alias("_here"))
+    a = with_analysis(d, text).select(*key, text, F.coalesce(source, F.lit("")).alias("_source"), "analysis.*").where("not closed")
+    if materialise:
+        a = materialise(a)
+    piles = a.where("not marked and not broken").groupBy("_source", "size").agg(F.count("*").alias("_here"))
     of = piles.groupBy("_source").agg(F.sum("_here").alias("_all"))
     limits = piles.join(of, "_source").where("_here >= 5 and _here >= 0.08 * _all and size >= 100").select("_source", "size", F.lit(True).alias("at_limit"))
-    s = keep_prose(a.where("not closed and words > 0"))
+    s = keep_prose(a.where("words > 0"))
     s = s.drop(text).withColumn("_id", F.xxhash64(*key, "size", "_source"))
     kinds = F.explode(F.expr("""array(struct('p' as k, xxhash64(keys[0]) as key), struct('2' as k, xxhash64(keys[1]) as key), struct('m' as k, xxhash64(keys[2]) as key),
         struct('1' as k, xxhash64(keys[3]) as key), struct('s' as k, xxhash64(start) as key))"""))
