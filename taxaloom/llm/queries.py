@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from taxaloom.llm import canonical, langid, leakage, mixing, quality, reading, truncation
+from taxaloom.llm import canonical, langid, leakage, matching, mixing, quality, reading, truncation
 from taxaloom.llm.common import checkpoint, descriptions, ensure, table
 
 
@@ -112,7 +112,18 @@ def p9_found(spark, sf_dir):
     return p9_levels(spark, sf_dir).where("reading_level = 4").select("doc_id").distinct()
 
 
+def p3_matches(spark, sf_dir):
+    """Pairs of rows of species_records and xc_species that describe one species, with a confidence."""
+    return matching.match(table(ensure(spark), sf_dir, "species_records"), table(spark, sf_dir, "xc_species"), materialise=checkpoint)
+
+
+def p3_found(spark, sf_dir):
+    return p3_matches(spark, sf_dir).select("rec_id", "xc_id").distinct()
+
+
 QUERIES = {
+    "p3_found": p3_found,
+    "p3_matches": p3_matches,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
     "p9_found": p9_found,
