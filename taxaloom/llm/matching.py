@@ -181,7 +181,7 @@ def assign(scored: DataFrame, least: float = LEAST, rounds: int = 12, eps: float
     In each round every free listing bids for the species with the best confidence less price; a
     species goes to its highest bid, whose amount becomes its price. Rounds end when no bid
     changes anything; a listing whose best net value is gone stays free. Free listings whose best
-    species fits them within 0.12 of its holder then follow the holder.
+    species fits them nearly as well as its holder (within 0.35) then follow the holder.
     """
     keep = materialise or checkpoint
     e = keep(scored.where(F.col("confidence") >= least).select("unit", "scientific_name", "confidence"))
@@ -207,7 +207,7 @@ def assign(scored: DataFrame, least: float = LEAST, rounds: int = 12, eps: float
     primary = keep(free_plain.unionByName(held) if held is not None else free_plain)
     rest = e.join(primary.select("unit"), "unit", "left_anti")
     best = rest.groupBy("unit").agg(F.max_by("scientific_name", F.struct("confidence", "scientific_name")).alias("scientific_name"), F.max("confidence").alias("confidence"))
-    follow = best.join(primary.select("scientific_name", F.col("confidence").alias("_c")), "scientific_name").where("confidence >= _c - 0.2").drop("_c")
+    follow = best.join(primary.select("scientific_name", F.col("confidence").alias("_c")), "scientific_name").where("confidence >= _c - 0.35").drop("_c")
     return primary.withColumn("role", F.lit("assigned")).unionByName(follow.select("unit", "scientific_name", "confidence").withColumn("role", F.lit("repeated")))
 
 
