@@ -102,7 +102,7 @@ def species_units(records: DataFrame) -> DataFrame:
     """One row per scientific name: names, aliases, English and local names of its latest filled row."""
     d = records.where(F.col("scientific_name").isNotNull() & (F.trim("scientific_name") != ""))
     latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("received_at", "rec_id"))).alias(c)
-    g = d.groupBy("scientific_name").agg(*[latest(c) for c in ("common_name", "common_name_alt", "common_names", "scientific_name_aliases", "xc_name", "taxon_group")])
+    g = d.groupBy("scientific_name").agg(*[latest(c) for c in ("common_name", "common_name_alt", "common_names", "scientific_name_aliases", "xc_name", "taxon_group")], F.min("rec_id").alias("sid"))
     names = F.array_distinct(
         F.filter(
             F.concat(F.array(scientific("scientific_name"), scientific("xc_name")), F.coalesce(F.transform("scientific_name_aliases", scientific), F.array().cast("array<string>"))),
@@ -111,19 +111,20 @@ def species_units(records: DataFrame) -> DataFrame:
     )
     own = F.array_distinct(F.filter(F.array(english("common_name"), english("common_name_alt"), fold(F.element_at("common_names", F.lit("en")))), lambda x: x.isNotNull()))
     local = F.transform(F.map_entries("common_names"), lambda e: F.struct(e["key"].alias("locale"), fold(e["value"]).alias("name")))
-    return g.select("scientific_name", names.alias("names"), own.alias("english"), F.coalesce(local, F.array().cast("array<struct<locale:string,name:string>>")).alias("local"), F.col("taxon_group").alias("grp"))
+    return g.select("sid", "scientific_name", names.alias("names"), own.alias("english"), F.coalesce(local, F.array().cast("array<struct<locale:string,name:string>>")).alias("local"), F.col("taxon_group").alias("grp"))
 
 
 def listing_units(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(units, xc_id -> unit): distinct folded listings and the rows that share each."""
+    """(units, xc_id -> unit): distinct folded listings, named by their least id, and the rows that share each."""
     pairs = F.create_map(*[F.lit(x) for kv in GROUPS.items() for x in kv])
     d = listings.select(
         "xc_id", scientific("xc_name").alias("x"), english("english_name").alias("e"),
         F.when(fold("local_name").isNotNull(), F.col("local_locale")).alias("ll"), fold("local_name").alias("l"),
         pairs[F.regexp_replace(F.lower("group_label"), "[^a-z]", "")].alias("grp"),
     )
-    d = d.withColumn("unit", F.sha2(F.to_json(F.struct("x", "e", "ll", "l", "grp")), 256)).where("x is not null or e is not null or l is not null")
-    return d.drop("xc_id").dropDuplicates(["unit"]), d.select("xc_id", "unit")
+    d = d.withColumn("_h", F.sha2(F.to_json(F.struct("x", "e", "ll", "l", "grp")), 256)).where("x is not null or e is not null or l is not null")
+    units = d.groupBy("_h").agg(F.min("xc_id").alias("unit"), *[F.first(c).alias(c) for c in ("x", "e", "ll", "l", "grp")])
+    return units.drop("_h"), d.select("xc_id", "_h").join(units.select("_h", "unit"), "_h").select("xc_id", "unit")
 
 
 def _keys(x: Column, e: Column) -> list[Column]:
@@ -137,13 +138,13 @@ def _keys(x: Column, e: Column) -> list[Column]:
 
 
 def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, buckets: int | None = None) -> DataFrame:
-    """(unit, scientific_name): pairs that stand within `window` rows of each other under some sort key."""
+    """(unit, sid): pairs that stand within `window` rows of each other under some sort key."""
     sk = F.concat(
         F.flatten(F.transform("names", lambda n: F.array(*_keys(n, F.lit(None).cast("string"))[:2]))),
         F.flatten(F.transform("english", lambda e: F.array(*_keys(F.lit(None).cast("string"), e)[2:]))),
         F.transform("local", lambda p: F.concat(F.lit("5"), p["locale"], F.lit(" "), p["name"])),
     )
-    s = species.select(F.col("scientific_name").alias("id"), F.lit(True).alias("is_s"), F.explode(F.array_distinct(sk)).alias("k"))
+    s = species.select(F.col("sid").alias("id"), F.lit(True).alias("is_s"), F.explode(F.array_distinct(sk)).alias("k"))
     xk = F.array(*_keys(F.col("x"), F.col("e")), F.concat(F.lit("5"), F.col("ll"), F.lit(" "), F.col("l")))
     x = listings.select(F.col("unit").alias("id"), F.lit(False).alias("is_s"), F.explode(xk).alias("k"))
     d = s.unionByName(x).where("k is not null")
@@ -158,17 +159,19 @@ def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, bu
     w = f"partition by b.h, b.n, substr(k, 1, 1) order by k, id rows between {window} preceding and {window} following"
     near = F.expr(f"collect_list(case when is_s then id end) over ({w})")
     d = d.withColumn("near", F.when(~F.col("is_s"), near))
-    return d.where("not is_s").select(F.col("id").alias("unit"), F.explode("near").alias("scientific_name")).distinct()
+    return d.where("not is_s").select(F.col("id").alias("unit"), F.explode("near").alias("sid")).distinct()
 
 
 def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame) -> DataFrame:
     """The field similarities and the confidence of each pair."""
-    d = pairs.join(species.withColumnRenamed("grp", "sgrp"), "scientific_name").join(listings, "unit")
+    d = pairs.join(species.withColumnRenamed("grp", "sgrp"), "sid").join(listings, "unit")
     sci = F.array_max(F.transform("names", lambda n: _name_similarity(F.col("x"), n)))
     eng = F.array_max(F.transform("english", lambda n: _close(F.col("e"), n, 4, 0.25)))
     loc = F.array_max(F.transform(F.filter("local", lambda p: p["locale"] == F.col("ll")), lambda p: _close(F.col("l"), p["name"], 3, 0.2)))
     grp = F.when(F.col("grp").isNull() | F.col("sgrp").isNull(), None).otherwise((F.col("grp") == F.col("sgrp")).cast("double"))
-    d = d.select("unit", "scientific_name", sci.alias("sci"), eng.alias("eng"), loc.alias("loc"), grp.alias("grp"), F.expr("exists(names, n -> n = x)").alias("exact"))
+    fields = F.struct(sci.alias("sci"), eng.alias("eng"), loc.alias("loc"), grp.alias("grp"), F.expr("exists(names, n -> n = x)").alias("exact"))
+    # Through a generator, so that a filter on the confidence doesn't evaluate the similarities again for each use.
+    d = d.select("unit", "sid", F.inline(F.array(fields)))
     top = sum(F.coalesce(F.col(c), F.lit(0.0)) * w for c, w in WEIGHTS.items())
     under = sum(F.when(F.col(c).isNotNull(), w).otherwise(0.0) for c, w in WEIGHTS.items())
     mean = F.when(under > 0, top / under).otherwise(0.0)
@@ -176,7 +179,7 @@ def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame) -> DataFr
 
 
 def assign(scored: DataFrame, least: float = LEAST, rounds: int = 12, eps: float = 0.002, materialise=None) -> DataFrame:
-    """(unit, scientific_name, confidence, role): a one-to-one assignment by auction, and what follows it.
+    """(unit, sid, confidence, role): a one-to-one assignment by auction, and what follows it.
 
     In each round every free listing bids for the species with the best confidence less price; a
     species goes to its highest bid, whose amount becomes its price. Rounds end when no bid
@@ -184,31 +187,31 @@ def assign(scored: DataFrame, least: float = LEAST, rounds: int = 12, eps: float
     species fits them nearly as well as its holder (within 0.35) then follow the holder.
     """
     keep = materialise or checkpoint
-    e = keep(scored.where(F.col("confidence") >= least).select("unit", "scientific_name", "confidence"))
+    e = keep(scored.where(F.col("confidence") >= least).select("unit", "sid", "confidence"))
     multi = e.groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit")
-    contested = e.join(multi, "unit", "left_semi").select("scientific_name").distinct()
+    contested = e.join(multi, "unit", "left_semi").select("sid").distinct()
     plain = e.join(multi, "unit", "left_anti")
-    best_plain = plain.groupBy("scientific_name").agg(F.max_by("unit", F.struct("confidence", "unit")).alias("unit"), F.max("confidence").alias("confidence"))
-    g = keep(e.join(contested, "scientific_name", "left_semi"))
+    best_plain = plain.groupBy("sid").agg(F.max_by("unit", F.struct("confidence", "unit")).alias("unit"), F.max("confidence").alias("confidence"))
+    g = keep(e.join(contested, "sid", "left_semi"))
     held = None
     if not g.isEmpty():
-        holders = keep(g.select("scientific_name").distinct().select("scientific_name", F.lit(None).cast("string").alias("unit"), F.lit(0.0).alias("price")))
+        holders = keep(g.select("sid").distinct().select("sid", F.lit(None).cast("bigint").alias("unit"), F.lit(0.0).alias("price")))
         for _ in range(rounds):
-            free = g.join(holders.where("unit is not null").select("unit"), "unit", "left_anti").join(holders.select("scientific_name", "price"), "scientific_name")
+            free = g.join(holders.where("unit is not null").select("unit"), "unit", "left_anti").join(holders.select("sid", "price"), "sid")
             net = free.withColumn("net", F.col("confidence") - F.col("price")).where(F.col("net") > 0)
-            bids = net.groupBy("unit").agg(F.max_by("scientific_name", F.struct("net", "scientific_name")).alias("scientific_name"), F.sort_array(F.collect_list("net"), asc=False).alias("nets"), F.max_by("price", F.struct("net", "scientific_name")).alias("price"))
-            bids = bids.select("unit", "scientific_name", (F.col("price") + F.col("nets")[0] - F.greatest(F.coalesce(F.get("nets", 1), F.lit(0.0)), F.lit(0.0)) + eps).alias("bid"))
-            won = keep(bids.groupBy("scientific_name").agg(F.max_by("unit", F.struct("bid", "unit")).alias("new"), F.max("bid").alias("bid")))
+            bids = net.groupBy("unit").agg(F.max_by("sid", F.struct("net", "sid")).alias("sid"), F.sort_array(F.collect_list("net"), asc=False).alias("nets"), F.max_by("price", F.struct("net", "sid")).alias("price"))
+            bids = bids.select("unit", "sid", (F.col("price") + F.col("nets")[0] - F.greatest(F.coalesce(F.get("nets", 1), F.lit(0.0)), F.lit(0.0)) + eps).alias("bid"))
+            won = keep(bids.groupBy("sid").agg(F.max_by("unit", F.struct("bid", "unit")).alias("new"), F.max("bid").alias("bid")))
             if won.isEmpty():
                 break
-            holders = keep(holders.join(won, "scientific_name", "left").select("scientific_name", F.coalesce("new", "unit").alias("unit"), F.coalesce("bid", "price").alias("price")))
-        held = holders.where("unit is not null").join(e, ["unit", "scientific_name"]).select("unit", "scientific_name", "confidence")
-    free_plain = best_plain.join(contested, "scientific_name", "left_anti").select("unit", "scientific_name", "confidence")
+            holders = keep(holders.join(won, "sid", "left").select("sid", F.coalesce("new", "unit").alias("unit"), F.coalesce("bid", "price").alias("price")))
+        held = holders.where("unit is not null").join(e, ["unit", "sid"]).select("unit", "sid", "confidence")
+    free_plain = best_plain.join(contested, "sid", "left_anti").select("unit", "sid", "confidence")
     primary = keep(free_plain.unionByName(held) if held is not None else free_plain)
     rest = e.join(primary.select("unit"), "unit", "left_anti")
-    best = rest.groupBy("unit").agg(F.max_by("scientific_name", F.struct("confidence", "scientific_name")).alias("scientific_name"), F.max("confidence").alias("confidence"))
-    follow = best.join(primary.select("scientific_name", F.col("confidence").alias("_c")), "scientific_name").where("confidence >= _c - 0.35").drop("_c")
-    return primary.withColumn("role", F.lit("assigned")).unionByName(follow.select("unit", "scientific_name", "confidence").withColumn("role", F.lit("repeated")))
+    best = rest.groupBy("unit").agg(F.max_by("sid", F.struct("confidence", "sid")).alias("sid"), F.max("confidence").alias("confidence"))
+    follow = best.join(primary.select("sid", F.col("confidence").alias("_c")), "sid").where("confidence >= _c - 0.35").drop("_c")
+    return primary.withColumn("role", F.lit("assigned")).unionByName(follow.select("unit", "sid", "confidence").withColumn("role", F.lit("repeated")))
 
 
 def match(records: DataFrame, listings: DataFrame, least: float = LEAST, materialise=None) -> DataFrame:
@@ -219,4 +222,5 @@ def match(records: DataFrame, listings: DataFrame, least: float = LEAST, materia
     x = keep(x)
     scored = compare(neighbours(s, x), s, x)
     a = assign(scored, least, materialise=keep)
+    a = a.join(s.select("sid", "scientific_name"), "sid")
     return records.select("rec_id", "scientific_name").join(a, "scientific_name").join(rows, "unit").select("rec_id", "xc_id", "confidence", "role")
