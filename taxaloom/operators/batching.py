@@ -112,7 +112,8 @@ def greedy_batches(df: DataFrame, group: list[str], ord_: str, item: str, fits:
     e = d.groupBy("g", "p").applyInPandas(ends, "g string, p int, n bigint, head string, ends string")
     s = e.groupBy("g").applyInPandas(scan, "g string, p int, first bigint, begun bigint")
     b = d.join(s, ["g", "p"]).groupBy("g", "p").applyInPandas(number, f"g string, o {otype}, b bigint")
-    return df.withColumn("_g", gid).join(b, (F.col("_g") == F.col("g")) & (F.col(ord_) == F.col("o"))).drop("_g", "g", "o").withColumnRenamed("b", to)
+    b = b.toDF("__g", "__o", "__b")
+    return df.withColumn("__group", gid).join(b, (F.col("__group") == F.col("__g")) & (F.col(ord_) == F.col("__o"))).drop("__group", "__g", "__o", to).withColumnRenamed("__b", to)
 
 
 def by_signature(df: DataFrame, signature: str, ord_: str, text: str, budget: int, most: int, most_chars: int) -> DataFrame:

@@ -44,10 +44,11 @@ def reduce_lines(lines: DataFrame) -> DataFrame:
 def merge(state: DataFrame, new: DataFrame) -> DataFrame:
     """Earlier entries prevail; fallback marks follow the entries that were taken."""
     n = new.select("scientific_name", F.col("extracts").alias("_e"), F.col("fallback_locales").alias("_f"))
-    d = state.join(n, "scientific_name", "full_outer")
+    d = state.withColumnsRenamed({"extracts": "_oe", "fallback_locales": "_of"}).join(n, "scientific_name", "full_outer")
     none = F.array().cast("array<string>")
-    taken = F.filter(F.coalesce("_f", none), lambda x: ~F.array_contains(F.coalesce(F.map_keys("extracts"), none), x))
-    return d.select("scientific_name", maps.fill("extracts", "_e").alias("extracts"), F.array_sort(F.array_union(F.coalesce("fallback_locales", none), taken)).alias("fallback_locales"))
+    d = d.withColumn("_known", F.coalesce(F.map_keys("_oe"), none))
+    taken = F.array_except(F.coalesce("_f", none), F.col("_known"))
+    return d.select("scientific_name", maps.fill("_oe", "_e").alias("extracts"), F.array_sort(F.array_union(F.coalesce("_of", none), taken)).alias("fallback_locales"))
 
 
 def write_state(df: DataFrame, folder: str, version: str) -> None:
