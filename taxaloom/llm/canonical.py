@@ -70,9 +70,8 @@ def form_sql(column: str) -> str:
 
 
 def with_form(df: DataFrame, text: str, to: str = "form") -> DataFrame:
-    """Add the common form of a text column; the other columns pass through DuckDB untouched."""
-    if to in df.columns:
-        raise ValueError(f"the table already has a column {to}")
+    """Add the common form of a text column (in place of one of that name); other columns pass through untouched."""
+    df = df.drop(to)
     schema = StructType([*df.schema.fields, StructField(to, StringType())])
     sql = f'select *, {form_sql(_ident(text))} as {_ident(to)} from batch'
 

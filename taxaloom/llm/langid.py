@@ -37,7 +37,8 @@ MIN_LETTERS = 12
 #: Windows scored at once; bounds a worker's memory to some 40 MB.
 CHUNK = 512
 
-_QUOTED = re.compile(r"“[^”]*”|«[^»]*»|„[^“”]*[“”]|\"[^\"\n]*\"|「[^」]*」|『[^』]*』|[‘‚][^’‘]*[’‘](?!\w)")
+#: Quoted words: pairs of quotes with a short stretch between them.
+_QUOTED = re.compile(r"“[^“”]{1,90}”|«[^«»]{1,90}»|„[^“”]{1,90}[“”]|\"[^\"\n]{1,90}\"|「[^「」]{1,40}」|『[^『』]{1,40}』")
 _ASIDE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|<[^<>]*>|https?://\S+")
 _BREAK = re.compile(r"(?<=[.!?…])[\"”»’)\]]*\s+|(?<=[。！？])|\n\s*\n|\n(?=\s*(?:[-*•·–]|\(?\d{1,3}[.)])\s)")
 _NAME = re.compile(r"\b[A-Z][a-z]{3,} [a-z]{4,}(?:us|is|ys|um|ensis|ops|eps|ons|tus|ula|uda|ris|ens|ipes|ollis|otus|orsum|enter)\b")
@@ -48,10 +49,11 @@ def segments(text: str | None) -> list[tuple[int, int, str]]:
     if not text:
         return []
     out = []
+    text = _QUOTED.sub(lambda m: " " * len(m.group()), text)
     cuts = [m for m in _BREAK.finditer(text)]
     for start, end in zip([0, *(m.end() for m in cuts)], [*(m.start() for m in cuts), len(text)]):
         body = text[start:end]
-        clean = _NAME.sub(" ", _ASIDE.sub(" ", _QUOTED.sub(" ", body)))
+        clean = _NAME.sub(" ", _ASIDE.sub(" ", body))
         clean = re.sub(r"\d+", "0", re.sub(r"\s+", " ", clean)).strip().lower()
         letters = sum(c.isalpha() for c in clean)
         if letters >= MIN_LETTERS or letters >= 5 and re.search(r"[぀-ヿ一-鿿]", clean):

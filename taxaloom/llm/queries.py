@@ -139,4 +139,13 @@ QUERIES = {
     "p4_found": p4_found, "p4_forms": p4_forms, "p1_found": p1_found, "p1_statistics": p1_statistics,
 }
 
-ORACLE: dict[str, str] = {}
+_NAMES = """(select name_id as key, scientific_name, locale, common_name as name from name_rows
+    union all select rec_id, scientific_name, 'en', common_name from species_records)"""
+_FORMS = f"(select *, {canonical.form_sql('name')} as form from {_NAMES})"
+
+#: Twins where SQL can say the same; the other operators are tested against brute force or held-out cases.
+ORACLE: dict[str, str] = {
+    "p4_found": f"""select distinct a.key as key_a, b.key as key_b from {_FORMS} a join {_FORMS} b on a.scientific_name = b.scientific_name and a.locale = b.locale and a.form = b.form
+        where a.key < b.key and a.name <> b.name and a.form <> ''""",
+    "p4_forms": f"""select * from {_FORMS} union all select rec_id, scientific_name, e.key, e.value, {canonical.form_sql('e.value')} from (select rec_id, scientific_name, unnest(map_entries(common_names)) as e from species_records)""",
+}
