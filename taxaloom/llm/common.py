@@ -33,7 +33,7 @@ def load_model(name: str) -> dict:
 
 def descriptions(records: DataFrame) -> DataFrame:
     """(rec_id, locale, text, text_source): one row per entry of `descriptions`, null maps giving none."""
-    return records.select(
+    return spread(records.select("rec_id", "description_sources", "descriptions")).select(
         "rec_id",
         F.col("description_sources").alias("_sources"),
         F.explode("descriptions").alias("locale", "text"),

@@ -29,8 +29,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.llm.common import spread
-
 #: Brackets and quotes that pair.
 PAIRS = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«", "」": "「", "』": "『", "）": "（"}
 _OPEN = set(PAIRS.values())
@@ -43,6 +41,8 @@ _MARK = re.compile(
 )
 _BROKEN = re.compile(r"(?:&(?:[A-Za-z]{1,8}|#\d{0,5}|#x[0-9A-Fa-f]{0,4})(?:;(?:[A-Za-z]{1,6}|#\d*)?)?|&|\\u[0-9A-Fa-f]{0,3}|\\x[0-9A-Fa-f]?|\\|%[0-9A-Fa-f]?|(?:%[0-9A-Fa-f]{2})+|�+|[\ud800-\udfff]|[ÃÂÐÑ])$")
 _ENTITY_WHOLE = re.compile(r"&(?:[A-Za-z]{2,8}|#\d{2,5}|#x[0-9A-Fa-f]{2,4});$")
+#: Characters at the end of a text in which marks, breaks and terminators are sought.
+_TAIL = 80
 _END = re.compile(r"(?<=[.!?…])[\"”»’)\]]*(?:\s*\[\d+\])*\s+|(?<=[。！？])(?:\[\d+\])*\s*|\n\s*\n|\n(?=\s*(?:[-*•·–]|\(?\d{1,3}[.)])\s)")
 _WORD = re.compile(r"[぀-ヿ一-鿿々ー]|[^\W_]+(?:['’-][^\W_]+)*")
 _CJK = re.compile(r"[぀-ヿ一-鿿]")
@@ -100,11 +100,12 @@ def analyse(text: str | None) -> dict:
     out = {"closed": True, "marked": False, "broken": False, "open": False, "size": len(body), "alone": False, "hanging": False, "words": 0, "keys": [], "start": None}
     if not body:
         return out
-    mark = _MARK.search(body)
+    at = max(0, len(body) - _TAIL)
+    mark = _MARK.search(body, at)
     marked = mark is not None and mark.group().strip() != "" and mark.start() > 0
     core = body[: mark.start()].rstrip() if marked else body
-    hit = _BROKEN.search(core)
-    broken = hit is not None and not _ENTITY_WHOLE.search(core) and (hit.group() not in ("%",) or not core[-2:-1].isdigit())
+    hit = _BROKEN.search(core, max(0, len(core) - _TAIL))
+    broken = hit is not None and not _ENTITY_WHOLE.search(core, max(0, len(core) - _TAIL)) and (hit.group() not in ("%",) or not core[-2:-1].isdigit())
     if broken:
         core = core[: hit.start()].rstrip()
     stack = automaton(core)
@@ -112,8 +113,8 @@ def analyse(text: str | None) -> dict:
         broken, core = True, re.sub(r"<[^<>]*$", "", core).rstrip()
     elif core.endswith(("(", "[", "“", "«", "„", "<")):
         broken, core = True, core[:-1].rstrip()
-    hyphen = bool(re.search(r"[^\W\d_][-‐]$", core))
-    closed = bool(_CLOSED.search(core)) and not hyphen
+    hyphen = core.endswith(("-", "‐")) and core[-2:-1].isalpha()
+    closed = bool(_CLOSED.search(core, max(0, len(core) - _TAIL))) and not hyphen
     out |= {"closed": closed, "marked": marked, "broken": broken or hyphen, "open": bool(stack) and not closed, "size": len(text or "")}
     if not closed:
         parts = _sentences(core)
@@ -124,35 +125,37 @@ def analyse(text: str | None) -> dict:
     return out
 
 
-def count_contexts(texts: list[str | None]) -> Counter:
-    """(key -> [times seen, times at a closed end]) over texts, as two counters in one."""
+def count_contexts(texts: list[str | None]) -> tuple[Counter, Counter]:
+    """How often each context key is seen, and how often at the end of a closed sentence."""
     seen: Counter = Counter()
+    ended: Counter = Counter()
     for t in texts:
         body = (t or "").rstrip()
         if not body:
             continue
-        parts = _sentences(body)
-        for i, s in enumerate(parts):
+        keys: list[str] = []
+        for s in _sentences(body):
             words = _WORD.findall(s)
             if not words:
                 continue
-            closed = bool(_CLOSED.search(s.rstrip()))
+            s = s.rstrip()
+            closed = _CLOSED.search(s, max(0, len(s) - _TAIL)) is not None
             st = _start(words)
-            seen[st, 0] += 1
-            seen[st, 1] += closed
             low = ["0" if w[0].isdigit() else w.lower() for w in words]
             mask = [_masked(w) for w in words]
-            n = len(words)
-            for j in range(n):
-                if j == n - 1 and not closed:
-                    break
-                end = j == n - 1
-                two = " ".join(mask[max(0, j - 1) : j + 1])
-                for key in (f"p {st} {two}", "2 " + " ".join(low[max(0, j - 1) : j + 1]), "m " + two, "1 " + low[j]):
-                    seen[key, 0] += 1
-                    if end:
-                        seen[key, 1] += 1
-    return seen
+            two, both = [mask[0], *map(" ".join, zip(mask, mask[1:]))], [low[0], *map(" ".join, zip(low, low[1:]))]
+            p = f"p {st} "
+            if closed:
+                ended.update((st, p + two[-1], "2 " + both[-1], "m " + two[-1], "1 " + low[-1]))
+            else:
+                two, both, low = two[:-1], both[:-1], low[:-1]
+            keys.append(st)
+            keys += [p + x for x in two]
+            keys += ["2 " + x for x in both]
+            keys += ["m " + x for x in two]
+            keys += ["1 " + x for x in low]
+        seen.update(keys)
+    return seen, ended
 
 
 _ANALYSIS = "closed boolean, marked boolean, broken boolean, open boolean, size bigint, alone boolean, hanging boolean, words bigint, keys array<string>, start string"
@@ -177,10 +180,9 @@ def contexts(df: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            c = count_contexts(b[text].tolist())
-            keys = [k for k, which in c if which == 0]
-            if keys:
-                yield pd.DataFrame({"context": keys, "seen": [c[k, 0] for k in keys], "ended": [c[k, 1] for k in keys]})
+            seen, ended = count_contexts(b[text].tolist())
+            if seen:
+                yield pd.DataFrame({"context": list(seen), "seen": list(seen.values()), "ended": [ended[k] for k in seen]})
 
     rows = df.select(text).mapInPandas(run, "context string, seen bigint, ended bigint")
     return rows.select(F.xxhash64("context").alias("key"), "seen", "ended").groupBy("key").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"))
@@ -207,7 +209,7 @@ def cut_entries(entries: DataFrame, key: list[str], keep_prose, text: str = "tex
     `keep_prose` drops those suspects that aren't prose (see `quality`). `materialise` cuts the
     lineage after the automaton, so that it runs over the texts once; only suspects are kept.
     """
-    d = spread(entries.select(*key, text, source))
+    d = entries.select(*key, text, source)
     a = with_analysis(d, text).select(*key, text, F.coalesce(source, F.lit("")).alias("_source"), "analysis.*").where("not closed")
     if materialise:
         a = materialise(a)
