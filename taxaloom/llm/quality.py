@@ -45,29 +45,23 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     t = f"`{text}`"
     common = _in_list()
     end = r"[.!?…。！？][\"”»’\\)\\]\\d\\[]*$"
-    d = df.withColumns(
-        {
-            "_t": F.expr(t),
-            "_words": F.expr(rf"filter(split({t}, '(?U)\\s+'), w -> w <> '')"),
-            "_tokens": F.expr(rf"filter(split(lower({t}), '[^\\p{{L}}]+'), w -> w <> '')"),
-            "_lines": F.expr(rf"filter(split({t}, '\\n'), l -> trim(l) <> '')"),
-            "_pieces": F.expr(
-                rf"regexp_extract_all(regexp_replace({t}, '\\n(?=\\p{{L}})', ' '), '[^\\n.!?。！？]++[.!?。！？]?+', 0)"
-            ),
-            "_cjk": F.expr(_count(t, r"[\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{ac00}-\\x{d7af}]")),
-        }
-    )
-    piece_ok = rf"""p -> right(p, 1) in ('.', '!', '?', '。', '！', '？') and (
+    piece_ok = rf"""p -> right(p, 1) in ('.', '!', '?') and (
           (size(filter(split(lower(p), '[^\\p{{L}}]+'), w -> w in ({common}))) >= 0.12 * size(split(p, '(?U)\\s+'))
            and length(p) >= 15 and {_count('p', r'[;|/»>·•=]')} <= 2)
           or {_count('p', r'[\\x{3040}-\\x{309f}]')} >= 0.25 * length(p))"""
-    d = d.withColumns(
-        {
-            "_n": F.expr("greatest(length(_t), 1)"),
-            "word_count": F.expr("cast(size(_words) + floor(_cjk / 2) as bigint)"),
-            "_sentences": F.expr(f"filter(_pieces, {piece_ok})"),
-        }
-    )
+    # Full-width terminators become plain ones first: a class of Latin characters alone is matched much faster.
+    pieces = rf"regexp_extract_all(translate(regexp_replace({t}, '\\n(?=\\p{{L}})', ' '), '。！？', '.!?'), '[^\\n.!?]++[.!?]?+', 0)"
+    parts = {
+        "_words": rf"filter(split({t}, '(?U)\\s+'), w -> w <> '')",
+        "_tokens": rf"filter(split(lower({t}), '[^\\p{{L}}]+'), w -> w <> '')",
+        "_lines": rf"filter(split({t}, '\\n'), l -> trim(l) <> '')",
+        "_sentences": f"filter({pieces}, {piece_ok})",
+        "_cjk": _count(t, r"[\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{ac00}-\\x{d7af}]"),
+    }
+    # The parts pass through a generator, so that no statistic that uses one computes it again.
+    d = df.withColumn("_b", F.explode(F.array(F.struct(*[F.expr(e).alias(k) for k, e in parts.items()]))))
+    d = d.withColumns({"_t": F.col(text), **{k: F.col(f"_b.{k}") for k in parts}})
+    d = d.withColumns({"_n": F.expr("greatest(length(_t), 1)"), "word_count": F.expr("cast(size(_words) + floor(_cjk / 2) as bigint)")})
     words = "greatest(word_count, 1)"
     d = d.withColumns(
         {
@@ -99,7 +93,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
             "glued_rate": F.expr(f"round({_count('_t', r'\\p{L}[;:,!?]+\\p{L}')} / {words}, 4)"),
         }
     )
-    return d.drop("_t", "_words", "_tokens", "_lines", "_pieces", "_cjk", "_n", "_sentences")
+    return d.drop("_b", "_t", "_n", *parts)
 
 
 # ---------------------------------------------------------------- rule induction (numpy)
