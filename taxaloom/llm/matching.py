@@ -88,14 +88,20 @@ def _close(a: Column, b: Column, most: int, share: float) -> Column:
     return F.when(a.isNull() | b.isNull(), None).when(ok, 1 - 0.05 * d).otherwise(0.0)
 
 
+def _parts(x: Column) -> Column:
+    """struct(full, genus, epithet, stem) of a folded binomial."""
+    words = F.split(x, " ")
+    epithet = F.get(words, 1)
+    return F.when(x.isNotNull(), F.struct(x.alias("full"), F.element_at(words, 1).alias("genus"), epithet.alias("epithet"), stem(epithet).alias("stem")))
+
+
 def _name_similarity(x: Column, s: Column) -> Column:
-    """Similarity of two folded binomials; an abbreviated genus says almost nothing by itself."""
-    xg, xe = F.element_at(F.split(x, " "), 1), F.get(F.split(x, " "), 1)
-    sg, se = F.element_at(F.split(s, " "), 1), F.get(F.split(s, " "), 1)
-    epithet = F.greatest(_close(stem(xe), stem(se), 2, 0.26), _close(xe, se, 2, 0.26))
-    short = (F.length(xg) == 1) & (F.substring(sg, 1, 1) == xg)
-    genus = F.when(short, 0.05).otherwise(_close(xg, sg, 2, 0.34))
-    return F.when(x.isNull() | s.isNull(), None).otherwise(0.55 * F.coalesce(epithet, F.lit(0.0)) + 0.45 * F.coalesce(genus, F.lit(0.0)))
+    """Similarity of two binomials (as `_parts`); an abbreviated genus says almost nothing by itself."""
+    epithet = F.greatest(_close(x["stem"], s["stem"], 2, 0.26), _close(x["epithet"], s["epithet"], 2, 0.26))
+    short = (F.length(x["genus"]) == 1) & (F.substring(s["genus"], 1, 1) == x["genus"])
+    genus = F.when(short, 0.05).otherwise(_close(x["genus"], s["genus"], 2, 0.34))
+    mean = 0.55 * F.coalesce(epithet, F.lit(0.0)) + 0.45 * F.coalesce(genus, F.lit(0.0))
+    return F.when(x.isNull() | s.isNull(), None).when(x["full"] == s["full"], 1.0).otherwise(mean)
 
 
 def species_units(records: DataFrame) -> DataFrame:
@@ -111,7 +117,7 @@ def species_units(records: DataFrame) -> DataFrame:
     )
     own = F.array_distinct(F.filter(F.array(english("common_name"), english("common_name_alt"), fold(F.element_at("common_names", F.lit("en")))), lambda x: x.isNotNull()))
     local = F.transform(F.map_entries("common_names"), lambda e: F.struct(e["key"].alias("locale"), fold(e["value"]).alias("name")))
-    return g.select("sid", "scientific_name", names.alias("names"), own.alias("english"), F.coalesce(local, F.array().cast("array<struct<locale:string,name:string>>")).alias("local"), F.col("taxon_group").alias("grp"))
+    return g.select("sid", "scientific_name", names.alias("names"), F.transform(names, _parts).alias("binomials"), own.alias("english"), F.coalesce(local, F.array().cast("array<struct<locale:string,name:string>>")).alias("local"), F.col("taxon_group").alias("grp"))
 
 
 def listing_units(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,6 +130,7 @@ def listing_units(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     d = d.withColumn("_h", F.sha2(F.to_json(F.struct("x", "e", "ll", "l", "grp")), 256)).where("x is not null or e is not null or l is not null")
     units = d.groupBy("_h").agg(F.min("xc_id").alias("unit"), *[F.first(c).alias(c) for c in ("x", "e", "ll", "l", "grp")])
+    units = units.withColumn("binomial", _parts(F.col("x")))
     return units.drop("_h"), d.select("xc_id", "_h").join(units.select("_h", "unit"), "_h").select("xc_id", "unit")
 
 
@@ -165,7 +172,7 @@ def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, bu
 def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame) -> DataFrame:
     """The field similarities and the confidence of each pair."""
     d = pairs.join(species.withColumnRenamed("grp", "sgrp"), "sid").join(listings, "unit")
-    sci = F.array_max(F.transform("names", lambda n: _name_similarity(F.col("x"), n)))
+    sci = F.array_max(F.transform("binomials", lambda n: _name_similarity(F.col("binomial"), n)))
     eng = F.array_max(F.transform("english", lambda n: _close(F.col("e"), n, 4, 0.25)))
     loc = F.array_max(F.transform(F.filter("local", lambda p: p["locale"] == F.col("ll")), lambda p: _close(F.col("l"), p["name"], 3, 0.2)))
     grp = F.when(F.col("grp").isNull() | F.col("sgrp").isNull(), None).otherwise((F.col("grp") == F.col("sgrp")).cast("double"))
