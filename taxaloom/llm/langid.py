@@ -172,15 +172,17 @@ def label_language(locale: str) -> str:
     return f"case when {base} in ({known}) then {base} end"
 
 
-def other_languages(df: DataFrame, key: list[str], locale: str = "locale", text: str = "text", least: float = 0.75) -> DataFrame:
+def other_languages(df: DataFrame, key: list[str], locale: str = "locale", text: str = "text", least: float = 0.75, keep=None) -> DataFrame:
     """(key, lang): languages other than the label's in which the text or a whole sentence is written.
 
     A segment counts from a confidence of `least` on, if it is a closed sentence or the greater
-    part of its text.
+    part of its text. `keep` may drop rows by their text, such as those that are no prose; it sees
+    only the few texts in which another language was found.
     """
-    d = with_segments(df.select(*key, text), text)
+    d = with_segments(df.select(*key, *[c for c in (locale, text) if c not in key]), text)
     whole = rf"""filter(segments, s -> s.confidence >= {least} and (2 * (s.end - s.start) >= length(`{text}`)
         or rtrim(substring(`{text}`, cast(s.start + 1 as int), cast(s.end - s.start as int))) rlike '[.!?。！？][\"”»’)\\]\\d\\[]*$'))"""
-    d = d.select(*key, F.explode(F.expr(f"array_distinct(transform({whole}, s -> s.lang))")).alias("lang"))
+    d = d.select(*key, *[c for c in (locale, text) if c not in key], F.explode(F.expr(f"array_distinct(transform({whole}, s -> s.lang))")).alias("lang"))
     own = label_language(f"`{locale}`")
-    return d.where(f"({own}) is null or lang <> ({own})")
+    d = d.where(f"({own}) is null or lang <> ({own})")
+    return (keep(d) if keep else d).select(*key, "lang")

@@ -38,13 +38,10 @@ def p4_forms(spark, sf_dir):
     return canonical.with_form(_names(spark, sf_dir).unionByName(maps), "name", "form")
 
 
-def _prose(spark, sf_dir):
-    return quality.prose(quality.assess(descriptions(table(ensure(spark), sf_dir, "species_records")))).select("rec_id", "locale", "text", "text_source")
-
-
 def p6_found(spark, sf_dir):
     """Languages other than the label's in which a description or one of its sentences is written."""
-    return langid.other_languages(_prose(spark, sf_dir), ["rec_id", "locale"]).distinct()
+    d = descriptions(table(ensure(spark), sf_dir, "species_records"))
+    return langid.other_languages(d, ["rec_id", "locale"], keep=_only_prose).distinct()
 
 
 def p6_languages(spark, sf_dir):
