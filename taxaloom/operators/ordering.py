@@ -53,10 +53,10 @@ def global_rank(df: DataFrame, by: list[Column], to: str = "rank", parts: int |
 
 def assign_ids(rows: DataFrame, known: DataFrame, key: str, ord_: str, to: str = "number") -> DataFrame:
     """(key, number): known keys keep theirs, new ones continue after the largest, in row order."""
-    top = known.agg(F.coalesce(F.max(to), F.lit(0)).alias("_top"))
+    top = known.agg(F.coalesce(F.max(to), F.lit(0))).first()[0]
     fresh = rows.join(known, key, "left_anti").groupBy(key).agg(F.min(ord_).alias("_o"))
     ranked = global_rank(fresh, [F.col("_o"), F.col(key)], "_r")
-    new = ranked.crossJoin(F.broadcast(top)).select(key, (F.col("_r") + F.col("_top")).cast("bigint").alias(to))
+    new = ranked.select(key, (F.col("_r") + F.lit(top)).cast("bigint").alias(to))
     return known.join(rows.select(key).distinct(), key, "left_semi").select(key, F.col(to).cast("bigint").alias(to)).unionByName(new)
 
 
