@@ -161,10 +161,14 @@ def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, bu
     every = max(1, total * 2 // MOST_SPLIT_KEYS)
     keys = sorted(r[0] for r in d.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).select("k").distinct().limit(MOST_SPLIT_KEYS).collect())
     cuts = sorted({keys[len(keys) * i // (2 * n)] for i in range(1, 2 * n)}) if len(keys) > 4 * n else []
-    at = lambda half: F.size(F.filter(F.array(*[F.lit(c) for c in half]) if half else F.array().cast("array<string>"), lambda c: c <= F.col("k")))
-    d = d.withColumn("b", F.explode(F.array(F.struct(F.lit(0).alias("h"), at(cuts[::2]).alias("n")), F.struct(F.lit(1).alias("h"), at(cuts[1::2]).alias("n")))))
-    w = f"partition by b.h, b.n, substr(k, 1, 1) order by k, id rows between {window} preceding and {window} following"
-    near = F.expr(f"collect_list(case when is_s then id end) over ({w})")
+    step = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<string>"), lambda c: c <= F.col("k")))
+    # Of two staggered copies, the one in which a row stands in the first half of its bucket sees all rows
+    # after it, the other all rows before it; so each copy gives one side of the window.
+    d = d.withColumn("i", step).withColumn("h", F.explode(F.array(F.lit(0), F.lit(1))))
+    d = d.withColumn("n", F.floor((F.col("i") + 1 - F.col("h")) / 2)).withColumn("after", (F.col("i") % 2 == 1) == (F.col("h") == 0))
+    w = "partition by h, n, substr(k, 1, 1) order by k, id rows between"
+    s_id = "collect_list(case when is_s then id end)"
+    near = F.expr(f"case when after then {s_id} over ({w} current row and {window} following) else {s_id} over ({w} {window} preceding and current row) end")
     d = d.withColumn("near", F.when(~F.col("is_s"), near))
     return d.where("not is_s").select(F.col("id").alias("unit"), F.explode("near").alias("sid")).distinct()
 
