@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,10 @@ SYNTAX = 12
 
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"”»’)\]]*\s+(?=[\"“«„¿¡(\[]*[A-ZÀ-ÞÄÖÜ0-9])|\n\s*\n")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+(?:[.,]\d+)*")
-_CLAUSE = re.compile(r"\b(?:because|although|whereas|which|while|since|if|that|when|obwohl|während|weil|dass|die|der|wenn|bien|que|qui|tandis|puisque|aunque|mientras|porque|cuando|lo)\b", re.I)
+#: Words that open a clause (en, de, fr, es).
+CLAUSE_WORDS = frozenset("because although whereas which while since if that when obwohl während weil dass die der wenn bien que qui tandis puisque aunque mientras porque cuando lo".split())
+_SHORT = re.compile(r"\b\w{1,5}\.(?=\s*[a-z(,;])")
+_CAPITALS = re.compile(r"\b[A-Z]{1,4}[a-z]?\b")
 
 
 def sentences(text: str) -> list[str]:
@@ -51,20 +55,19 @@ def words(sentence: str) -> list[str]:
 def syntax(sentence: str, ws: list[str]) -> list[float]:
     """Scale-free syntax features of one sentence."""
     n = max(1, len(ws))
-    sizes = [len(w) for w in ws]
-    letters = sum(sizes)
+    sizes = list(map(len, ws))
     return [
         min(n, 60) / 30,
-        letters / n / 6,
-        sum(s >= 7 for s in sizes) / n,
-        sum(s >= 11 for s in sizes) / n,
-        sum(s <= 3 for s in sizes) / n,
+        sum(sizes) / n / 6,
+        sum([s >= 7 for s in sizes]) / n,
+        sum([s >= 11 for s in sizes]) / n,
+        sum([s <= 3 for s in sizes]) / n,
         min(6, sentence.count(",") + sentence.count(";")) / 3,
-        sum(w == "0" for w in ws) / n,
-        min(4, len(_CLAUSE.findall(sentence))) / 2,
+        ws.count("0") / n,
+        min(4, sum([w in CLAUSE_WORDS for w in ws])) / 2,
         min(3, sentence.count("(") + sentence.count(":")) / 2,
-        min(4, len(re.findall(r"\b\w{1,5}\.(?=\s*[a-z(,;])", sentence))) / 2,
-        min(4, len(re.findall(r"\b[A-Z]{1,4}[a-z]?\b", sentence))) / 2,
+        min(4, len(_SHORT.findall(sentence))) / 2,
+        min(4, len(_CAPITALS.findall(sentence))) / 2,
         1.0 if sentence.rstrip().endswith("?") else 0.0,
     ]
 
@@ -115,16 +118,19 @@ def fit_ranker(x: np.ndarray, levels: np.ndarray, seed: int = 0, epochs: int = 1
 
 
 def isotonic(score: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: ascending scores and the fitted level up to each of them."""
+    """Pool adjacent violators: (bounds, levels), where levels[i] holds up to bounds[i], the last one beyond.
+
+    A bound lies midway between the scores on either side of a step.
+    """
     order = np.argsort(score, kind="stable")
     blocks: list[list[float]] = []
     for s, y in zip(score[order], level[order].astype(float)):
-        blocks.append([s, y, 1.0])
-        while len(blocks) > 1 and blocks[-2][1] >= blocks[-1][1]:
-            s2, y2, n2 = blocks.pop()
-            s1, y1, n1 = blocks.pop()
-            blocks.append([s2, (y1 * n1 + y2 * n2) / (n1 + n2), n1 + n2])
-    return np.array([b[0] for b in blocks]), np.array([b[1] for b in blocks])
+        blocks.append([s, s, y, 1.0])
+        while len(blocks) > 1 and blocks[-2][2] >= blocks[-1][2]:
+            _, hi, y2, n2 = blocks.pop()
+            lo, _, y1, n1 = blocks.pop()
+            blocks.append([lo, hi, (y1 * n1 + y2 * n2) / (n1 + n2), n1 + n2])
+    return np.array([(a[1] + b[0]) / 2 for a, b in zip(blocks, blocks[1:])]), np.array([b[2] for b in blocks])
 
 
 class Model:
@@ -137,7 +143,7 @@ class Model:
 
     def score(self, text: str) -> float:
         """Median over the words of the sentence scores."""
-        known, vocabulary = self._known, self.w[SYNTAX:]
+        known, vocabulary, weights = self._known, self.w[SYNTAX:], self.w[:SYNTAX].tolist()
         if len(known) > 200_000:
             known.clear()
         got = []
@@ -151,7 +157,7 @@ class Model:
                 if y is None:
                     y = known[x] = float(vocabulary[_bucket(x)])
                 total += y
-            got.append((total / len(ws) + float(self.w[:SYNTAX] @ np.array(syntax(s, ws), np.float32)), len(ws)))
+            got.append((total / len(ws) + sum(map(mul, weights, syntax(s, ws))), len(ws)))
         if not got:
             return float("-inf")
         got.sort()
@@ -163,16 +169,16 @@ class Model:
         return got[-1][0]
 
     def expected(self, score: float) -> float:
-        return float(self.fitted[min(np.searchsorted(self.at, score), len(self.fitted) - 1)])
+        return float(self.fitted[np.searchsorted(self.at, score)])
 
 
 def fit(texts: list[str], levels: list[int], seed: int = 0) -> Model | None:
-    """Ranker on two thirds of the graded texts, calibration on all scores with the rest weighing in full."""
+    """Ranker and calibration on the graded texts; None without any."""
     if not texts:
         return None
     y = np.array(levels)
     x = np.stack([document_features(t) for t in texts])
-    model = Model(fit_ranker(x, y, seed), np.array([0.0]), np.array([1.0]))
+    model = Model(fit_ranker(x, y, seed), np.array([]), np.array([1.0]))
     at, fitted = isotonic(np.array([model.score(t) for t in texts]), y)
     return Model(model.w, at, fitted)
 
