@@ -22,7 +22,7 @@ from taxaloom.llm.common import COMMON_WORDS, load_model
 FEATURES = (
     "word_count", "mean_word_length", "symbol_ratio", "digit_ratio", "punct_line_share",
     "common_word_share", "sentence_share", "separator_rate", "line_count", "distinct_share",
-    "longest_word", "markup_share", "glued_rate",
+    "longest_word", "markup_share", "glued_rate", "item_line_share", "label_line_share", "vowelless_share",
 )
 
 
@@ -40,7 +40,9 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
 
     sentence_share is the share of characters in sentences, that is in stretches closed by a
     terminator that hold enough common words (or kana); separator_rate counts list separators and
-    line breaks outside of sentences per word, glued_rate punctuation between letters; CJK text counts two characters as one word.
+    line breaks outside of sentences per word, glued_rate punctuation between letters;
+    item_line_share and label_line_share are the unclosed lines that begin with a list mark or a label; vowelless_share
+    the Latin words of three letters or more without a vowel; CJK text counts two characters as one word.
     """
     t = f"`{text}`"
     common = _in_list()
@@ -78,7 +80,14 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
                     greatest(size(_tokens) + _cjk / 2, 1), 4)"""
             ),
             "sentence_share": F.expr("round(aggregate(_sentences, 0, (a, p) -> a + length(p)) / _n, 4)"),
+            "vowelless_share": F.expr("round(size(filter(_tokens, w -> w rlike '^[b-df-hj-np-tv-xz]{3,}$')) / greatest(size(_tokens), 1), 4)"),
             "line_count": F.expr("cast(size(_lines) as bigint)"),
+            "item_line_share": F.expr(
+                rf"round(coalesce(size(filter(_lines, l -> l rlike '^\\s*(?:[-*•·–—]|\\(?\\d{{1,3}}[.)])\\s' and not (rtrim(l) rlike '{end}'))) / nullif(size(_lines), 0), 0), 4)"
+            ),
+            "label_line_share": F.expr(
+                rf"round(coalesce(size(filter(_lines, l -> l rlike '^\\S{{2,14}}\\s*(?:[:=|;\\t]|[.]{{3,}}|\\s\\s)\\s*\\S' and not (rtrim(l) rlike '{end}'))) / nullif(size(_lines), 0), 0), 4)"
+            ),
             "distinct_share": F.expr("round(size(array_distinct(_words)) / greatest(size(_words), 1), 4)"),
             "longest_word": F.expr(r"cast(coalesce(array_max(transform(_words, w -> length(regexp_replace(w, '[^\\x{00}-\\x{2fff}]', '')))), 0) as bigint)"),
             "markup_share": F.expr("round(1 - length(regexp_replace(_t, '<[^<>]*>', '')) / _n, 4)"),
@@ -150,7 +159,7 @@ def induce(x: np.ndarray, labels: np.ndarray, default: str, classes: list[str],
 
     For each class in turn, rules are grown on two thirds of the rows not yet covered and pruned
     on the rest; a class ends when a pruned rule is right in less than three quarters of what it
-    covers in the pruning part, three splits in a row. `classes` gives the order; `default` is
+    covers in the pruning part, ten splits in a row. `classes` gives the order; `default` is
     what no rule covers.
     """
     rng = np.random.default_rng(seed)
@@ -158,13 +167,16 @@ def induce(x: np.ndarray, labels: np.ndarray, default: str, classes: list[str],
     out: list[dict] = []
     for c in classes:
         failed = 0
-        while failed < 3 and len(out) < most * len(classes):
+        while failed < 10 and len(out) < most * len(classes):
             idx = np.flatnonzero(left)
             y = labels[idx] == c
             if y.sum() < 3:
                 break
             part = rng.random(len(idx)) < 2 / 3
             g, p = idx[part], idx[~part]
+            if not (labels[g] == c).any():
+                failed += 1
+                continue
             at = np.linspace(0, 1, 49)
             cuts = []
             for f in range(x.shape[1]):
