@@ -120,7 +120,7 @@ def species_units(records: DataFrame) -> DataFrame:
     return g.select("sid", "scientific_name", names.alias("names"), F.transform(names, _parts).alias("binomials"), own.alias("english"), F.coalesce(local, F.array().cast("array<struct<locale:string,name:string>>")).alias("local"), F.col("taxon_group").alias("grp"))
 
 
-def listing_units(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
+def listing_units(listings: DataFrame, materialise=None) -> tuple[DataFrame, DataFrame]:
     """(units, xc_id -> unit): distinct folded listings, named by their least id, and the rows that share each."""
     pairs = F.create_map(*[F.lit(x) for kv in GROUPS.items() for x in kv])
     d = listings.select(
@@ -129,6 +129,8 @@ def listing_units(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs[F.regexp_replace(F.lower("group_label"), "[^a-z]", "")].alias("grp"),
     )
     d = d.withColumn("_h", F.sha2(F.to_json(F.struct("x", "e", "ll", "l", "grp")), 256)).where("x is not null or e is not null or l is not null")
+    if materialise:
+        d = materialise(d)
     units = d.groupBy("_h").agg(F.min("xc_id").alias("unit"), *[F.first(c).alias(c) for c in ("x", "e", "ll", "l", "grp")])
     units = units.withColumn("binomial", _parts(F.col("x")))
     return units.drop("_h"), d.select("xc_id", "_h").join(units.select("_h", "unit"), "_h").select("xc_id", "unit")
@@ -229,7 +231,7 @@ def match(records: DataFrame, listings: DataFrame, least: float = LEAST, materia
     """(rec_id, xc_id, confidence, role) of all rows of matched species."""
     keep = materialise or checkpoint
     s = keep(species_units(records))
-    x, rows = listing_units(listings)
+    x, rows = listing_units(listings, keep)
     x = keep(x)
     scored = compare(neighbours(s, x), s, x)
     a = assign(scored, least, materialise=keep)
