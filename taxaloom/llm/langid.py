@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.llm.common import MODELS, spread
+from taxaloom.llm.common import MODELS
 
 LANGS = ("en", "de", "fr", "es", "pt", "it", "nl", "sv", "pl", "ru", "ja")
 WINDOW = 160
@@ -150,7 +150,7 @@ def with_segments(df: DataFrame, text: str = "text", to: str = "segments") -> Da
             got = judge(b.tolist())
             yield pd.Series([[{"start": a, "end": e, "lang": lang, "confidence": round(c, 4)} for a, e, lang, c in s] for s in got])
 
-    return spread(df).withColumn(to, run(F.col(text)))
+    return df.withColumn(to, run(F.col(text)))
 
 
 def document_languages(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
