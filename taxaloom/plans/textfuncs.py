@@ -75,7 +75,12 @@ def file_names(spark, sf):
 
 QUERIES = {f.__name__: f for f in (word_counts, spaces_normalized, species_identity, url_titles, media_urls, name_parts, code_variants, tags_stripped, author_lines, selected_descriptions, truncated_texts, file_names)}
 
+def _part_sql(c: str) -> str:
+    return rf"case when coalesce({c}, '') = '' then 'unknown' else trim(regexp_replace(replace(replace(regexp_replace(nfc_normalize({c}), '\p{{C}}', '', 'g'), '/', ' '), '\', ' '), '[\s\p{{Z}}]+', ' ', 'g')) end"
+
+
 ORACLE = {
+    "file_names": f"select rec_id, {_part_sql('scientific_name')} || '_' || {_part_sql('common_name')} || '_' || rtrim(substr({_part_sql('common_name_alt')}, 1, 60)) || '.webp' as file from species_records",
     "word_counts": f"select doc_id, {words_sql('text')} as words from documents",
     "spaces_normalized": r"select doc_id, length(t) as n, md5(t) as h from (select doc_id, trim(regexp_replace(text, '[\s\x{A0}\x{2000}-\x{200A}\x{202F}\x{3000}\x{85}\x{2028}\x{2029}]+', ' ', 'g')) as t from documents where text is not null)",
     "species_identity": r"""select doc_id, coalesce(regexp_matches(lower(regexp_replace(text, '\s+', ' ', 'g')), '(^|[^\p{L}\p{N}_])' || lower(scientific_name) || '($|[^\p{L}\p{N}_])'), false) as named from documents where scientific_name is not null""",

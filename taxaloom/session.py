@@ -54,7 +54,8 @@ def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Split an input of fewer partitions than the cluster has cores, for work done in Python.
 
     Inputs that already have enough partitions (any large table) are returned as they are, so
-    that nothing is shuffled at scale.
+    that nothing is shuffled at scale. Meant for scans and projections of them: counting the
+    partitions of a plan with a shuffle would run that shuffle.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want * per_core) if df.rdd.getNumPartitions() < want else df
