@@ -41,6 +41,7 @@ CHUNK = 512
 _QUOTED = re.compile(r"“[^“”]{1,90}”|«[^«»]{1,90}»|„[^“”]{1,90}[“”]|\"[^\"\n]{1,90}\"|「[^「」]{1,40}」|『[^『』]{1,40}』")
 _ASIDE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|<[^<>]*>|https?://\S+")
 _BREAK = re.compile(r"(?<=[.!?…])[\"”»’)\]]*\s+|(?<=[。！？])|\n\s*\n|\n(?=\s*(?:[-*•·–]|\(?\d{1,3}[.)])\s)")
+_NO_LETTER, _DIGITS, _CJK = re.compile(r"[\W\d_]+"), re.compile(r"\d+"), re.compile(r"[぀-ヿ一-鿿]")
 _NAME = re.compile(r"\b[A-Z][a-z]{3,} [a-z]{4,}(?:us|is|ys|um|ensis|ops|eps|ons|tus|ula|uda|ris|ens|ipes|ollis|otus|orsum|enter)\b")
 
 
@@ -54,9 +55,9 @@ def segments(text: str | None) -> list[tuple[int, int, str]]:
     for start, end in zip([0, *(m.end() for m in cuts)], [*(m.start() for m in cuts), len(text)]):
         body = text[start:end]
         clean = _NAME.sub(" ", _ASIDE.sub(" ", body))
-        clean = re.sub(r"\d+", "0", re.sub(r"\s+", " ", clean)).strip().lower()
-        letters = sum(c.isalpha() for c in clean)
-        if letters >= MIN_LETTERS or letters >= 5 and re.search(r"[぀-ヿ一-鿿]", clean):
+        clean = _DIGITS.sub("0", " ".join(clean.split())).lower()
+        letters = len(_NO_LETTER.sub("", clean))
+        if letters >= MIN_LETTERS or letters >= 5 and _CJK.search(clean):
             out.append((start, end, clean))
     return out
 

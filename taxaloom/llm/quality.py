@@ -26,6 +26,10 @@ FEATURES = (
 )
 
 
+#: White space of any kind, as a class that matches fast.
+_SPACES = r"[\\s\\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{3000}]+"
+
+
 def _in_list() -> str:
     words = sorted({w for ws in COMMON_WORDS.values() for w in ws})
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
@@ -48,20 +52,20 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     common = _in_list()
     end = r"[.!?…。！？][\"”»’\\)\\]\\d\\[]*$"
     piece_ok = rf"""p -> right(p, 1) in ('.', '!', '?') and (
-          (size(filter(split(lower(p), '[^\\p{{L}}]+'), w -> w in ({common}))) >= 0.12 * size(split(p, '(?U)\\s+'))
+          (size(filter(split(p, '[^\\p{{L}}]+'), w -> w in ({common}))) >= 0.12 * size(split(p, '{_SPACES}'))
            and length(p) >= 15 and {_count('p', r'[;|/»>·•=]')} <= 2)
           or {_count('p', r'[\\x{3040}-\\x{309f}]')} >= 0.25 * length(p))"""
     # Full-width terminators become plain ones first: a class of Latin characters alone is matched much faster.
-    pieces = rf"regexp_extract_all(translate(regexp_replace({t}, '\\n(?=\\p{{L}})', ' '), '。！？', '.!?'), '[^\\n.!?]++[.!?]?+', 0)"
+    pieces = rf"regexp_extract_all(translate(regexp_replace(_low, '\\n(?=\\p{{L}})', ' '), '。！？', '.!?'), '[^\\n.!?]++[.!?]?+', 0)"
     parts = {
-        "_words": rf"filter(split({t}, '(?U)\\s+'), w -> w <> '')",
-        "_tokens": rf"filter(split(lower({t}), '[^\\p{{L}}]+'), w -> w <> '')",
+        "_words": rf"filter(split({t}, '{_SPACES}'), w -> w <> '')",
+        "_tokens": rf"filter(split(_low, '[^\\p{{L}}]+'), w -> w <> '')",
         "_lines": rf"filter(split({t}, '\\n'), l -> trim(l) <> '')",
         "_sentences": f"filter({pieces}, {piece_ok})",
         "_cjk": _count(t, r"[\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{ac00}-\\x{d7af}]"),
     }
     # The parts pass through a generator, so that no statistic that uses one computes it again.
-    d = df.withColumn("_b", F.explode(F.array(F.struct(*[F.expr(e).alias(k) for k, e in parts.items()]))))
+    d = df.withColumn("_low", F.explode(F.array(F.lower(text)))).withColumn("_b", F.explode(F.array(F.struct(*[F.expr(e).alias(k) for k, e in parts.items()]))))
     d = d.withColumns({"_t": F.col(text), **{k: F.col(f"_b.{k}") for k in parts}})
     d = d.withColumns({"_n": F.expr("greatest(length(_t), 1)"), "word_count": F.expr("cast(size(_words) + floor(_cjk / 2) as bigint)")})
     words = "greatest(word_count, 1)"
@@ -102,7 +106,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
             "glued_rate": F.expr(f"round({_count('_t', r'\\p{L}[;:,!?]+\\p{L}')} / {words}, 4)"),
         }
     )
-    return d.drop("_b", "_t", "_n", *parts)
+    return d.drop("_b", "_low", "_t", "_n", *parts)
 
 
 # ---------------------------------------------------------------- rule induction (numpy)
