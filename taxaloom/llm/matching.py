@@ -18,8 +18,10 @@ nothing; redelivered rows of either side all get their pair; empty tables give n
 
 from __future__ import annotations
 
+import bisect
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from taxaloom.llm.common import checkpoint
 
 WINDOW = 12
 MOST_SPLIT_KEYS = 20_000
+#: Split points up to which the bucket of a key is an inline expression.
+MOST_INLINE_CUTS = 48
 LEAST = 0.65
 #: Weights of the fields in the confidence.
 WEIGHTS = {"sci": 3.0, "eng": 2.5, "loc": 2.0, "grp": 0.5}
@@ -146,6 +150,18 @@ def _keys(x: Column, e: Column) -> list[Column]:
     ]
 
 
+def _bucket(cuts: list[str], key: Column) -> Column:
+    """How many cuts a key has passed: an expression for few cuts, a binary search over Arrow batches for many."""
+    if len(cuts) <= MOST_INLINE_CUTS:
+        return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<string>"), lambda c: c <= key))
+
+    @F.pandas_udf("int")
+    def search(k: pd.Series) -> pd.Series:
+        return k.map(lambda x: bisect.bisect_right(cuts, x))
+
+    return search(key)
+
+
 def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """(unit, sid): pairs that stand within `window` rows of each other under some sort key."""
     sk = F.concat(
@@ -160,10 +176,11 @@ def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, bu
     spark = species.sparkSession
     n = buckets or max(4, spark.sparkContext.defaultParallelism * 2)
     total = d.count()
+    n = max(1, min(n, total // (8 * window)))
     every = max(1, total * 2 // MOST_SPLIT_KEYS)
     keys = sorted(r[0] for r in d.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).select("k").distinct().limit(MOST_SPLIT_KEYS).collect())
     cuts = sorted({keys[len(keys) * i // (2 * n)] for i in range(1, 2 * n)}) if len(keys) > 4 * n else []
-    step = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<string>"), lambda c: c <= F.col("k")))
+    step = _bucket(cuts, F.col("k"))
     # Of two staggered copies, the one in which a row stands in the first half of its bucket sees all rows
     # after it, the other all rows before it; so each copy gives one side of the window.
     d = d.withColumn("i", step).withColumn("h", F.explode(F.array(F.lit(0), F.lit(1))))

@@ -62,3 +62,14 @@ def test_blocking_recall_against_all_pairs(spark, sf):
     near = M.compare(M.neighbours(s, u), s, u).where(F.col("confidence") >= M.LEAST).select("unit", "sid")
     want = {tuple(p) for p in every.collect()}
     assert want and len(want & {tuple(p) for p in near.collect()}) >= 0.99 * len(want)
+
+
+def test_buckets_lose_no_neighbours(spark, monkeypatch):
+    r, x = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("species_records", "xc_species"))
+    s, (u, _) = checkpoint(M.species_units(r)), M.listing_units(x)
+    u = checkpoint(u)
+    one = {tuple(p) for p in M.neighbours(s, u, buckets=1).collect()}
+    many = {tuple(p) for p in M.neighbours(s, u, buckets=12).collect()}
+    monkeypatch.setattr(M, "MOST_INLINE_CUTS", 0)
+    assert {tuple(p) for p in M.neighbours(s, u, buckets=12).collect()} == many
+    assert len(one & many) >= 0.995 * len(one)
