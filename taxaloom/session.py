@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,8 +31,27 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so that their Python can import it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).parent
+    target = os.path.join(tempfile.mkdtemp(prefix="taxaloom-"), "taxaloom_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*")):
+            if f.is_file() and "__pycache__" not in f.parts:
+                z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def ensure(spark: SparkSession) -> SparkSession:
-    """Set the runtime-settable options the plans depend on, on a session made elsewhere."""
+    """Set the runtime-settable options the plans depend on, on a session made elsewhere, and ship the package."""
+    ship(spark)
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
@@ -63,4 +84,5 @@ def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
