@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import pkgutil
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -27,8 +28,13 @@ COMMON_WORDS = {
 }
 
 
+def model_bytes(name: str) -> bytes:
+    """A stored model, also from a package that was shipped as an archive."""
+    return pkgutil.get_data(__package__, f"models/{name}")
+
+
 def load_model(name: str) -> dict:
-    return json.loads((MODELS / name).read_text())
+    return json.loads(model_bytes(name))
 
 
 def descriptions(records: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ fewer than MIN_LETTERS letters gives none; labels other than the known languages
 
 from __future__ import annotations
 
+import io
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.llm.common import MODELS
+from taxaloom.llm.common import model_bytes
 
 LANGS = ("en", "de", "fr", "es", "pt", "it", "nl", "sv", "pl", "ru", "ja")
 WINDOW = 160
@@ -104,7 +105,7 @@ class Net:
 
 @cache
 def net() -> Net:
-    with np.load(MODELS / "langid.npz") as f:
+    with np.load(io.BytesIO(model_bytes("langid.npz"))) as f:
         return Net(dict(f))
 
 

@@ -10,9 +10,9 @@ TEXTS = {
 
 
 def test_held_out_accuracy():
-    import json
+    from taxaloom.llm.common import load_model
 
-    assert json.loads((langid.MODELS / "langid.json").read_text())["accuracy"] > 0.98
+    assert load_model("langid.json")["accuracy"] > 0.98
 
 
 def test_texts_of_no_template():
