@@ -4,8 +4,8 @@ Both sides are reduced to distinct units (species by scientific name, listings b
 names). Each unit is put under several composite sort keys (epithet and genus, genus and epithet,
 English name forwards and backwards, local name by language, aliases as further names); in the
 sorted order a sliding window brings each listing together with the species around it. Pairs are
-compared field by field, with a weighted mean as confidence, and an auction assigns listings and
-species one to one so that the total confidence is greatest. A listing that repeats an assigned
+compared field by field, with a weighted mean as confidence, and listings and species are
+assigned one to one so that the total confidence is greatest (`assign`). A listing that repeats an assigned
 one (its best species is taken by a listing that fits it as well) follows it.
 
 Sorting is by range buckets over sampled split points, twice with staggered splits, so that every
@@ -19,11 +19,13 @@ nothing; redelivered rows of either side all get their pair; empty tables give n
 from __future__ import annotations
 
 import bisect
+import heapq
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from taxaloom.llm.canonical import LOOKALIKES, compatibility
 from taxaloom.llm.common import checkpoint
@@ -33,6 +35,8 @@ MOST_SPLIT_KEYS = 20_000
 #: Split points up to which the bucket of a key is an inline expression.
 MOST_INLINE_CUTS = 48
 LEAST = 0.65
+#: Edges up to which a component of competing listings and species is solved in one task.
+MOST_COMPONENT = 20_000
 #: Weights of the fields in the confidence.
 WEIGHTS = {"sci": 3.0, "eng": 2.5, "loc": 2.0, "grp": 0.5}
 
@@ -208,36 +212,124 @@ def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame) -> DataFr
     return d.withColumn("confidence", F.round(F.when(F.col("exact"), F.greatest(mean, F.lit(0.82) + 0.05 * mean)).otherwise(mean), 4))
 
 
-def assign(scored: DataFrame, least: float = LEAST, rounds: int = 12, eps: float = 0.002, materialise=None) -> DataFrame:
-    """(unit, sid, confidence, role): a one-to-one assignment by auction, and what follows it.
+def components(edges: DataFrame, materialise=None) -> DataFrame:
+    """(node, root): the least node of the connected component of every node of (a, b) edges between different nodes.
 
-    In each round every free listing bids for the species with the best confidence less price; a
-    species goes to its highest bid, whose amount becomes its price. Rounds end when no bid
-    changes anything; a listing whose best net value is gone stays free. Free listings whose best
+    Alternating large and small stars, which needs rounds by the logarithm of the longest chain; no group is collected.
+    """
+    keep = materialise or checkpoint
+    e = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    while not e.groupBy("u").count().where("count > 1").isEmpty() or not e.join(e.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        e = keep(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        down = e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = keep(down.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+    roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def greatest_total(edges: list[tuple[int, int, int]]) -> dict[int, int]:
+    """unit -> sid of a one-to-one assignment of the greatest total weight (positive whole numbers), by augmenting paths.
+
+    `price` and `gain` are the dual values: gain[unit] + price[sid] is nowhere less than the weight.
+    """
+    of: dict[int, dict[int, int]] = {}
+    for u, s, w in sorted(edges):
+        of.setdefault(u, {})[s] = w
+    price: dict[int, int] = {}
+    gain: dict[int, int] = {}
+    holder: dict[int, int] = {}
+    held: dict[int, int] = {}
+    for r in of:
+        gain[r] = max(0, *(w - price.get(s, 0) for s, w in of[r].items()))
+        reached: dict[int, int] = {}
+        via: dict[int, int] = {}
+        rows, heap, i, at, out, s = {r: 0}, [], r, 0, (gain[r], r), None
+        while True:
+            for x, w in of[i].items():
+                if x not in reached:
+                    heapq.heappush(heap, (at + gain[i] - w + price.get(x, 0), x, i))
+            while heap and heap[0][1] in reached:
+                heapq.heappop(heap)
+            if not heap or heap[0][0] > out[0]:  # cheapest is that the unit out[1] goes without
+                least, s = out[0], held.pop(out[1], None)
+                break
+            at, s, before = heapq.heappop(heap)
+            reached[s], via[s] = at, before
+            if s not in holder:
+                least = at
+                break
+            i = holder[s]
+            rows[i] = at
+            out = min(out, (at + gain[i], i))
+        for x, d in reached.items():
+            price[x] = price.get(x, 0) + least - d
+        for x, d in rows.items():
+            gain[x] -= least - d
+        while s is not None:
+            i = via[s]
+            holder[s] = i
+            held[i], s = s, held.get(i)
+    return held
+
+
+@F.pandas_udf(ArrayType(StructType().add("unit", "long").add("sid", "long")))
+def _solve(units: pd.Series, sids: pd.Series, weights: pd.Series) -> pd.Series:
+    return pd.Series([[{"unit": u, "sid": s} for u, s in greatest_total([(int(a), int(b), int(c)) for a, b, c in zip(*z)]).items()] for z in zip(units, sids, weights)])
+
+
+def _auction(g: DataFrame, eps: float, keep) -> DataFrame:
+    """(unit, sid) of an auction over edges: rounds until no listing bids any more.
+
+    In each round every free listing bids for the species with the best confidence less price; a species goes to its
+    highest bid, whose amount becomes its price. A bid raises a price by eps at least and no one bids beyond the
+    confidence, so the rounds end; the total is then within eps a listing of the greatest.
+    """
+    holders = keep(g.select("sid").distinct().select("sid", F.lit(None).cast("bigint").alias("unit"), F.lit(0.0).alias("price")))
+    while True:
+        free = g.join(holders.where("unit is not null").select("unit"), "unit", "left_anti").join(holders.select("sid", "price"), "sid")
+        net = free.withColumn("net", F.col("confidence") - F.col("price")).where(F.col("net") > 0)
+        bids = net.groupBy("unit").agg(F.max_by("sid", F.struct("net", "sid")).alias("sid"), F.sort_array(F.collect_list("net"), asc=False).alias("nets"), F.max_by("price", F.struct("net", "sid")).alias("price"))
+        bids = bids.select("unit", "sid", (F.col("price") + F.col("nets")[0] - F.greatest(F.coalesce(F.get("nets", 1), F.lit(0.0)), F.lit(0.0)) + eps).alias("bid"))
+        won = keep(bids.groupBy("sid").agg(F.max_by("unit", F.struct("bid", "unit")).alias("new"), F.max("bid").alias("bid")))
+        if won.isEmpty():
+            return holders.where("unit is not null").select("unit", "sid")
+        holders = keep(holders.join(won, "sid", "left").select("sid", F.coalesce("new", "unit").alias("unit"), F.coalesce("bid", "price").alias("price")))
+
+
+def assign(scored: DataFrame, least: float = LEAST, eps: float = 0.002, materialise=None) -> DataFrame:
+    """(unit, sid, confidence, role): a one-to-one assignment of the greatest total, and what follows it.
+
+    Listings and species that compete fall into connected components. One of up to MOST_COMPONENT
+    edges is solved exactly in one task; a larger one by an auction over the cluster, which runs
+    until no one bids and is within `eps` a listing of the greatest total. Free listings whose best
     species fits them nearly as well as its holder (within 0.35) then follow the holder.
     """
     keep = materialise or checkpoint
     e = keep(scored.where(F.col("confidence") >= least).select("unit", "sid", "confidence"))
-    multi = e.groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit")
-    contested = e.join(multi, "unit", "left_semi").select("sid").distinct()
+    multi = e.groupBy("unit").agg(F.count("*").alias("n"), F.min("sid").alias("a")).where("n > 1")
+    several = e.join(multi.select("unit", "a"), "unit")
+    contested = several.select("sid").distinct()
     plain = e.join(multi, "unit", "left_anti")
-    best_plain = plain.groupBy("sid").agg(F.max_by("unit", F.struct("confidence", "unit")).alias("unit"), F.max("confidence").alias("confidence"))
-    g = keep(e.join(contested, "sid", "left_semi"))
-    held = None
-    if not g.isEmpty():
-        holders = keep(g.select("sid").distinct().select("sid", F.lit(None).cast("bigint").alias("unit"), F.lit(0.0).alias("price")))
-        for _ in range(rounds):
-            free = g.join(holders.where("unit is not null").select("unit"), "unit", "left_anti").join(holders.select("sid", "price"), "sid")
-            net = free.withColumn("net", F.col("confidence") - F.col("price")).where(F.col("net") > 0)
-            bids = net.groupBy("unit").agg(F.max_by("sid", F.struct("net", "sid")).alias("sid"), F.sort_array(F.collect_list("net"), asc=False).alias("nets"), F.max_by("price", F.struct("net", "sid")).alias("price"))
-            bids = bids.select("unit", "sid", (F.col("price") + F.col("nets")[0] - F.greatest(F.coalesce(F.get("nets", 1), F.lit(0.0)), F.lit(0.0)) + eps).alias("bid"))
-            won = keep(bids.groupBy("sid").agg(F.max_by("unit", F.struct("bid", "unit")).alias("new"), F.max("bid").alias("bid")))
-            if won.isEmpty():
-                break
-            holders = keep(holders.join(won, "sid", "left").select("sid", F.coalesce("new", "unit").alias("unit"), F.coalesce("bid", "price").alias("price")))
-        held = holders.where("unit is not null").join(e, ["unit", "sid"]).select("unit", "sid", "confidence")
+    # Of the listings that fit one species only, none but the best can get it.
+    best_plain = keep(plain.groupBy("sid").agg(F.max_by("unit", F.struct("confidence", "unit")).alias("unit"), F.max("confidence").alias("confidence")))
+    g = keep(several.select("unit", "sid", "confidence").unionByName(best_plain.join(contested, "sid", "left_semi").select("unit", "sid", "confidence")))
     free_plain = best_plain.join(contested, "sid", "left_anti").select("unit", "sid", "confidence")
-    primary = keep(free_plain.unionByName(held) if held is not None else free_plain)
+    primary = free_plain
+    if not g.isEmpty():
+        root = components(several.select("a", F.col("sid").alias("b")), keep)
+        g = g.join(root.withColumnRenamed("node", "sid"), "sid")
+        size = keep(g.groupBy("root").agg(F.count("*").alias("n")))
+        small = g.join(size.where(F.col("n") <= MOST_COMPONENT).select("root"), "root", "left_semi")
+        lists = small.groupBy("root").agg(F.collect_list(F.struct("unit", "sid", F.round(F.col("confidence") * 10_000).cast("bigint").alias("w"))).alias("x"))
+        held = lists.select(F.inline(_solve("x.unit", "x.sid", "x.w")))
+        large = size.where(F.col("n") > MOST_COMPONENT).select("root")
+        if not large.isEmpty():
+            held = held.unionByName(_auction(keep(g.join(large, "root", "left_semi").select("unit", "sid", "confidence")), eps, keep))
+        primary = free_plain.unionByName(held.join(e, ["unit", "sid"]).select("unit", "sid", "confidence"))
+    primary = keep(primary)
     rest = e.join(primary.select("unit"), "unit", "left_anti")
     best = rest.groupBy("unit").agg(F.max_by("sid", F.struct("confidence", "sid")).alias("sid"), F.max("confidence").alias("confidence"))
     follow = best.join(primary.select("sid", F.col("confidence").alias("_c")), "sid").where("confidence >= _c - 0.35").drop("_c")

@@ -1,4 +1,6 @@
 import datetime as dt
+import itertools
+import random
 
 from pyspark.sql import functions as F
 
@@ -73,3 +75,45 @@ def test_buckets_lose_no_neighbours(spark, monkeypatch):
     monkeypatch.setattr(M, "MOST_INLINE_CUTS", 0)
     assert {tuple(p) for p in M.neighbours(s, u, buckets=12).collect()} == many
     assert len(one & many) >= 0.995 * len(one)
+
+
+WAR = [(1, 10, 0.9), (1, 20, 0.9), (2, 10, 0.9), (2, 20, 0.9), (3, 10, 0.9), (3, 20, 0.9), (3, 30, 0.66)]
+
+
+def test_price_wars_are_fought_to_their_end(spark, monkeypatch):
+    d = spark.createDataFrame(WAR, "unit bigint, sid bigint, confidence double")
+
+    def assigned(**k):
+        return {r.unit: r.sid for r in M.assign(d, **k).where("role = 'assigned'").collect()}
+
+    got = assigned()
+    assert got[3] == 30 and sorted(got) == [1, 2, 3] and sorted(got.values()) == [10, 20, 30]
+    monkeypatch.setattr(M, "MOST_COMPONENT", 0)
+    got = assigned(eps=0.02)
+    assert got[3] == 30 and sorted(got) == [1, 2, 3] and sorted(got.values()) == [10, 20, 30]
+
+
+def test_displacement_chain(spark):
+    n = 40
+    rows = [(i, i + 100, 0.9) for i in range(n)] + [(i, i + 101, 0.88) for i in range(n)] + [(n, 100, 0.95)]
+    d = spark.createDataFrame(rows, "unit bigint, sid bigint, confidence double")
+    got = {r.unit: r.sid for r in M.assign(d).where("role = 'assigned'").collect()}
+    assert got == {**{i: i + 101 for i in range(n)}, n: 100}
+
+
+def test_greatest_total_by_brute_force():
+    rng = random.Random(5)
+    for _ in range(300):
+        units, sids = range(rng.randint(1, 5)), range(rng.randint(1, 4))
+        w = {(u, s): rng.choice([65, 66, 80, 90, 90, 95, 100]) for u in units for s in sids if rng.random() < 0.7}
+        got = M.greatest_total([(u, s, x) for (u, s), x in w.items()])
+        assert len(set(got.values())) == len(got) and all(p in w for p in got.items())
+        want = max(sum(w[u, s] for u, s in enumerate(p) if s is not None and (u, s) in w) for p in itertools.permutations([*sids, *[None] * len(units)], len(units)))
+        assert sum(w[p] for p in got.items()) == want
+
+
+def test_components(spark):
+    pairs = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (300, 301)]
+    random.Random(2).shuffle(pairs)
+    got = {r.node: r.root for r in M.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    assert got == {**dict.fromkeys(range(61), 0), 100: 100, 150: 100, 200: 100, 300: 300, 301: 300}
