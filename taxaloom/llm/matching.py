@@ -3,7 +3,8 @@
 Both sides are reduced to distinct units (species by scientific name, listings by their folded
 names). Each unit is put under several composite sort keys (epithet and genus, genus and epithet,
 English name forwards and backwards, local name by language, aliases as further names); in the
-sorted order a sliding window brings each listing together with the species around it. Pairs are
+sorted order a sliding window over the distinct species keys brings each listing together with the
+species around it, whatever number of rows a key has, and equal epithet stems are joined. Pairs are
 compared field by field, with a weighted mean as confidence, and listings and species are
 assigned one to one so that the total confidence is greatest (`assign`). A listing that repeats an assigned
 one (its best species is taken by a listing that fits it as well) follows it.
@@ -167,33 +168,48 @@ def _bucket(cuts: list[str], key: Column) -> Column:
 
 
 def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, buckets: int | None = None) -> DataFrame:
-    """(unit, sid): pairs that stand within `window` rows of each other under some sort key."""
+    """(unit, sid): pairs whose keys are equal or stand within `window` species keys of each other, and pairs of one epithet stem.
+
+    The window slides over distinct species keys: however many rows share a key, it is one place, and
+    listings take none. Rows come in only when the pairs of keys are found.
+    """
     sk = F.concat(
         F.flatten(F.transform("names", lambda n: F.array(*_keys(n, F.lit(None).cast("string"))[:2]))),
         F.flatten(F.transform("english", lambda e: F.array(*_keys(F.lit(None).cast("string"), e)[2:]))),
         F.transform("local", lambda p: F.concat(F.lit("5"), p["locale"], F.lit(" "), p["name"])),
     )
-    s = species.select(F.col("sid").alias("id"), F.lit(True).alias("is_s"), F.explode(F.array_distinct(sk)).alias("k"))
+    s = species.select("sid", F.explode(F.array_distinct(sk)).alias("k")).where("k is not null")
     xk = F.array(*_keys(F.col("x"), F.col("e")), F.concat(F.lit("5"), F.col("ll"), F.lit(" "), F.col("l")))
-    x = listings.select(F.col("unit").alias("id"), F.lit(False).alias("is_s"), F.explode(xk).alias("k"))
-    d = s.unionByName(x).where("k is not null")
+    x = listings.select("unit", F.explode(xk).alias("k")).where("k is not null")
     spark = species.sparkSession
+    places = s.select("k").distinct()
     n = buckets or max(4, spark.sparkContext.defaultParallelism * 2)
-    total = d.count()
+    total = places.count()
     n = max(1, min(n, total // (8 * window)))
     every = max(1, total * 2 // MOST_SPLIT_KEYS)
-    keys = sorted(r[0] for r in d.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).select("k").distinct().limit(MOST_SPLIT_KEYS).collect())
+    keys = sorted(r[0] for r in places.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).limit(MOST_SPLIT_KEYS).collect())
     cuts = sorted({keys[len(keys) * i // (2 * n)] for i in range(1, 2 * n)}) if len(keys) > 4 * n else []
-    step = _bucket(cuts, F.col("k"))
+    d = places.select("k", F.lit(True).alias("is_s")).unionByName(x.select("k", F.lit(False).alias("is_s")))
+    d = d.groupBy("k").agg(F.max("is_s").alias("is_s"), F.min("is_s").alias("_all")).select("k", "is_s", (~F.col("_all")).alias("is_x"))
     # Of two staggered copies, the one in which a row stands in the first half of its bucket sees all rows
     # after it, the other all rows before it; so each copy gives one side of the window.
-    d = d.withColumn("i", step).withColumn("h", F.explode(F.array(F.lit(0), F.lit(1))))
+    d = d.withColumn("i", _bucket(cuts, F.col("k"))).withColumn("id", F.xxhash64("k")).withColumn("h", F.explode(F.array(F.lit(0), F.lit(1))))
     d = d.withColumn("n", F.floor((F.col("i") + 1 - F.col("h")) / 2)).withColumn("after", (F.col("i") % 2 == 1) == (F.col("h") == 0))
-    w = "partition by h, n, substr(k, 1, 1) order by k, id rows between"
-    s_id = "collect_list(case when is_s then id end)"
-    near = F.expr(f"case when after then {s_id} over ({w} current row and {window} following) else {s_id} over ({w} {window} preceding and current row) end")
-    d = d.withColumn("near", F.when(~F.col("is_s"), near))
-    return d.where("not is_s").select(F.col("id").alias("unit"), F.explode("near").alias("sid")).distinct()
+    d = d.withColumn("kind", F.substring("k", 1, 1))
+    sides = []
+    for after, order in ((False, "k"), (True, "k desc")):
+        # The species keys up to each species key; a listing's key takes those of the last one it has passed.
+        side = d.where(F.col("is_s") | (F.col("after") == after))
+        up_to = F.expr(f"collect_list(id) over (partition by h, n, kind, is_s order by {order} rows between {window} preceding and current row)")
+        side = side.withColumn("up_to", F.when(F.col("is_s"), up_to))
+        side = side.withColumn("near", F.expr(f"last(up_to, true) over (partition by h, n, kind order by {order} rows between unbounded preceding and current row)"))
+        sides.append(side.where(F.col("is_x") & (F.col("after") == after)).select(F.col("id").alias("xk"), F.explode("near").alias("sk")))
+    near = sides[0].unionByName(sides[1]).distinct()
+    near = near.join(x.select("unit", F.xxhash64("k").alias("xk")), "xk").join(s.select("sid", F.xxhash64("k").alias("sk")), "sk").select("unit", "sid")
+    # An epithet may be shared by more species than a window holds, and an abbreviated genus sorts beside none of them.
+    stems = species.select("sid", F.explode(F.array_distinct(F.transform("binomials", lambda b: b["stem"]))).alias("stem"))
+    same = listings.select("unit", F.col("binomial.stem").alias("stem")).where("stem is not null").join(stems, "stem").select("unit", "sid")
+    return near.unionByName(same).distinct()
 
 
 def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame) -> DataFrame:

@@ -117,3 +117,33 @@ def test_components(spark):
     random.Random(2).shuffle(pairs)
     got = {r.node: r.root for r in M.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 150: 100, 200: 100, 300: 300, 301: 300}
+
+
+def test_crowded_keys_lose_no_pairs(spark):
+    s = M.species_units(spark.createDataFrame([rec(i, f"{g}us ruficauda", "Marsh Owl") for i, g in enumerate("ABCDEFGHIJKLMNOPQRST", 1)] + [rec(30, "Zonus unicus", "Reed Hen")], REC))
+    x = [(100 + i, f"Xenus strange{i}us", "Reed Hen", None, None, "birds", "e") for i in range(30)]
+    x += [(200, "S. ruficauda", None, None, None, None, "e"), (201, "Nix nox", "Owl, Marsh", None, None, None, "e")]
+    x += [(300 + i, None, f"Reed Hem{chr(97 + i)}", None, None, None, "e") for i in range(20)]
+    u, _ = M.listing_units(spark.createDataFrame(x, XC))
+    got = {tuple(p) for p in M.neighbours(checkpoint(s), checkpoint(u)).collect()}
+    assert {(100 + i, 30) for i in range(30)} | {(300 + i, 30) for i in range(20)} <= got
+    assert {(200, i) for i in range(1, 21)} | {(201, i) for i in range(1, 21)} <= got
+
+
+def test_window_over_species_keys_by_brute_force(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abc") for _ in range(4))
+    english = [word() for _ in range(60)]
+    s = checkpoint(M.species_units(spark.createDataFrame([rec(i, f"G{i}", e) for i, e in enumerate(english)], REC)))
+    listed = [word() for _ in range(90)]
+    u = checkpoint(M.listing_units(spark.createDataFrame([(1000 + i, None, e, None, None, None, "e") for i, e in enumerate(listed)], XC))[0])
+    first = {e: 1000 + listed.index(e) for e in listed}
+    want = set()
+    for turn in (lambda w: w, lambda w: w[::-1]):
+        places = sorted({turn(e) for e in english})
+        for e, unit in first.items():
+            k = turn(e)
+            near = {*[p for p in places if p <= k][-4:], *[p for p in places if p >= k][:4]}
+            want |= {(unit, i) for i, x in enumerate(english) if turn(x) in near}
+    assert {tuple(p) for p in M.neighbours(s, u, window=3, buckets=1).collect()} == want
+    assert {tuple(p) for p in M.neighbours(s, u, window=3, buckets=2).collect()} == want
