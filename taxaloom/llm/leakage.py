@@ -3,8 +3,9 @@
 The test items are normalised (case, punctuation, layout, look-alike characters) to word ids and
 put into one suffix automaton, built once on the driver: the items are a fixed small table whose
 size is checked against MOST_ITEM_WORDS, and the automaton is broadcast. Corpus tokens stream
-through it partition by partition, tracking the longest matching length; every maximal match is
-laid onto the items it occurs in, and matches of one item on one diagonal, apart by a changed word
+through it partition by partition, tracking the longest matching length; at each end the suffix
+links lead to the items that share a shorter run, so that every match of a text and an item which
+neither side extends is laid onto that item, and matches of one item on one diagonal, apart by a changed word
 here and there, are joined to runs. A run counts from LEAST_WORDS matching words on (`least`), or
 when it covers nearly all of a shorter item. An instruction line that opens many items is left
 out of all of them: it is found as an opening sentence that several items share.
@@ -64,16 +65,24 @@ class Automaton:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
         self.ends: list[list[tuple[int, int]]] = [[]]
+        self.sequences, tips = sequences, []
         for i, seq in enumerate(sequences):
             last = 0
             for j, c in enumerate(seq):
                 last = self._extend(last, c)
                 self.ends[last].append((i, j))
+            tips.append(last)
         order = sorted(range(len(self.len)), key=self.len.__getitem__, reverse=True)
         self.children: list[list[int]] = [[] for _ in self.len]
         for s in order:
             if self.link[s] >= 0:
                 self.children[self.link[s]].append(s)
+        #: Whether a sequence ends with the words of a state.
+        self.closes = [False] * len(self.len)
+        for s in tips:
+            while s > 0 and not self.closes[s]:
+                self.closes[s] = True
+                s = self.link[s]
 
     def _new(self, length: int, link: int, nxt: dict[int, int]) -> int:
         self.next.append(nxt)
@@ -106,13 +115,13 @@ class Automaton:
             p = self.link[p]
         return clone
 
-    def occurrences(self, state: int) -> list[tuple[int, int]]:
-        """(sequence, end) of all places where the words of a state stand."""
+    def occurrences(self, state: int, but: int = -1) -> list[tuple[int, int]]:
+        """(sequence, end) of all places where the words of a state stand, without those of its child `but`."""
         out, todo = [], [state]
         while todo:
             s = todo.pop()
             out += self.ends[s]
-            todo += self.children[s]
+            todo += [x for x in self.children[s] if x != but]
         return out
 
     def matches(self, seq: list[int], least: int) -> list[tuple[int, int, int]]:
@@ -132,6 +141,29 @@ class Automaton:
         return out
 
 
+    def placed(self, seq: list[int], least: int) -> Iterator[tuple[int, int, int, int, bool]]:
+        """(sequence, its start, start in seq, length) of every match of `least` words or more that neither side extends.
+
+        The last field tells whether no sequence matches longer at that end.
+        """
+        s, n = 0, 0
+        for j, c in enumerate([*seq, None]):
+            at, k, below = s, n, -1
+            while at > 0 and k >= least:
+                if c not in self.next[at] or len(self.next[at]) > 1 or self.closes[at]:
+                    for i, end in self.occurrences(at, below):
+                        own = self.sequences[i]
+                        if end + 1 == len(own) or own[end + 1] != c:
+                            yield i, end - k + 1, j - k, k, below < 0 and c not in self.next[at]
+                below, at = at, self.link[at]
+                k = self.len[at]
+            while s and c not in self.next[s]:
+                s = self.link[s]
+                n = self.len[s]
+            if c in self.next[s]:
+                s, n = self.next[s][c], n + 1
+
+
 def without_instructions(items: list[tuple[int, str | None]], shared: int = 4) -> list[tuple[int, list[str]]]:
     """Normalised words of each item without an opening sentence that at least `shared` items begin with."""
     first: Counter = Counter()
@@ -167,14 +199,20 @@ class Index:
         """(item id, matching words, span, coverage of the item) of every item that leaked into the text."""
         seq = [self.vocabulary.get(w, -1) for w in tokens(text)]
         seeds: dict[int, list[tuple[int, int, int]]] = {}
-        for end, n, state in self.automaton.matches(seq, SEED):
-            for item, at in self.automaton.occurrences(state):
-                k = min(n, at + 1)
-                seeds.setdefault(item, []).append((end - k + 1, at - k + 1, k))
+        longest: dict[int, list[tuple[int, int, int]]] = {}
+        for item, a, d, k, top in self.automaton.placed(seq, SEED):
+            seeds.setdefault(item, []).append((d, a, k))
+            if top:
+                longest.setdefault(item, []).append((d, a, k))
         out = []
         for item, runs in seeds.items():
-            if sum(k for _, _, k in runs) >= min(least, self.sizes[item]):
-                best = self._join(runs, least, self.sizes[item])
+            size = self.sizes[item]
+            # Phrases that many items share are bridged only where no item matches longer, or beside a run that counts by itself.
+            whole = max(k for _, _, k in runs)
+            if not (whole >= least or size < least and whole >= 0.9 * size):
+                runs = longest.get(item, [])
+            if sum(k for _, _, k in runs) >= min(least, size):
+                best = self._join(runs, least, size)
                 if best:
                     out.append((self.ids[item], best[0], best[1], round(best[0] / self.sizes[item], 4)))
         return out

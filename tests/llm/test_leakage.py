@@ -60,3 +60,33 @@ def test_over_spark(spark):
 def test_bound():
     with pytest.raises(ValueError):
         L.Index([(1, "w " * (L.MOST_ITEM_WORDS + 1))])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=12), min_size=1, max_size=4), st.lists(st.integers(0, 3), max_size=15))
+def test_matches_of_every_item_by_brute_force(items, seq):
+    want = set()
+    for i, s in enumerate(items):
+        for a in range(len(s)):
+            for d in range(len(seq)):
+                k = 0
+                while a + k < len(s) and d + k < len(seq) and s[a + k] == seq[d + k]:
+                    k += 1
+                if k >= 2 and (a == 0 or d == 0 or s[a - 1] != seq[d - 1]):
+                    want.add((i, a, d, k))
+    got = [m[:4] for m in L.Automaton(items).placed(seq, 2)]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_nested_and_overlapping_items():
+    w = [f"w{i}" for i in range(40)]
+    items = [w, w[:14], w[26:], w[10:24], [*w[5:18], *"other words behind it".split()], [*"new words before".split(), *w[30:]], [*"x y z".split(), *w[8:22], *"a b".split()]]
+    text = " ".join(["before", *w, "after"])
+    long = {i for i, s in enumerate(items) if any(" ".join(s[a : a + 12]) in text for a in range(len(s) - 11))}
+    assert long == {0, 1, 2, 3, 4, 6} and found(text, [(i, " ".join(s)) for i, s in enumerate(items)]) == long
+
+
+def test_shared_phrases_are_no_leak():
+    items = [(i, f"while the bells rang twice between {y} and the flood three cyclists moved {x} geese") for i, (y, x) in enumerate([("1966", "marked"), ("1903", "wild")])]
+    longer = (9, "so it was while the bells rang twice between meals")
+    assert found("so it was while the bells rang twice between 1777 and the flood three cyclists moved on", [*items, longer]) == set()
