@@ -35,6 +35,11 @@ def accent_fold(spark, sf):
     return d.select("name_id", normalise("common_name").alias("folded"))
 
 
+def accent_fold_all(spark, sf):
+    """All names without case and accents. No SQL twin: DuckDB folds other letters than NFD does."""
+    return names(spark, sf).select("name_id", normalise("common_name").alias("folded"))
+
+
 def locale_normalized(spark, sf):
     """Names by normalised locale."""
     return names(spark, sf).groupBy(T.normalize_locale("locale").alias("locale")).agg(F.count("*").alias("n"))
@@ -59,7 +64,7 @@ def labels_kept(spark, sf):
     return d.groupBy("scientific_name").agg(F.countDistinct("locale").alias("locales"))
 
 
-QUERIES = {f.__name__: f for f in (clean_names, ordered_aliases, aliases_without_case, accent_fold, locale_normalized, genus_counts, translated_only, labels_kept)}
+QUERIES = {f.__name__: f for f in (clean_names, ordered_aliases, aliases_without_case, accent_fold, accent_fold_all, locale_normalized, genus_counts, translated_only, labels_kept)}
 
 _B, _X = SQL_BINOMIAL, SQL_BAD
 ORACLE = {

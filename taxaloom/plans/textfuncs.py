@@ -31,7 +31,15 @@ def url_titles(spark, sf):
 
 def media_urls(spark, sf):
     """Addresses and cache keys made of names."""
-    d = records(spark, sf).where(F.col("common_name").rlike("^[A-Za-z ]+$"))
+    return _media_urls(records(spark, sf).where(F.col("common_name").rlike("^[A-Za-z ]+$")))
+
+
+def media_urls_all(spark, sf):
+    """The same of all records. No SQL twin: DuckDB quotes addresses otherwise."""
+    return _media_urls(records(spark, sf))
+
+
+def _media_urls(d):
     return d.select("rec_id", T.commons_url(F.concat("common_name", F.lit(".jpg"))).alias("url"), T.cache_key("scientific_name").alias("key"))
 
 
@@ -51,7 +59,15 @@ def tags_stripped(spark, sf):
 
 def author_lines(spark, sf):
     """Authors read from attribution lines made of names and sources."""
-    d = names(spark, sf).where(F.col("common_name").rlike("^[A-Za-z ]+$") & F.col("name_source").isNotNull())
+    return _author_lines(names(spark, sf).where(F.col("common_name").rlike("^[A-Za-z ]+$") & F.col("name_source").isNotNull()))
+
+
+def author_lines_all(spark, sf):
+    """The same of all names. No SQL twin: the rules of `image_author` apply to names with marks and brackets."""
+    return _author_lines(names(spark, sf))
+
+
+def _author_lines(d):
     line = F.when(F.col("name_source") == "inat", F.concat(F.lit("(c) "), "common_name", F.lit(", some rights reserved (CC BY-NC)"))).when(F.col("name_source") == "ebird", F.concat(F.lit("Photo - "), "common_name", F.lit(" / Macaulay Library ML1"))).otherwise(F.concat("common_name", F.lit(" [x], ")))
     return d.select("name_id", T.image_author(line, "name_source").alias("author"))
 
@@ -73,7 +89,7 @@ def file_names(spark, sf):
     return d.select("rec_id", F.concat(part("scientific_name"), F.lit("_"), part("common_name"), F.lit("_"), F.rtrim(F.substring(part("common_name_alt"), 1, 60)), F.lit(".webp")).alias("file"))
 
 
-QUERIES = {f.__name__: f for f in (word_counts, spaces_normalized, species_identity, url_titles, media_urls, name_parts, code_variants, tags_stripped, author_lines, selected_descriptions, truncated_texts, file_names)}
+QUERIES = {f.__name__: f for f in (word_counts, spaces_normalized, species_identity, url_titles, media_urls, media_urls_all, name_parts, code_variants, tags_stripped, author_lines, author_lines_all, selected_descriptions, truncated_texts, file_names)}
 
 def _part_sql(c: str) -> str:
     return rf"case when coalesce({c}, '') = '' then 'unknown' else trim(regexp_replace(replace(replace(regexp_replace(nfc_normalize({c}), '\p{{C}}', '', 'g'), '/', ' '), '\', ' '), '[\s\p{{Z}}]+', ' ', 'g')) end"
