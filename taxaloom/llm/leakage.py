@@ -221,11 +221,14 @@ class Index:
         """The longest chain of matches in the same order on both sides with few changed words between them."""
         runs = sorted(set(runs))
         best: list[tuple[int, int]] = []
-        top = None
+        top, longest = None, 0
         for i, (d, a, k) in enumerate(runs):
             mine = (k, k)
-            for j in range(i - 1, max(-1, i - 40), -1):
+            longest = max(longest, k)
+            for j in range(i - 1, -1, -1):
                 d0, a0, k0 = runs[j]
+                if d - d0 > MOST_CHANGED + longest:
+                    break
                 gd, ga = d - (d0 + k0), a - (a0 + k0)
                 if gd > MOST_CHANGED + k0:
                     continue

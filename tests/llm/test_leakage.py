@@ -90,3 +90,10 @@ def test_shared_phrases_are_no_leak():
     items = [(i, f"while the bells rang twice between {y} and the flood three cyclists moved {x} geese") for i, (y, x) in enumerate([("1966", "marked"), ("1903", "wild")])]
     longer = (9, "so it was while the bells rang twice between meals")
     assert found("so it was while the bells rang twice between 1777 and the flood three cyclists moved on", [*items, longer]) == set()
+
+
+def test_chain_over_many_seeds_at_one_place():
+    index = L.Index([(1, " ".join(f"x{i}" for i in range(200)))])
+    seeds = [(0, 0, 11), *[(12, 100 + i, 3) for i in range(45)], (12, 180, 8)]
+    assert index._join([*seeds, (12, 12, 8)], 12, 200) == (19, 20)
+    assert index._join([(0, 50, 11), *[(1 + i % 9, 80 + i, 3) for i in range(90)], (12, 62, 8)], 12, 200) == (19, 20)
