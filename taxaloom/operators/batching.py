@@ -4,21 +4,27 @@ The rule is sequential within a group, and a group may hold a large share of all
 solved exactly in pieces: rows are range-partitioned by group and order; each piece tells, for
 every place at which a batch could begin near its start, in which state it leaves its end; a scan
 over these few states of a group (one a piece) fixes where each piece really begins; the pieces
-then number their batches on their own. A batch holds at most `most` items, so states are small.
+then number their batches on their own. Items are numbers (texts are measured first, in the JVM), a
+batch holds at most `most` of them and a piece about PIECE rows, so that pieces and states are small.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.functions.udf import cut_at_sentence, encode_batch
+from taxaloom.functions.passages import ended_at_sentence, ended_with_ellipsis
+from taxaloom.operators.ordering import global_rank
 from taxaloom.session import checkpoint
 
+#: Rows of a piece, on average.
+PIECE = 50_000
+
 Fits = Callable[[list], bool]
 
 
@@ -27,16 +33,30 @@ def by_budget(budget: int, most: int) -> Fits:
     return lambda items: len(items) <= max(1, most) and sum(max(1, x) for x in items) <= max(1, budget)
 
 
-def by_rendered_length(most_chars: int, most: int) -> Fits:
-    """Items are texts: rendered with markers, each cut to an equal share, they stay within `most_chars`."""
+class Rendered:
+    """Texts rendered with markers, each cut to an equal share, stay within `most_chars`.
+
+    Such an item is a list: its length when cut to the share of a batch of 1, 2, ... `most` items.
+    """
+
+    def __init__(self, most_chars: int, most: int):
+        self.most_chars, self.most = most_chars, most
+        #: Characters of the markers and gaps of a batch of n items.
+        self.around = [sum(len(f"[[[{i}]]]\n") for i in range(1, n + 1)) + 2 * max(0, n - 1) for n in range(most + 1)]
+
+    def share(self, n: int) -> int:
+        return max(80, self.most_chars // n - 16)
+
+    def measure(self, text: Column) -> Column:
+        return F.array(*[F.length(ended_at_sentence(text, self.share(n))).cast("bigint") for n in range(1, self.most + 1)])
 
-    def fits(items: list) -> bool:
-        if len(items) > most:
-            return False
-        share = max(80, most_chars // len(items) - 16)
-        return len(encode_batch([cut_at_sentence(t, share) for t in items])) <= most_chars
+    def __call__(self, items: list) -> bool:
+        n = len(items)
+        return n <= self.most and self.around[n] + sum(x[n - 1] for x in items) <= self.most_chars
 
-    return fits
+
+def _plain(items: pd.Series) -> list:
+    return [x if isinstance(x, int) else list(map(int, x)) for x in items.tolist()]
 
 
 def _next_starts(items: list, fits: Fits) -> list[int]:
@@ -66,16 +86,15 @@ def greedy_batches(df: DataFrame, group: list[str], ord_: str, item: str, fits:
     null items count as empty.
     """
     spark = df.sparkSession
-    n = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    kind = "bigint" if dict(df.dtypes)[item] in ("bigint", "int") else "string"
-    empty = F.lit(0) if kind == "bigint" else F.lit("")
+    n = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / PIECE))
+    x = fits.measure(F.coalesce(item, F.lit(""))) if isinstance(fits, Rendered) else F.coalesce(F.col(item).cast("bigint"), F.lit(0))
     gid = F.to_json(F.struct(*group)) if group else F.lit("{}")
-    d = df.select(gid.alias("g"), F.col(ord_).alias("o"), F.coalesce(F.col(item).cast(kind), empty).alias("x"))
+    d = df.select(gid.alias("g"), F.col(ord_).alias("o"), x.alias("x"))
     d = checkpoint(d.repartitionByRange(n, "g", "o").withColumn("p", F.spark_partition_id()))
 
     def ends(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("o")
-        items = pdf["x"].tolist()
+        items = _plain(pdf["x"])
         nxt = _next_starts(items, fits)
         out = []
         for j in range(min(most + 1, len(items))):
@@ -100,7 +119,7 @@ def greedy_batches(df: DataFrame, group: list[str], ord_: str, item: str, fits:
 
     def number(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("o")
-        nxt = _next_starts(pdf["x"].tolist(), fits)
+        nxt = _next_starts(_plain(pdf["x"]), fits)
         starts = set(_walk(nxt, int(pdf["first"].iloc[0]))[0])
         at, out = int(pdf["begun"].iloc[0]) - 1, []
         for i in range(len(pdf)):
@@ -117,10 +136,13 @@ def greedy_batches(df: DataFrame, group: list[str], ord_: str, item: str, fits:
 
 
 def by_signature(df: DataFrame, signature: str, ord_: str, text: str, budget: int, most: int, most_chars: int) -> DataFrame:
-    """Batches of the rows with the same (array) signature: larger groups first, then longer signatures."""
-    from taxaloom.functions.udf import truncate
+    """Batches of the rows with the same (array) signature, with the group's size and the batch's turn from 1.
 
-    d = df.withColumn("_len", F.length(truncate(most_chars, ellipsis=True)(text)).cast("bigint")).withColumn("_sig", F.array_join(signature, ","))
+    Turns go to larger groups first, then to longer signatures, then by signature and batch.
+    """
+    d = df.withColumn("_len", F.length(ended_with_ellipsis(text, most_chars)).cast("bigint")).withColumn("_sig", F.array_join(signature, ","))
     b = greedy_batches(d, ["_sig"], ord_, "_len", by_budget(budget, most), most)
-    size = d.groupBy("_sig").agg(F.count("*").alias("group_size"))
-    return b.join(size, "_sig").drop("_len", "_sig")
+    size = d.groupBy("_sig").agg(F.count("*").alias("group_size"), F.first(F.size(signature)).alias("_n"))
+    turns = b.select("_sig", "batch").distinct().join(size, "_sig")
+    turns = global_rank(turns, [F.desc("group_size"), F.desc("_n"), F.col("_sig"), F.col("batch")], "turn").select("_sig", "batch", "group_size", "turn")
+    return b.join(turns, ["_sig", "batch"]).drop("_len", "_sig")

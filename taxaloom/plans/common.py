@@ -19,6 +19,30 @@ def words_sql(expr: str) -> str:
     return SQL_WORDS.format(f"coalesce({expr}, '')")
 
 
+def strip_sql(expr: str) -> str:
+    return rf"regexp_replace({expr}, '^[\s\p{{Z}}\x{{85}}\x0b]+|[\s\p{{Z}}\x{{85}}\x0b]+$', '', 'g')"
+
+
+def _last_sql(head: str, mark: str) -> str:
+    """Characters before the last place of a mark."""
+    q = mark.replace(".", r"\.").replace("?", r"\?").replace("\n", r"\n")
+    return f"case when regexp_matches({head}, '(?s)^.*{q}') then length(regexp_extract({head}, '(?s)^(.*){q}', 1)) end"
+
+
+def sentence_sql(text: str, most: int) -> str:
+    """A text of at most `most` characters, to a sentence's or a word's end."""
+    head, low = f"substr({text}, 1, {most})", most // 3
+    at = ", ".join(f"case when {_last_sql(head, m)} >= {low} then {_last_sql(head, m)} + 1 end" for m in (". ", "! ", "? ", ".\n", "!\n", "?\n"))
+    return f"case when length({text}) <= {most} then {text} else {strip_sql(f'substr({head}, 1, coalesce({at}, case when {_last_sql(head, chr(32))} >= {low} then {_last_sql(head, chr(32))} end, {most}))')} end"
+
+
+def ellipsis_sql(text: str, most: int) -> str:
+    """The same past the half, with an ellipsis after a word."""
+    head = f"substr({text}, 1, {most})"
+    at = ", ".join(f"case when {_last_sql(head, m)} > {most // 2} then {_last_sql(head, m)} + 1 end" for m in (". ", ".\n", "! ", "? "))
+    return f"case when length({text}) <= {most} then {text} else coalesce(substr({head}, 1, coalesce({at})), substr({head}, 1, coalesce({_last_sql(head, ' ')}, {most})) || '…') end"
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """species_records with `ord` and an image address for records with a numeric id."""
     d = table(ensure(spark), sf_dir, "species_records").withColumn("ord", F.col("rec_id"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from taxaloom.functions import passages as P
 from taxaloom.functions import text as T
 from taxaloom.functions import udf as U
-from taxaloom.plans.common import documents, names, records, words_sql
+from taxaloom.plans.common import documents, ellipsis_sql, names, records, sentence_sql, strip_sql, words_sql
 
 
 def word_counts(spark, sf):
@@ -74,13 +75,13 @@ def _author_lines(d):
 
 def selected_descriptions(spark, sf):
     """Concise descriptions: the first paragraphs up to enough words."""
-    return documents(spark, sf).select("doc_id", U.select_description(40, 120)("text").alias("description"))
+    return documents(spark, sf).select("doc_id", P.selected_description("text", 40, 120).alias("description"))
 
 
 def truncated_texts(spark, sf):
     """Texts cut for requests of 480 characters, at sentences."""
     d = documents(spark, sf).where("text is not null")
-    return d.select("doc_id", U.truncate(480)("text").alias("plain"), U.truncate(480, ellipsis=True)("text").alias("marked"))
+    return d.select("doc_id", P.ended_at_sentence("text", 480).alias("plain"), P.ended_with_ellipsis("text", 480).alias("marked"))
 
 
 def file_names(spark, sf):
@@ -96,6 +97,13 @@ def _part_sql(c: str) -> str:
 
 
 ORACLE = {
+    "truncated_texts": f"select doc_id, {sentence_sql(strip_sql('text'), 480)} as plain, {ellipsis_sql('text', 480)} as marked from documents where text is not null",
+    # Paragraphs until 120 words, of at most three and none from a closing heading on.
+    "selected_descriptions": rf"""with p as (select doc_id, [x for x in [trim(regexp_replace(y, '[\s\p{{Z}}\x{{85}}]+', ' ', 'g')) for y in regexp_split_to_array({strip_sql(r"replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10))")}, '\n\n+')] if x <> ''] as ps from documents),
+        u as (select doc_id, unnest(ps) as p, generate_subscripts(ps, 1) as i from p),
+        h as (select *, min(case when regexp_matches(p, '(?i)^(references|external links|further reading|see also)\b') then i else 1000000 end) over (partition by doc_id) as closing from u),
+        w as (select *, coalesce(sum({words_sql('p')}) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as before from h where i < closing and i <= 3)
+        select doc_id, coalesce(string_agg(p, chr(10) || chr(10) order by i) filter (i = 1 or before < 120), '') as description from (select doc_id from documents) left join w using (doc_id) group by 1""",
     "file_names": f"select rec_id, {_part_sql('scientific_name')} || '_' || {_part_sql('common_name')} || '_' || rtrim(substr({_part_sql('common_name_alt')}, 1, 60)) || '.webp' as file from species_records",
     "word_counts": f"select doc_id, {words_sql('text')} as words from documents",
     "spaces_normalized": r"select doc_id, length(t) as n, md5(t) as h from (select doc_id, trim(regexp_replace(text, '[\s\x{A0}\x{2000}-\x{200A}\x{202F}\x{3000}\x{85}\x{2028}\x{2029}]+', ' ', 'g')) as t from documents where text is not null)",

@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from taxaloom.functions import udf as U
 from taxaloom.operators import batching as B
 from taxaloom.operators import geometry as G
 
@@ -30,11 +31,19 @@ def test_budget_batches_as_in_order(spark, sizes, budget, most, parts):
 
 def test_rendered_batches(spark):
     texts = ["One. " * k for k in (3, 50, 2, 2, 2, 200, 1)] + [None]
-    fits = B.by_rendered_length(480, 3)
+
+    def cut(t, most):
+        t = t.strip()
+        return t if len(t) <= most else t[: t[:most].rfind(". ") + 1]
+
+    def fits(items):
+        share = max(80, 480 // len(items) - 16)
+        return len(items) <= 3 and len(U.encode_batch([cut(t, share) for t in items])) <= 480
+
     d = spark.createDataFrame(list(enumerate(texts)), "i bigint, t string")
-    got = [r.batch for r in B.greedy_batches(d, [], "i", "t", fits, 3, 3).orderBy("i").collect()]
+    got = [r.batch for r in B.greedy_batches(d, [], "i", "t", B.Rendered(480, 3), 3, 3).orderBy("i").collect()]
     assert got == sequential([t or "" for t in texts], fits)
-    assert B.greedy_batches(d.where("false"), [], "i", "t", fits, 3).count() == 0
+    assert B.greedy_batches(d.where("false"), [], "i", "t", B.Rendered(480, 3), 3).count() == 0
 
 
 def test_boxes():

@@ -1,9 +1,12 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from taxaloom.functions import maps, providers
+from taxaloom.functions import passages as P
 from taxaloom.functions import text as T
 from taxaloom.functions import udf as U
 
@@ -18,10 +21,14 @@ def test_names(spark):
     assert values(spark, ["Owl", "A  b", "x/y", " ", None, "tab\tx"], T.is_clean_common_name("x")) == [True, False, False, False, False, True]
 
 
+def count_words(t):
+    return len(re.findall(r"\b[\w'-]+\b", t)) + len(re.findall("[㐀-䶿一-鿿぀-ヿ가-힯]", t))
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="ab '-_ éжß中ひ한9.,", max_size=20), min_size=1, max_size=30))
 def test_word_count_as_in_python(spark, texts):
-    assert values(spark, texts, T.word_count("x")) == [U.count_words(t) for t in texts]
+    assert values(spark, texts, T.word_count("x")) == [count_words(t) for t in texts]
 
 
 def test_strip_and_space(spark):
@@ -58,22 +65,31 @@ def test_folding_keeps_letters_without_marks(spark):
     assert values(spark, ["Élan", "й", "ß", "İ", None], U.normalise("x")) == ["elan", "и", "ß", "i", ""]
 
 
-def test_descriptions():
+def test_descriptions(spark):
     para = "word " * 50
     text = f"{para}\n\n{para}\n\nReferences\n\nx"
-    assert U.count_words(U.choose_description(text, 40, 45)) == 50
-    assert U.count_words(U.choose_description(text, 40, 80)) == 100
-    assert U.choose_description("", 1, 1) == "" and U.choose_description("References", 1, 1) == ""
-    assert U.cut_at_sentence("One two. Three four five", 12) == "One two."
-    assert U.cut_with_ellipsis("One two three four", 12) == "One two…"
-    assert U.cut_at_sentence("x" * 9, 0) == "x" * 9
+    chosen = lambda *a: values(spark, [text, "", None, "References", "Referencesx y"], P.selected_description("x", *a))
+    assert [count_words(t) for t in chosen(40, 45)] == [50, 0, 0, 0, 2]
+    assert [count_words(t) for t in chosen(40, 80)] == [100, 0, 0, 0, 2]
+    # Fewer paragraphs than asked for, of more than twice the words: leading sentences until there are enough.
+    assert values(spark, ["A b c. D e f! G h i? J.\r\rsee also"], P.selected_description("x", 1, 4, 2, 2)) == ["A b c. D e f!"]
+    assert values(spark, ["A b c. D e f! G h i."], P.selected_description("x", 1, 5, 2, 2)) == ["A b c. D e f! G h i."]
+
+
+def test_ended_texts(spark):
+    rows = ["One two. Three four five", "abcdefghijkl mnop", "abcdefghijklmnopq", " short ", None, "A! bcdefgh. ijklmnop", "Né. 😀😀 aa bb cc dd"]
+    assert values(spark, rows, P.ended_at_sentence("x", 12)) == ["One two.", "abcdefghijkl", "abcdefghijkl", "short", "", "A! bcdefgh.", "Né. 😀😀 aa"]
+    assert values(spark, ["x" * 9], P.ended_at_sentence("x", 0)) == ["x" * 9]
+    assert values(spark, ["One two three four", "One two. Three four", "aaaaaaaaaaaaaaaa", None, "x"], P.ended_with_ellipsis("x", 12)) == ["One two…", "One two.", "aaaaaaaaaaaa…", "", "x"]
 
 
 def test_repair():
     assert U.repair_json('```json\n{"a": "b",}\n```') == {"a": "b"}
     assert U.repair_json('x {"a": {"b": "c"} y') == {"a": {"b": "c"}}
     assert U.repair_json('{"a": "b", "c": oops, "d": "e"}') == {"a": "b", "d": "e"}
-    assert U.repair_json("nothing") == {} and U.repair_json(None) == {}
+    assert U.repair_json("nothing") == {} and U.repair_json(None) == {} and U.repair_json("} {") == {}
+    assert U.repair_json('{"a": "x, }", "b": [1, 2,],}') == {"a": "x, }", "b": [1, 2]}
+    assert U.repair_json('{"a": "q\\"u\\n", "b": oops}') == {"a": 'q"u\n'}
 
 
 def test_markers():
