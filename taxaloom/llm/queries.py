@@ -72,7 +72,7 @@ def p5_sources(spark, sf_dir):
 
 
 def p7_leaks(spark, sf_dir):
-    """Items found in documents, with matching words, span and coverage of the item."""
+    """Items found in documents, with matching words, span, coverage of the item and the place in the text."""
     return leakage.find_leaks(table(ensure(spark), sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
@@ -81,6 +81,11 @@ def p7_found(spark, sf_dir):
     return p7_leaks(spark, sf_dir).select("item_id", "doc_id").distinct()
 
 
+def p7_cleaned(spark, sf_dir):
+    """Documents without their leaked spans."""
+    return leakage.without_leaks(table(ensure(spark), sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "eval_items"))
+
+
 def p8_mix(spark, sf_dir):
     """Documents of each mix with the number of times each is used."""
     prepared = mixing.prepare(table(ensure(spark), sf_dir, "documents"), materialise=checkpoint)
@@ -128,6 +133,7 @@ QUERIES = {
     "p9_profile": p9_profile,
     "p7_found": p7_found,
     "p7_leaks": p7_leaks,
+    "p7_cleaned": p7_cleaned,
     "p5_found": p5_found,
     "p5_sources": p5_sources,
     "p6_found": p6_found,

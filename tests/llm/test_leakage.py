@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -23,8 +22,12 @@ def test_automaton_as_by_brute_force(items, seq):
     assert longest == want
 
 
+def index(items):
+    return L.Index(L.without_instructions(items))
+
+
 def found(text, items=((1, ITEM),)):
-    return {i for i, *_ in L.Index(list(items)).search(text)}
+    return {i for i, *_ in index(list(items)).search(text)}
 
 
 def test_whole_part_and_changed():
@@ -57,9 +60,14 @@ def test_over_spark(spark):
     assert L.find_leaks(docs.where("false"), items).count() == 0 and L.find_leaks(docs, items.where("false")).count() == 0
 
 
-def test_bound():
-    with pytest.raises(ValueError):
-        L.Index([(1, "w " * (L.MOST_ITEM_WORDS + 1))])
+def test_many_items_are_searched_in_turns(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_ITEM_WORDS", 60)
+    w = [f"w{i}" for i in range(400)]
+    items = spark.createDataFrame([(str(i), " ".join(w[i * 10 : i * 10 + 20])) for i in range(30)] + [("long", " ".join(w[300:]))], "item_id string, text string")
+    docs = spark.createDataFrame([(i, " ".join(w[i * 10 : i * 10 + 14])) for i in range(30)], "doc_id bigint, text string")
+    assert len(L._indexes(items, "item_id", "text")) > 4
+    got = sorted((r.item_id, r.doc_id) for r in L.find_leaks(docs, items).collect())
+    assert got == sorted((str(i), i) for i in range(30))
 
 
 @settings(max_examples=200, deadline=None)
@@ -93,7 +101,38 @@ def test_shared_phrases_are_no_leak():
 
 
 def test_chain_over_many_seeds_at_one_place():
-    index = L.Index([(1, " ".join(f"x{i}" for i in range(200)))])
+    i = index([(1, " ".join(f"x{i}" for i in range(200)))])
     seeds = [(0, 0, 11), *[(12, 100 + i, 3) for i in range(45)], (12, 180, 8)]
-    assert index._join([*seeds, (12, 12, 8)], 12, 200) == (19, 20)
-    assert index._join([(0, 50, 11), *[(1 + i % 9, 80 + i, 3) for i in range(90)], (12, 62, 8)], 12, 200) == (19, 20)
+    assert i._join([*seeds, (12, 12, 8)], 12, 200)[0] == (0, 20, 19)
+    assert i._join([(0, 50, 11), *[(1 + i % 9, 80 + i, 3) for i in range(90)], (12, 62, 8)], 12, 200)[0] == (0, 20, 19)
+
+
+def test_changed_words_in_a_short_piece_and_inside_longer_items():
+    w = ITEM.split()
+    assert found(" ".join([*w[:8], "otherwise", *w[9:13]])) == {1}
+    # The copy matches a longer item up to the changed words, the excerpt is found beside it.
+    items = [(1, ITEM), (2, " ".join(w[2:18]))]
+    assert found(" ".join([*w[:10], "some", *w[11:]]), items) == {1, 2}
+
+
+def test_instruction_of_two_items_and_common_beginnings():
+    head = "Please read the short passage with care and answer each of the questions below."
+    assert found(head, [(1, f"{head} one two three four"), (2, f"{head} five six seven eight")]) == set()
+    assert found(head, [(1, f"{head} one two three four"), (2, f"{head} one two three four five")]) == {1, 2}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aéÉ'’ß ﬁ-\n\u00ad\u0301.İ１ж а1", max_size=30))
+def test_places_of_words(text):
+    words, at = L.located(text)
+    assert words == L.tokens(text)
+    assert all(0 <= a < z <= len(text) for a, z in at) and all(x[1] <= y[0] or x == y or x[0] <= y[0] for x, y in zip(at, at[1:]))
+
+
+def test_removal(spark):
+    docs = spark.createDataFrame([(1, f"Before it. {ITEM.upper()}. And after.", "k"), (2, None, "k"), (3, "", "k"), (4, f"{ITEM} {ITEM}", "k"), (5, "nothing", "k"), (5, "nothing", "k")], "doc_id bigint, text string, _cut string")
+    items = spark.createDataFrame([(1, ITEM), (2, " ".join(ITEM.split()[:15]))], "item_id bigint, text string")
+    got = sorted(((r.doc_id, r.text, r.removed_words) for r in L.without_leaks(docs.withColumnRenamed("_cut", "item_id"), items).collect()), key=str)
+    n = len(ITEM.split())
+    assert got == [(1, "Before it. . And after.", n), (2, None, 0), (3, "", 0), (4, "", 2 * n), (5, "nothing", 0), (5, "nothing", 0)]
+    assert {(r.item_id, r.start, r.end) for r in L.find_leaks(docs.where("doc_id = 1"), items).collect()} == {(1, 11, 11 + len(ITEM)), (2, 11, 11 + len(" ".join(ITEM.split()[:15])))}
