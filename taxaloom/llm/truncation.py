@@ -1,18 +1,21 @@
 """Texts cut off at a field limit or in transfer, and how often each source cuts.
 
-Each text runs through a stack automaton: brackets, quotes and markup tags push and pop, and what
-is left open at the end, a broken escape, entity or multibyte sequence, a mark put at a cut
-(ellipsis, "read more"), or a missing terminator makes it a suspect. A missing terminator alone
-proves nothing, since some sources never write one and some texts end without. Suspects are
-therefore held against baselines counted over all texts:
-
-* how often the same last words end a closed sentence, of all times they occur, also within
-  sentences that begin alike;
-* how often a sentence that begins with the same words is closed at all;
-* lengths at which unclosed texts of the same source pile up (its field limit).
-
-The baselines are pre-aggregated in Python per batch, summed by key in one shuffle and joined to
-the suspects by key; nothing is collected or broadcast.
+Each text runs through a stack automaton: brackets, quotes and markup tags push and pop. What is
+left open at the end, a broken escape, entity or multibyte sequence, a broken word at a hyphen and a mark put at
+a cut (ellipsis, "read more") prove a cut. A missing terminator proves nothing by itself; it is held
+against the baselines of its source:
+
+* the share of the source's texts of that kind (one segment, or more) that have a terminator: where
+  single segments mostly have none, as in lists of short phrases, a missing one says nothing;
+* the lengths of its terminated texts: where texts without one pile up beyond what these predict, lies
+  a field limit;
+* the share of its unterminated texts that are complete all the same. It is estimated for each
+  source by expectation and maximisation over how often closed sentences end in the last words of
+  each text, of all times these words occur; a text is cut where cutting is the likelier cause.
+
+The estimates are smoothed and have no thresholds in counts, so that sizes of tables don't matter. Word counts
+are pre-aggregated in Python per batch, summed by key in one shuffle and joined to the suspects by key;
+a source's estimate runs over a histogram of fixed size. Nothing is collected or broadcast.
 
 Defined results: null, empty and blank texts are complete; a text ending in white space is judged
 by what stands before it; repeated rows give repeated results; a text without a source has the
@@ -26,14 +29,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Brackets and quotes that pair.
 PAIRS = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«", "」": "「", "』": "『", "）": "（"}
 _OPEN = set(PAIRS.values())
 _TOKEN = re.compile(r"[()\[\]{}“”„«»「」『』（）\"]|<(?:/?[A-Za-z][^<>]*>|/?[A-Za-z]?[^<>\s]*$)")
-_CLOSED = re.compile(r"[.!?。！？][\"”»’“')\]）」』]*(?:\s*\[\d+\])*[\"”»’')\]）」』]*$")
+_ENDS = frozenset(".!?。！？")
+_AFTER = frozenset("\"”»’“')]）」』")
 _MARK = re.compile(
     r"\s*(?:[(\[<]?\s*(?:…|\.{3,})\s*[)\]>]?|[(\[]\s*(?:\.{2,}|…)?\s*(?:read\s+(?:more|on)|more|continued|cont\.|mehr|weiterlesen|lire\s+la\s+suite|suite|leer\s+m[áa]s|sigue|ver\s+mais|leia\s+mais|continua|lees\s+meer|l[äa]s\s+mer|czytaj\s+dalej|далее|続きを読む|続き)?\s*(?:…|\.{3})?\s*[)\]]?"
     r"|[\s–—-]*(?:read more|continue reading|weiterlesen|lire la suite|leer más|ver mais|leggi tutto|lees meer|läs mer|czytaj więcej|читать далее|続きを読む)\W*)$",
@@ -41,11 +45,20 @@ _MARK = re.compile(
 )
 _BROKEN = re.compile(r"(?:&(?:[A-Za-z]{1,8}|#\d{0,5}|#x[0-9A-Fa-f]{0,4})(?:;(?:[A-Za-z]{1,6}|#\d*)?)?|&|\\u[0-9A-Fa-f]{0,3}|\\x[0-9A-Fa-f]?|\\|%[0-9A-Fa-f]?|(?:%[0-9A-Fa-f]{2})+|�+|[\ud800-\udfff]|[ÃÂÐÑ])$")
 _ENTITY_WHOLE = re.compile(r"&(?:[A-Za-z]{2,8}|#\d{2,5}|#x[0-9A-Fa-f]{2,4});$")
-#: Characters at the end of a text in which marks, breaks and terminators are sought.
-_TAIL = 80
+#: Characters other than white space that the longest mark or broken sequence can take.
+_LONGEST = 80
+#: Words that a sentence has on average; the share of cuts that go through a word; how much likelier a cut is
+#: than an end where the last word stands nowhere else.
+SENTENCE, THROUGH_WORD, UNKNOWN = 16, 0.5, 4
+#: Weight of the wider context in the estimate of a narrower one.
+SMOOTHING = 2
+#: Texts by which the share of all of a source's texts counts in that of its single segments.
+BORROWED = 4
+#: Share of single segments with a terminator from which on a source's missing ones count.
+REGULAR = 0.75
 _END = re.compile(r"(?<=[.!?…])[\"”»’)\]]*(?:\s*\[\d+\])*\s+|(?<=[。！？])(?:\[\d+\])*\s*|\n\s*\n|\n(?=\s*(?:[-*•·–]|\(?\d{1,3}[.)])\s)")
 _WORD = re.compile(r"[぀-ヿ一-鿿々ー]|[^\W_]+(?:['’-][^\W_]+)*")
-_CJK = re.compile(r"[぀-ヿ一-鿿]")
+_SHORT = re.compile(r"(?:\b[^\W\d_]{1,4}|\d)\.$")
 
 
 def automaton(text: str) -> list[str]:
@@ -79,33 +92,51 @@ def _masked(w: str) -> str:
     return "0" if w[0].isdigit() else "^" if w[0].isupper() else w
 
 
-def _keys(words: list[str]) -> tuple[str, str, str, str]:
-    """Context keys of the last of `words`: masked two under the sentence's start, two, masked two, one."""
-    low = ["0" if w[0].isdigit() else w.lower() for w in words[-2:]]
-    mask = " ".join(_masked(w) for w in words[-2:])
-    return (f"p {_start(words)} {mask}", "2 " + " ".join(low), "m " + mask, "1 " + low[-1])
-
-
-def _start(words: list[str]) -> str:
-    return "s " + " ".join(_masked(w) if i else w.lower() for i, w in enumerate(words[:2]))
+def _keys(words: list[str]) -> list[str]:
+    """Context keys of the last of `words`: masked two, the last one."""
+    last = words[-1]
+    return ["2 " + " ".join(map(_masked, words[-2:])), "1 " + ("0" if last[0].isdigit() else last.lower())]
 
 
 def _sentences(text: str) -> list[str]:
     return [s for s in _END.split(text) if s and s.strip()]
 
 
+def terminated(text: str) -> bool:
+    """Whether a text ends in a terminator, quotes, brackets and reference marks after it aside."""
+    n = len(text)
+    while n:
+        c = text[n - 1]
+        if c == "]" and text[(at := text.rfind("[", 0, n)) + 1 : n - 1].isdigit() and at >= 0:
+            n = at
+        elif c in _AFTER or c.isspace():
+            n -= 1
+        else:
+            return c in _ENDS
+    return False
+
+
+def _tail(text: str) -> int:
+    """Where the part begins in which a mark or broken sequence at the end must lie, however long its blanks."""
+    at, left = len(text), _LONGEST
+    while at and left:
+        at -= 1
+        left -= not text[at].isspace()
+    return at
+
+
 def analyse(text: str | None) -> dict:
-    """The automaton's findings and, of an unclosed text, the keys of its end and of its last sentence's start."""
+    """The automaton's findings and, of an unterminated text, the keys of its end."""
     body = (text or "").rstrip()
-    out = {"closed": True, "marked": False, "broken": False, "open": False, "size": len(body), "alone": False, "hanging": False, "words": 0, "keys": [], "start": None}
+    out = {"closed": True, "marked": False, "broken": False, "open": False, "size": len(body), "single": True, "hanging": False, "keys": []}
     if not body:
         return out
-    at = max(0, len(body) - _TAIL)
+    at = _tail(body)
     mark = _MARK.search(body, at)
     marked = mark is not None and mark.group().strip() != "" and mark.start() > 0
     core = body[: mark.start()].rstrip() if marked else body
-    hit = _BROKEN.search(core, max(0, len(core) - _TAIL))
-    broken = hit is not None and not _ENTITY_WHOLE.search(core, max(0, len(core) - _TAIL)) and (hit.group() not in ("%",) or not core[-2:-1].isdigit())
+    hit = _BROKEN.search(core, min(at, len(core)))
+    broken = hit is not None and not _ENTITY_WHOLE.search(core, min(at, len(core))) and (hit.group() not in ("%",) or not core[-2:-1].isdigit())
     if broken:
         core = core[: hit.start()].rstrip()
     stack = automaton(core)
@@ -114,14 +145,16 @@ def analyse(text: str | None) -> dict:
     elif core.endswith(("(", "[", "“", "«", "„", "<")):
         broken, core = True, core[:-1].rstrip()
     hyphen = core.endswith(("-", "‐")) and core[-2:-1].isalpha()
-    closed = bool(_CLOSED.search(core, max(0, len(core) - _TAIL))) and not hyphen
-    out |= {"closed": closed, "marked": marked, "broken": broken or hyphen, "open": bool(stack) and not closed, "size": len(text or "")}
+    closed = terminated(core) and not hyphen
+    # Within a bracket, the point of an abbreviation or a number is no terminator.
+    if closed and stack and _SHORT.search(core):
+        closed = False
+    inner = _END.search(core)
+    out |= {"closed": closed, "marked": marked, "broken": broken or hyphen, "open": bool(stack) and not closed, "size": len(text or ""), "single": inner is None or not any(map(str.isalpha, core[inner.end() :]))}
     if not closed:
         parts = _sentences(core)
         words = _WORD.findall(parts[-1]) if parts else []
-        out |= {"alone": len(parts) <= 1, "words": len(words), "hanging": bool(re.search(r"[,;:、，–—&/]$", core))}
-        if words:
-            out |= {"keys": list(_keys(words)), "start": _start(words)}
+        out |= {"hanging": bool(re.search(r"[,;:、，–—&/]$", core)), "keys": _keys(words) if words else []}
     return out
 
 
@@ -130,44 +163,37 @@ def count_contexts(texts: list[str | None]) -> tuple[Counter, Counter]:
     seen: Counter = Counter()
     ended: Counter = Counter()
     for t in texts:
-        body = (t or "").rstrip()
-        if not body:
+        if not t:
             continue
         keys: list[str] = []
-        for s in _sentences(body):
+        for s in _sentences(t.rstrip()):
             words = _WORD.findall(s)
             if not words:
                 continue
-            s = s.rstrip()
-            closed = _CLOSED.search(s, max(0, len(s) - _TAIL)) is not None
-            st = _start(words)
-            low = ["0" if w[0].isdigit() else w.lower() for w in words]
             mask = [_masked(w) for w in words]
-            two, both = [mask[0], *map(" ".join, zip(mask, mask[1:]))], [low[0], *map(" ".join, zip(low, low[1:]))]
-            p = f"p {st} "
-            if closed:
-                ended.update((st, p + two[-1], "2 " + both[-1], "m " + two[-1], "1 " + low[-1]))
+            two = ["2 " + mask[0], *map("2 {} {}".format, mask, mask[1:])]
+            one = ["1 0" if w[0].isdigit() else "1 " + w.lower() for w in words]
+            if terminated(s):
+                ended.update((two[-1], one[-1]))
             else:
-                two, both, low = two[:-1], both[:-1], low[:-1]
-            keys.append(st)
-            keys += [p + x for x in two]
-            keys += ["2 " + x for x in both]
-            keys += ["m " + x for x in two]
-            keys += ["1 " + x for x in low]
+                two.pop()
+                one.pop()
+            keys += two
+            keys += one
         seen.update(keys)
     return seen, ended
 
 
-_ANALYSIS = "closed boolean, marked boolean, broken boolean, open boolean, size bigint, alone boolean, hanging boolean, words bigint, keys array<string>, start string"
+_FINDINGS = ("closed", "marked", "broken", "open", "size", "single", "hanging", "keys")
 
 
 def with_analysis(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the automaton's findings as the struct column `analysis`."""
 
-    @F.pandas_udf(f"struct<{_ANALYSIS.replace(' boolean', ':boolean').replace(' bigint', ':bigint').replace(' array<string>', ':array<string>').replace(' string', ':string')}>")
+    @F.pandas_udf("struct<closed:boolean,marked:boolean,broken:boolean,open:boolean,size:bigint,single:boolean,hanging:boolean,keys:array<string>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([analyse(t) for t in b], columns=["closed", "marked", "broken", "open", "size", "alone", "hanging", "words", "keys", "start"])
+            yield pd.DataFrame([analyse(t) for t in b], columns=list(_FINDINGS))
 
     return df.withColumn("analysis", run(F.col(text)))
 
@@ -188,50 +214,75 @@ def contexts(df: DataFrame, text: str = "text") -> DataFrame:
     return rows.select(F.xxhash64("context").alias("key"), "seen", "ended").groupBy("key").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"))
 
 
-def verdict(least: float = 0.3) -> str:
-    """SQL: whether a suspect was cut, from its findings and the baselines joined to it."""
-    phrase = "(start_seen >= 3 and start_ended < 0.3 * start_seen)"
-    return f"""case
-        when marked or broken or open then true
-        when at_limit and not (alone and {phrase}) then true
-        when {phrase} then alone = false and n1 = 0
-        when hanging then true
-        when np >= 3 then ep < {least} * np
-        when n2 >= 3 then e2 < {least} * n2
-        when nm >= 5 then em < {least} * nm
-        when n1 >= 5 then e1 < 0.6 * n1
-        else true end"""
+def _complete_share(bins: str) -> str:
+    """SQL: of an array of (bin, n), the share of texts that are complete, by expectation and maximisation.
+
+    2 ^ (bin / 4) is how much likelier the last words are at a sentence's end than anywhere.
+    Half a complete text and one and a half that are cut are added, for sources with few.
+    """
+    likely = "(a * pow(2D, x.bin / 4D) / (a * pow(2D, x.bin / 4D) + 1 - a))"
+    n = f"aggregate({bins}, 0D, (s, x) -> s + x.n)"
+    return f"aggregate(sequence(1, 40), 0.25D, (a, i) -> (aggregate({bins}, 0D, (s, x) -> s + x.n * {likely}) + 0.5) / ({n} + 2))"
+
+
+def field_limits(suspects: DataFrame, closed: DataFrame) -> DataFrame:
+    """(_source, size): lengths at which unterminated texts pile up.
+
+    Their number must pass what the lengths of the source's terminated texts (within ten
+    characters) let expect by more than four standard deviations and three texts.
+    """
+    by = Window.partitionBy("_source")
+    around = by.orderBy("size").rangeBetween(-10, 10)
+    seen = suspects.groupBy("_source", "size").agg(F.count("*").alias("here"), F.lit(0).cast("bigint").alias("done"))
+    done = closed.groupBy("_source", "size").agg(F.lit(0).cast("bigint").alias("here"), F.count("*").alias("done"))
+    both = seen.unionByName(done).groupBy("_source", "size").agg(F.sum("here").alias("here"), F.sum("done").alias("done"))
+    expected = F.sum("here").over(by) * (F.sum("done").over(around) + 1) / (21 * (F.sum("done").over(by) + 1))
+    return both.withColumn("_e", expected).where("here > _e + 4 * sqrt(_e) + 3").select("_source", "size", F.lit(True).alias("at_limit"))
 
 
 def cut_entries(entries: DataFrame, key: list[str], keep_prose, text: str = "text", source: str = "text_source", materialise=None) -> DataFrame:
     """The suspects with their findings, baselines, source and the verdict `cut`.
 
     `keep_prose` drops those suspects that aren't prose (see `quality`). `materialise` cuts the
-    lineage after the automaton, so that it runs over the texts once; only suspects are kept.
+    lineage after the automaton, so that it runs over the texts once; only suspects keep their text.
     """
     d = entries.select(*key, text, source)
-    a = with_analysis(d, text).select(*key, text, F.coalesce(source, F.lit("")).alias("_source"), "analysis.*").where("not closed")
+    a = with_analysis(d, text).select(*key, F.when(~F.col("analysis.closed"), F.col(text)).alias(text), F.coalesce(source, F.lit("")).alias("_source"), "analysis.*")
+    a = a.where("size > 0").withColumn("_id", F.monotonically_increasing_id())
     if materialise:
         a = materialise(a)
-    piles = a.where("not marked and not broken").groupBy("_source", "size").agg(F.count("*").alias("_here"))
-    of = piles.groupBy("_source").agg(F.sum("_here").alias("_all"))
-    limits = piles.join(of, "_source").where("_here >= 5 and _here >= 0.08 * _all and size >= 100").select("_source", "size", F.lit(True).alias("at_limit"))
-    s = keep_prose(a.where("words > 0"))
-    s = s.drop(text).withColumn("_id", F.xxhash64(*key, "size", "_source"))
-    kinds = F.explode(F.expr("""array(struct('p' as k, xxhash64(keys[0]) as key), struct('2' as k, xxhash64(keys[1]) as key), struct('m' as k, xxhash64(keys[2]) as key),
-        struct('1' as k, xxhash64(keys[3]) as key), struct('s' as k, xxhash64(start) as key))"""))
-    columns = ["_source", "size", "marked", "broken", "open", "alone", "hanging"]
-    x = s.select(*key, *columns, kinds.alias("c")).select(*key, *columns, F.col("c.k").alias("k"), F.col("c.key").alias("key"))
-    x = x.join(contexts(entries.select(text), text), "key", "left")
-
-    def of_kind(k: str, c: str):
-        return F.coalesce(F.max(F.when(F.col("k") == k, F.col(c))), F.lit(0))
-
-    named = {"np": ("p", "seen"), "ep": ("p", "ended"), "n2": ("2", "seen"), "e2": ("2", "ended"), "nm": ("m", "seen"), "em": ("m", "ended"),
-             "n1": ("1", "seen"), "e1": ("1", "ended"), "start_seen": ("s", "seen"), "start_ended": ("s", "ended")}
-    g = x.groupBy(*key, *columns).agg(*[of_kind(k, c).alias(n) for n, (k, c) in named.items()])
-    g = g.join(limits, ["_source", "size"], "left").withColumn("at_limit", F.coalesce("at_limit", F.lit(False)))
-    return g.withColumn("cut", F.expr(verdict()))
+    closed = a.where("closed").select("_source", "size", "single")
+    s = keep_prose(a.where("not closed")).drop(text, "closed")
+    if materialise:
+        s = materialise(s)
+    plain = s.where("not marked and not broken and not open")
+    share = plain.select("_source", "single", F.lit(0).alias("t")).unionByName(closed.select("_source", "single", F.lit(1).alias("t")))
+    share = share.groupBy("_source", "single").agg(F.sum("t").alias("t"), F.count("*").alias("n"))
+    whole = share.groupBy("_source").agg((F.sum("t") / F.sum("n")).alias("of_source"))
+    share = share.join(whole, "_source").select("_source", "single", F.expr(f"(t + {BORROWED} * of_source) / (n + {BORROWED})").alias("terminated"))
+    phrase = F.expr(f"single and terminated < {REGULAR}")
+    limits = field_limits(plain.join(share, ["_source", "single"]).where(~phrase), closed)
+    kinds = F.expr("inline(transform(keys, (k, i) -> struct(i as k, xxhash64(k) as key)))")
+    x = plain.select("_id", kinds).join(contexts(entries.select(text), text), "key", "left")
+    counts = [F.coalesce(F.max(F.when(F.col("k") == k, F.col(c))), F.lit(0)).alias(n) for n, k, c in (("n2", 0, "seen"), ("e2", 0, "ended"), ("n1", 1, "seen"), ("e1", 1, "ended"))]
+    x = x.groupBy("_id").agg(*counts)
+    factor = SENTENCE / (1 - THROUGH_WORD)
+    one = f"(e1 + {SMOOTHING / factor / UNKNOWN}D) / (n1 + {SMOOTHING})"
+    x = x.select("_id", F.expr(f"{factor}D * if(n1 = 0, {one}, (e2 + {SMOOTHING} * {one}) / (n2 + {SMOOTHING}))").alias("likelier"))
+    g = s.join(x, "_id", "left").join(share, ["_source", "single"], "left").join(limits, ["_source", "size"], "left")
+    g = g.withColumn("phrase", phrase).withColumn("at_limit", F.coalesce(F.col("at_limit") & ~F.col("phrase"), F.lit(False)))
+    if materialise:
+        g = materialise(g)
+    open_ = g.where("likelier is not null and not at_limit and not hanging and not phrase")
+    bins = open_.groupBy("_source", F.round(4 * F.log2("likelier")).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    complete = bins.groupBy("_source").agg(F.collect_list(F.struct("bin", "n")).alias("_bins")).select("_source", F.expr(_complete_share("_bins")).alias("complete"))
+    g = g.join(complete, "_source", "left")
+    return g.drop("_id", "keys").withColumn("cut", F.expr("""case
+        when marked or broken or open then true
+        when likelier is null then false
+        when phrase then false
+        when at_limit or hanging then true
+        else complete * likelier < 1 - complete end"""))
 
 
 def source_report(entries: DataFrame, cut: DataFrame, source: str = "text_source") -> DataFrame:

@@ -58,3 +58,16 @@ def test_empty_long_and_repeated(spark):
     assert T.cut_entries(entries(spark, []), ["rec_id", "locale"], lambda s: s).count() == 0
     d = entries(spark, [(1, "en", "x " * 200_000 + "(", "a"), (2, "en", "<" * 20_000, None)] + [(3, "en", "It is sh…", "a")] * 3)
     assert {r.rec_id for r in T.cut_entries(d, ["rec_id", "locale"], lambda s: s).where("cut").collect()} >= {1, 3}
+
+
+def test_ends_without_a_cap():
+    a = T.analyse
+    assert a("A bird lives here." + " [12]" * 30)["closed"] and a("A bird lives here." + "”" * 200)["closed"] and a("It is sh…" + " " * 500 + "(more)")["marked"]
+    assert T.terminated("x.") and not T.terminated("x") and not T.terminated("[1]") and not T.terminated("") and not T.terminated("x]")
+    # A point within a bracket may be that of an abbreviation; elsewhere it ends the text.
+    assert a("It lives (cf.")["open"] and a("It lives (at 3.")["open"] and a("It lives (in woods and on slopes.")["closed"] and a("It lives at 3.")["closed"]
+
+
+def test_estimate_of_complete_texts(spark):
+    one = lambda bins: spark.createDataFrame([(bins,)], "x array<struct<bin:int,n:bigint>>").selectExpr(f"{T._complete_share('x')} as p").first().p
+    assert one([(-20, 990), (16, 10)]) < 0.02 and 0.85 < one([(-20, 100), (16, 900)]) < 0.95 and one([]) == 0.25
