@@ -107,10 +107,26 @@ def test_extra_columns_repeats_and_long_lists(spark):
 def test_links_to_the_parent(spark):
     doc = json.dumps({"record": {"descriptions": [{"locale": "en", "paragraphs": ["a"]}, {"locale": "en", "source": {"kind": "llm"}, "paragraphs": [{"text": "b"}, {"text": "c"}]}]}})
     d = spark.createDataFrame([(1, doc)], SCHEMA)
-    assert [tuple(r) for r in nested.paragraphs(d).orderBy("pos").collect()] == [(1, "en", 1, 1, "a"), (1, "en", 2, 2, "b"), (1, "en", 3, 2, "c")]
+    assert [tuple(r) for r in nested.paragraphs(d).orderBy("pos").collect()] == [(1, 1, 1, "en", 1, 1, "a"), (1, 1, 2, "en", 2, 2, "b"), (1, 1, 2, "en", 3, 2, "c")]
     assert [r.source_kind for r in nested.descriptions(d).orderBy("pos").collect()] == [None, "llm"]
 
 
+def test_links_to_the_record_and_entry(spark):
+    a = {"common_names": [{"values": ["lost"]}, {"locale": "en", "values": ["a1", "a2"]}], "descriptions": {"en": {"paragraphs": ["pa"]}}, "scientific_name_aliases": ["x"]}
+    b = {"common_names": [{"locale": "en", "values": "b1"}], "descriptions": [None, {"locale": "en", "paragraphs": ["pb"]}], "scientific_name_aliases": [{"name": "y", "status": "s"}]}
+    d = spark.createDataFrame([(1, json.dumps({"records": [a, None, b]}))], SCHEMA)
+    assert [tuple(r) for r in nested.common_names(d).orderBy("pos").collect()] == [(1, 1, 2, "en", 1, "a1"), (1, 1, 2, "en", 2, "a2"), (1, 3, 1, "en", 3, "b1")]
+    assert [tuple(r) for r in nested.paragraphs(d).orderBy("pos").collect()] == [(1, 1, None, "en", 1, 1, "pa"), (1, 3, 2, "en", 2, 2, "pb")]
+    assert [tuple(r)[:5] for r in nested.descriptions(d).orderBy("pos").collect()] == [(1, 1, None, "en", 1), (1, 3, 2, "en", 2)]
+    assert [tuple(r) for r in nested.scientific_name_aliases(d).orderBy("pos").collect()] == [(1, 1, 1, "x", None), (1, 3, 2, "y", "s")]
+
+
+def test_rejects(spark):
+    rows = [(1, None), (2, " "), (3, "null"), (4, '{"record": {"descr'), (5, "[1, 2]"), (7, '{"record": null}'), (8, '{"records": []}'), (9, '{"record": {}}'), (9, '{"x": 1}')]
+    got = {r.raw_id: r.reason for r in nested.rejects(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: "empty", 2: "empty", 3: "no_object", 4: "broken", 5: "no_object", 7: "no_record", 8: "no_record"}
+
+
 def test_no_shuffle_and_no_python(spark, sf):
     d = nested.children(spark.read.parquet(f"{sf}/raw_records.parquet"))
     plan = d._jdf.queryExecution().executedPlan().toString()
