@@ -173,7 +173,8 @@ def count_contexts(texts: list[str | None]) -> tuple[Counter, Counter]:
             mask = [_masked(w) for w in words]
             two = ["2 " + mask[0], *map("2 {} {}".format, mask, mask[1:])]
             one = ["1 0" if w[0].isdigit() else "1 " + w.lower() for w in words]
-            if terminated(s):
+            # The word before a mark of a cut may be a part of one.
+            if terminated(s) and not s.rstrip().endswith(("...", "…")):
                 ended.update((two[-1], one[-1]))
             else:
                 two.pop()
