@@ -4,14 +4,15 @@ Both sides are reduced to distinct units (species by scientific name, listings b
 names). Each unit is put under several composite sort keys (epithet and genus, genus and epithet,
 English name forwards and backwards, local name by language, aliases as further names); in the
 sorted order a sliding window over the distinct species keys brings each listing together with the
-species around it, whatever number of rows a key has, and equal epithet stems are joined. Pairs are
-compared field by field, with a weighted mean as confidence, and listings and species are
-assigned one to one so that the total confidence is greatest (`assign`). A listing that repeats an assigned
-one (its best species is taken by a listing that fits it as well) follows it.
+species around it, whatever number of rows a key has, and equal epithet stems are joined. Where more than
+CROWD species share a key or a stem, the order within it goes by scientific name and the window
+slides over that. Pairs are compared field by field, with a weighted mean as confidence, and listings and
+species are assigned one to one so that the total confidence is greatest (`assign`). A listing that repeats an
+assigned one (its best species is taken by a listing that fits it as well) follows it.
 
-Sorting is by range buckets over sampled split points, twice with staggered splits, so that every
-neighbourhood lies whole in one of them; windows are sliding frames and hold no group in memory.
-The split sample is bounded (MOST_SPLIT_KEYS) and decides only where buckets begin.
+The sorted order is global: keys are range-partitioned, and each has its exact place among all species keys,
+so that no neighbour is lost between partitions, at any size. A window is a join on places; no group is
+held in memory.
 
 Defined results: null or empty fields don't count in the mean; units without any name pair with
 nothing; redelivered rows of either side all get their pair; empty tables give no pairs.
@@ -19,12 +20,11 @@ nothing; redelivered rows of either side all get their pair; empty tables give n
 
 from __future__ import annotations
 
-import bisect
 import heapq
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -32,9 +32,8 @@ from taxaloom.llm.canonical import LOOKALIKES, compatibility
 from taxaloom.llm.common import checkpoint
 
 WINDOW = 12
-MOST_SPLIT_KEYS = 20_000
-#: Split points up to which the bucket of a key is an inline expression.
-MOST_INLINE_CUTS = 48
+#: Species that may share a key before their scientific names order them within it.
+CROWD = 64
 LEAST = 0.65
 #: Edges up to which a component of competing listings and species is solved in one task.
 MOST_COMPONENT = 20_000
@@ -113,9 +112,13 @@ def _name_similarity(x: Column, s: Column) -> Column:
     return F.when(x.isNull() | s.isNull(), None).when(x["full"] == s["full"], 1.0).otherwise(mean)
 
 
+def species_of(records: DataFrame) -> DataFrame:
+    return records.where(F.col("scientific_name").isNotNull() & (F.trim("scientific_name") != ""))
+
+
 def species_units(records: DataFrame) -> DataFrame:
     """One row per scientific name: names, aliases, English and local names of its latest filled row."""
-    d = records.where(F.col("scientific_name").isNotNull() & (F.trim("scientific_name") != ""))
+    d = species_of(records)
     latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("received_at", "rec_id"))).alias(c)
     g = d.groupBy("scientific_name").agg(*[latest(c) for c in ("common_name", "common_name_alt", "common_names", "scientific_name_aliases", "xc_name", "taxon_group")], F.min("rec_id").alias("sid"))
     names = F.array_distinct(
@@ -155,71 +158,64 @@ def _keys(x: Column, e: Column) -> list[Column]:
     ]
 
 
-def _bucket(cuts: list[str], key: Column) -> Column:
-    """How many cuts a key has passed: an expression for few cuts, a binary search over Arrow batches for many."""
-    if len(cuts) <= MOST_INLINE_CUTS:
-        return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<string>"), lambda c: c <= key))
+def places(s: DataFrame, x: DataFrame, parts: int, keep) -> DataFrame:
+    """(k, is_s, is_x, place): all keys, each with the number of distinct species keys up to it.
 
-    @F.pandas_udf("int")
-    def search(k: pd.Series) -> pd.Series:
-        return k.map(lambda x: bisect.bisect_right(cuts, x))
-
-    return search(key)
+    s and x hold the keys of species and of listings in k. Keys are range-partitioned and counted in their
+    partition; the sums of the partitions before (one number a partition) are added.
+    """
+    d = s.select("k", F.lit(1).alias("is_s"), F.lit(0).alias("is_x")).unionByName(x.select("k", F.lit(0).alias("is_s"), F.lit(1).alias("is_x")))
+    d = d.groupBy("k").agg(F.max("is_s").alias("is_s"), F.max("is_x").alias("is_x"))
+    d = keep(d.repartitionByRange(parts, "k").withColumn("_p", F.spark_partition_id()))
+    before = d.groupBy("_p").agg(F.sum("is_s").alias("_n")).withColumn("_before", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))
+    up_to = F.sum("is_s").over(Window.partitionBy("_p").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("_in", up_to).join(F.broadcast(before.select("_p", F.coalesce("_before", F.lit(0)).alias("_before"))), "_p")
+    return d.select("k", "is_s", "is_x", (F.col("_in") + F.col("_before")).cast("bigint").alias("place"))
 
 
-def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, buckets: int | None = None) -> DataFrame:
+def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, buckets: int | None = None, materialise=None) -> DataFrame:
     """(unit, sid): pairs whose keys are equal or stand within `window` species keys of each other, and pairs of one epithet stem.
 
     The window slides over distinct species keys: however many rows share a key, it is one place, and
-    listings take none. Rows come in only when the pairs of keys are found.
+    listings take none. Of a key that more than CROWD species share, each species' is a place of its own.
     """
+    keep = materialise or checkpoint
     sk = F.concat(
         F.flatten(F.transform("names", lambda n: F.array(*_keys(n, F.lit(None).cast("string"))[:2]))),
         F.flatten(F.transform("english", lambda e: F.array(*_keys(F.lit(None).cast("string"), e)[2:]))),
         F.transform("local", lambda p: F.concat(F.lit("5"), p["locale"], F.lit(" "), p["name"])),
     )
-    s = species.select("sid", F.explode(F.array_distinct(sk)).alias("k")).where("k is not null")
+    s = species.select("sid", F.get("names", F.lit(0)).alias("_sci"), F.explode(F.array_distinct(sk)).alias("k")).where("k is not null")
     xk = F.array(*_keys(F.col("x"), F.col("e")), F.concat(F.lit("5"), F.col("ll"), F.lit(" "), F.col("l")))
-    x = listings.select("unit", F.explode(xk).alias("k")).where("k is not null")
+    x = listings.select("unit", F.col("x").alias("_sci"), F.explode(xk).alias("k")).where("k is not null")
+    crowded = s.groupBy("k").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select("k", F.lit(True).alias("_crowded"))
+    own = F.when(F.col("_crowded"), F.concat_ws("\t", "k", "_sci")).otherwise(F.col("k"))
+    s, x = (d.join(crowded, "k", "left").withColumn("k", own).drop("_crowded", "_sci") for d in (s, x))
     spark = species.sparkSession
-    places = s.select("k").distinct()
-    n = buckets or max(4, spark.sparkContext.defaultParallelism * 2)
-    total = places.count()
-    n = max(1, min(n, total // (8 * window)))
-    every = max(1, total * 2 // MOST_SPLIT_KEYS)
-    keys = sorted(r[0] for r in places.where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0).limit(MOST_SPLIT_KEYS).collect())
-    cuts = sorted({keys[len(keys) * i // (2 * n)] for i in range(1, 2 * n)}) if len(keys) > 4 * n else []
-    d = places.select("k", F.lit(True).alias("is_s")).unionByName(x.select("k", F.lit(False).alias("is_s")))
-    d = d.groupBy("k").agg(F.max("is_s").alias("is_s"), F.min("is_s").alias("_all")).select("k", "is_s", (~F.col("_all")).alias("is_x"))
-    # Of two staggered copies, the one in which a row stands in the first half of its bucket sees all rows
-    # after it, the other all rows before it; so each copy gives one side of the window.
-    d = d.withColumn("i", _bucket(cuts, F.col("k"))).withColumn("id", F.xxhash64("k")).withColumn("h", F.explode(F.array(F.lit(0), F.lit(1))))
-    d = d.withColumn("n", F.floor((F.col("i") + 1 - F.col("h")) / 2)).withColumn("after", (F.col("i") % 2 == 1) == (F.col("h") == 0))
-    d = d.withColumn("kind", F.substring("k", 1, 1))
-    sides = []
-    for after, order in ((False, "k"), (True, "k desc")):
-        # The species keys up to each species key; a listing's key takes those of the last one it has passed.
-        side = d.where(F.col("is_s") | (F.col("after") == after))
-        up_to = F.expr(f"collect_list(id) over (partition by h, n, kind, is_s order by {order} rows between {window} preceding and current row)")
-        side = side.withColumn("up_to", F.when(F.col("is_s"), up_to))
-        side = side.withColumn("near", F.expr(f"last(up_to, true) over (partition by h, n, kind order by {order} rows between unbounded preceding and current row)"))
-        sides.append(side.where(F.col("is_x") & (F.col("after") == after)).select(F.col("id").alias("xk"), F.explode("near").alias("sk")))
-    near = sides[0].unionByName(sides[1]).distinct()
-    near = near.join(x.select("unit", F.xxhash64("k").alias("xk")), "xk").join(s.select("sid", F.xxhash64("k").alias("sk")), "sk").select("unit", "sid")
+    ranked = places(s, x, buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), keep)
+    kind = F.substring("k", 1, 1).alias("kind")
+    sp = s.join(ranked.where("is_s = 1"), "k").select(kind, "place", "sid")
+    around = F.sequence(F.col("place") - window, F.col("place") + window + 1 - F.col("is_s"))
+    near = x.join(ranked.where("is_x = 1"), "k").select("unit", kind, F.explode(around).alias("place")).join(sp, ["kind", "place"]).select("unit", "sid")
     # An epithet may be shared by more species than a window holds, and an abbreviated genus sorts beside none of them.
-    stems = species.select("sid", F.explode(F.array_distinct(F.transform("binomials", lambda b: b["stem"]))).alias("stem"))
-    same = listings.select("unit", F.col("binomial.stem").alias("stem")).where("stem is not null").join(stems, "stem").select("unit", "sid")
+    stems = species.select("sid", F.explode(F.array_distinct(F.transform("binomials", lambda b: b["stem"]))).alias("stem")).where("stem is not null")
+    few = stems.groupBy("stem").agg(F.count("*").alias("_n")).where(F.col("_n") <= CROWD).select("stem")
+    same = listings.select("unit", F.col("binomial.stem").alias("stem")).where("stem is not null").join(stems.join(few, "stem", "left_semi"), "stem").select("unit", "sid")
     return near.unionByName(same).distinct()
 
 
-def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame) -> DataFrame:
-    """The field similarities and the confidence of each pair."""
-    d = pairs.join(species.withColumnRenamed("grp", "sgrp"), "sid").join(listings, "unit")
-    sci = F.array_max(F.transform("binomials", lambda n: _name_similarity(F.col("binomial"), n)))
+def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame, least: float = LEAST) -> DataFrame:
+    """The field similarities and the confidence of each pair; binomials only where a confidence of `least` is still possible."""
+    d = pairs.join(listings, "unit").join(species.withColumnRenamed("grp", "sgrp"), "sid")
     eng = F.array_max(F.transform("english", lambda n: _close(F.col("e"), n, 4, 0.25)))
     loc = F.array_max(F.transform(F.filter("local", lambda p: p["locale"] == F.col("ll")), lambda p: _close(F.col("l"), p["name"], 3, 0.2)))
     grp = F.when(F.col("grp").isNull() | F.col("sgrp").isNull(), None).otherwise((F.col("grp") == F.col("sgrp")).cast("double"))
-    fields = F.struct(sci.alias("sci"), eng.alias("eng"), loc.alias("loc"), grp.alias("grp"), F.expr("exists(names, n -> n = x)").alias("exact"))
+    # The cheap fields come first: where an English name differs and no local one agrees, binomials can't reach `least` by themselves.
+    d = d.withColumn("_f", F.explode(F.array(F.struct(eng.alias("eng"), loc.alias("loc"), F.expr("array_contains(names, x)").alias("exact")))))
+    eng, loc, exact = F.col("_f.eng"), F.col("_f.loc"), F.coalesce("_f.exact", F.lit(False))
+    hopeless = (F.coalesce(eng, F.lit(1.0)) == 0) & (F.coalesce(loc, F.lit(0.0)) == 0) & ~exact if (WEIGHTS["sci"] + WEIGHTS["grp"]) / (WEIGHTS["sci"] + WEIGHTS["eng"] + WEIGHTS["grp"]) < least else F.lit(False)
+    sci = F.when(hopeless, F.when(F.col("binomial").isNotNull() & (F.size("binomials") > 0), 0.0)).otherwise(F.array_max(F.transform("binomials", lambda n: _name_similarity(F.col("binomial"), n))))
+    fields = F.struct(sci.alias("sci"), eng.alias("eng"), loc.alias("loc"), grp.alias("grp"), exact.alias("exact"))
     # Through a generator, so that a filter on the confidence doesn't evaluate the similarities again for each use.
     d = d.select("unit", "sid", F.inline(F.array(fields)))
     top = sum(F.coalesce(F.col(c), F.lit(0.0)) * w for c, w in WEIGHTS.items())
@@ -352,13 +348,26 @@ def assign(scored: DataFrame, least: float = LEAST, eps: float = 0.002, material
     return primary.withColumn("role", F.lit("assigned")).unionByName(follow.select("unit", "sid", "confidence").withColumn("role", F.lit("repeated")))
 
 
-def match(records: DataFrame, listings: DataFrame, least: float = LEAST, materialise=None) -> DataFrame:
-    """(rec_id, xc_id, confidence, role) of all rows of matched species."""
+def match_classes(records: DataFrame, listings: DataFrame, least: float = LEAST, materialise=None) -> tuple[DataFrame, DataFrame]:
+    """((unit, sid, confidence, role, scientific_name) of matched classes, (xc_id, unit)): one row a class, not a pair of rows."""
     keep = materialise or checkpoint
     s = keep(species_units(records))
     x, rows = listing_units(listings, keep)
     x = keep(x)
-    scored = compare(neighbours(s, x), s, x)
+    scored = compare(neighbours(s, x, materialise=keep), s, x, least)
     a = assign(scored, least, materialise=keep)
-    a = a.join(s.select("sid", "scientific_name"), "sid")
+    return a.join(s.select("sid", "scientific_name"), "sid"), rows
+
+
+def match(records: DataFrame, listings: DataFrame, least: float = LEAST, materialise=None) -> DataFrame:
+    """(rec_id, xc_id, confidence, role) of all rows of matched species."""
+    a, rows = match_classes(records, listings, least, materialise)
     return records.select("rec_id", "scientific_name").join(a, "scientific_name").join(rows, "unit").select("rec_id", "xc_id", "confidence", "role")
+
+
+def members(records: DataFrame, listings: DataFrame, materialise=None) -> DataFrame:
+    """(side, id, class_id): the species (`sid`) of each record and the unit of each listing, as in `match_classes`."""
+    own = species_of(records).groupBy("scientific_name").agg(F.min("rec_id").alias("class_id"))
+    of = records.select("rec_id", "scientific_name").join(own, "scientific_name").select(F.lit("record").alias("side"), F.col("rec_id").alias("id"), "class_id")
+    _, rows = listing_units(listings, materialise)
+    return of.unionByName(rows.select(F.lit("listing").alias("side"), F.col("xc_id").alias("id"), F.col("unit").alias("class_id")))

@@ -115,17 +115,26 @@ def p9_found(spark, sf_dir):
 
 
 def p3_matches(spark, sf_dir):
-    """Pairs of rows of species_records and xc_species that describe one species, with a confidence."""
-    return matching.match(table(ensure(spark), sf_dir, "species_records"), table(spark, sf_dir, "xc_species"), materialise=checkpoint)
+    """Matched classes: a species of species_records and a distinct listing of xc_species, with a confidence."""
+    a, _ = matching.match_classes(table(ensure(spark), sf_dir, "species_records"), table(spark, sf_dir, "xc_species"), materialise=checkpoint)
+    return a.select("sid", "unit", "scientific_name", "confidence", "role")
+
+
+def p3_members(spark, sf_dir):
+    """The class of every row of species_records and xc_species."""
+    return matching.members(table(ensure(spark), sf_dir, "species_records"), table(spark, sf_dir, "xc_species"), materialise=checkpoint)
 
 
 def p3_found(spark, sf_dir):
-    return p3_matches(spark, sf_dir).select("rec_id", "xc_id").distinct()
+    """Pairs of rows that describe one species."""
+    d = matching.match(table(ensure(spark), sf_dir, "species_records"), table(spark, sf_dir, "xc_species"), materialise=checkpoint)
+    return d.select("rec_id", "xc_id").distinct()
 
 
 QUERIES = {
     "p3_found": p3_found,
     "p3_matches": p3_matches,
+    "p3_members": p3_members,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
     "p9_found": p9_found,

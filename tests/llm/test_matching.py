@@ -66,15 +66,40 @@ def test_blocking_recall_against_all_pairs(spark, sf):
     assert want and len(want & {tuple(p) for p in near.collect()}) >= 0.99 * len(want)
 
 
-def test_buckets_lose_no_neighbours(spark, monkeypatch):
+def test_partitions_lose_no_neighbours(spark):
     r, x = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("species_records", "xc_species"))
     s, (u, _) = checkpoint(M.species_units(r)), M.listing_units(x)
     u = checkpoint(u)
     one = {tuple(p) for p in M.neighbours(s, u, buckets=1).collect()}
-    many = {tuple(p) for p in M.neighbours(s, u, buckets=12).collect()}
-    monkeypatch.setattr(M, "MOST_INLINE_CUTS", 0)
-    assert {tuple(p) for p in M.neighbours(s, u, buckets=12).collect()} == many
-    assert len(one & many) >= 0.995 * len(one)
+    assert one and {tuple(p) for p in M.neighbours(s, u, buckets=23).collect()} == one
+
+
+def test_crowded_keys_are_ordered_by_name(spark, monkeypatch):
+    monkeypatch.setattr(M, "CROWD", 10)
+    names = [f"{g}us {e}us" for g in ("Ab", "Cd", "Ef", "Gh") for e in ("alb", "bor", "col", "dun", "erg")]
+    s = checkpoint(M.species_units(spark.createDataFrame([rec(i, n, "Marsh Owl") for i, n in enumerate(names)], REC)))
+    u = checkpoint(M.listing_units(spark.createDataFrame([(100 + i, n, "Marsh Owl", None, None, None, "e") for i, n in enumerate(names)], XC))[0])
+    got = {tuple(p) for p in M.neighbours(s, u, window=1).collect()}
+    assert {(100 + i, i) for i in range(20)} <= got and len(got) < 400
+
+
+def test_classes_and_members(spark):
+    r = spark.createDataFrame([rec(1, "Parus major", "Great Tit"), rec(2, "Parus major", "Great Tit"), rec(3, None, "x")], REC)
+    x = spark.createDataFrame([(10, "Parus major", "Great Tit", None, None, "birds", "e"), (11, "Parus major", "Great Tit", None, None, "birds", "e")], XC)
+    a, _ = M.match_classes(r, x)
+    assert [(c.sid, c.unit) for c in a.collect()] == [(1, 10)]
+    assert {tuple(m) for m in M.members(r, x).collect()} == {("record", 1, 1), ("record", 2, 1), ("listing", 10, 10), ("listing", 11, 10)}
+    assert {(p.rec_id, p.xc_id) for p in M.match(r, x).collect()} == {(1, 10), (1, 11), (2, 10), (2, 11)}
+
+
+def test_binomials_are_left_out_only_where_hopeless(spark):
+    d = checkpoint(M.species_units(spark.createDataFrame([rec(1, "Parus major", "Great Tit"), rec(2, "Parus minor", "Small Tit"), rec(3, "Zus novus", None)], REC)))
+    x = [("Parus major", "Other name"), ("Parus maior", "Great Tit"), ("Parus maior", "Other name"), ("Zus nova", "Any"), ("Parus minor", None), (None, "Small Tit")]
+    u = checkpoint(M.listing_units(spark.createDataFrame([(10 + i, a, b, None, None, None, "e") for i, (a, b) in enumerate(x)], XC))[0])
+    every = u.select("unit").crossJoin(d.select("sid"))
+    full = {(r.unit, r.sid): r.confidence for r in M.compare(every, d, u, least=0).collect()}
+    got = {(r.unit, r.sid): r.confidence for r in M.compare(every, d, u).collect()}
+    assert {p: c for p, c in full.items() if c >= M.LEAST} == {p: c for p, c in got.items() if c >= M.LEAST} and len(full) == 18
 
 
 WAR = [(1, 10, 0.9), (1, 20, 0.9), (2, 10, 0.9), (2, 20, 0.9), (3, 10, 0.9), (3, 20, 0.9), (3, 30, 0.66)]
