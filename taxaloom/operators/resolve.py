@@ -17,33 +17,31 @@ def resolve_claims(cands: DataFrame) -> DataFrame:
     before it claimed that; else it claims its linked owner without asking. As an earlier claim
     can move a later row to its linked owner, which is a claim itself, the rule is sequential.
 
-    It is solved in rounds over whole tables: a row is decided once every earlier row that might
-    claim its named owner is decided. Each round decides at least the earliest open row of each
-    owner, so a chain of rows that hang on each other takes a round a link (chains are short),
-    and rows that share no owner never wait for each other. Null orders are not permitted; rows
-    without candidates come out with a null claim.
+    Of the rows that name one owner only the first can get it: either it does, or the owner was claimed
+    before. So all others go to their linked owner, and the first of an owner is moved only if a claim that is
+    certain comes before it, or the linked claim of another owner's first that is moved itself. Each
+    first leads to one other at most, and always to a later row, so that what is moved is what can be reached
+    from the certain ones in a forest: found by doubling steps, in as many rounds as the longest chain has binary
+    digits. Null orders are not permitted; rows without candidates come out with a null claim.
     """
-    base = cands.select("ord", "direct", "named", "linked")
-    sure = base.where("direct is not null").select("ord", F.col("direct").alias("claim"), F.lit("direct").alias("source"))
-    open_ = base.where("direct is null")
-    idle = open_.where("named is null").select("ord", F.col("linked").alias("claim"), F.when(F.col("linked").isNotNull(), "linked").alias("source"))
-    done = sure.unionByName(idle)
-    open_ = checkpoint(open_.where("named is not null"))
-    while not open_.isEmpty():
-        made = done.where("claim is not null").groupBy("claim").agg(F.min("ord").alias("_taken"))
-        might = open_.select("ord", F.col("named").alias("o")).unionByName(open_.where("linked is not null").select("ord", F.col("linked").alias("o")))
-        first = might.groupBy("o").agg(F.min("ord").alias("_first"))
-        x = open_.join(made, open_["named"] == made["claim"], "left").drop("claim").join(first, F.col("named") == F.col("o"), "left").drop("o")
-        ready = (F.col("_first") >= F.col("ord")) | (F.coalesce(F.col("_taken") < F.col("ord"), F.lit(False)))
-        taken = F.coalesce(F.col("_taken") < F.col("ord"), F.lit(False))
-        got = x.where(ready).select(
-            "ord", F.when(taken, F.col("linked")).otherwise(F.col("named")).alias("claim"),
-            F.when(~taken, "named").when(F.col("linked").isNotNull(), "linked").alias("source"),
-        )
-        got = checkpoint(got)
-        done = checkpoint(done.unionByName(got))
-        open_ = checkpoint(open_.join(got.select("ord"), "ord", "left_anti"))
-    return done
+    base = checkpoint(cands.select("ord", "direct", "named", "linked"))
+    open_ = base.where("direct is null and named is not null")
+    first = checkpoint(open_.groupBy(F.col("named").alias("o")).agg(F.min(F.struct("ord", "linked")).alias("_f")).select("o", "_f.ord", "_f.linked"))
+    later = open_.join(first.select("ord"), "ord", "left_anti")
+    idle = base.where("direct is null and named is null")
+    sure = base.where("direct is not null").select(F.col("direct").alias("o"), "ord").unionByName(idle.unionByName(later).select(F.col("linked").alias("o"), "ord"))
+    sure = sure.where("o is not null").groupBy("o").agg(F.min("ord").alias("_sure"))
+    moved = checkpoint(first.join(sure, "o").where("_sure < ord").select("o"))
+    nodes = first.select(F.col("o").alias("b"), F.col("ord").alias("_b"))
+    step = checkpoint(first.where("linked is not null").select(F.col("o").alias("a"), F.col("linked").alias("b"), "ord").join(nodes, "b").where("ord < _b").select("a", "b"))
+    while not step.isEmpty():
+        moved = checkpoint(moved.unionByName(moved.join(step, F.col("o") == F.col("a")).select(F.col("b").alias("o"))).distinct())
+        step = checkpoint(step.join(step.toDF("b", "c"), "b").select("a", F.col("c").alias("b")))
+    taken = first.join(moved, "o", "left_anti").select("ord", F.lit(True).alias("_named"))
+    d = base.join(taken, "ord", "left")
+    claim = F.when(F.col("direct").isNotNull(), F.col("direct")).when(F.col("_named"), F.col("named")).otherwise(F.col("linked"))
+    source = F.when(F.col("direct").isNotNull(), "direct").when(F.col("_named"), "named").when(F.col("linked").isNotNull(), "linked")
+    return d.select("ord", claim.alias("claim"), source.alias("source"))
 
 
 def match_cascade(rows: DataFrame, checklist: DataFrame, links: DataFrame) -> DataFrame:

@@ -136,6 +136,17 @@ QUERIES = {f.__name__: f for f in (match_cascade, unmatched_append, star_merge,
 
 _R = RECORDS_SQL
 ORACLE = {
+    # The rule row by row, with the list of what is claimed so far.
+    "match_cascade": f"""with recursive r as (select ord, scientific_name as name, common_name as english, nullif(ebird_code, '') as code from {RECORDS_SQL}),
+        k as (select xc_name as name, arg_max(ebird_code, rec_id) as code from species_records where xc_name <> '' and ebird_code <> '' group by 1),
+        e as (select lower(english) as e, arg_max(name, ord) as named from r where english is not null group by 1), c as (select code, arg_max(name, ord) as linked from r where code is not null group by 1),
+        x as (select x.xc_id as ord, row_number() over (order by x.xc_id) as i, n.name as direct, e.named, c.linked from xc_species x left join (select distinct name from r) n on n.name = x.xc_name
+            left join e on e.e = lower(x.english_name) left join k on k.name = x.xc_name left join c on c.code = k.code),
+        s as (select cast(0 as bigint) as i, cast(null as bigint) as ord, cast(null as varchar) as claim, cast(null as varchar) as source, cast([] as varchar[]) as claimed
+          union all select x.i, x.ord, t.claim, t.source, case when t.claim is null then claimed else list_append(claimed, t.claim) end from s join x on x.i = s.i + 1,
+            lateral (select case when direct is not null then direct when named is not null and not list_contains(claimed, named) then named else linked end as claim,
+              case when direct is not null then 'direct' when named is not null and not list_contains(claimed, named) then 'named' when linked is not null then 'linked' end as source) t)
+        select ord, claim, source from s where i > 0""",
     "unmatched_append": """select scientific_name, 'record' as origin from (select distinct scientific_name from species_records)
         union all select distinct scientific_name, 'names' from name_rows where scientific_name not in (select scientific_name from species_records)""",
     "star_merge": """with n as (select scientific_name, count(*) as names from name_rows group by 1), c as (select scientific_name, count(*) as checks from wiki_quality group by 1),

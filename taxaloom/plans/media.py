@@ -53,4 +53,12 @@ ORACLE = {
         select l_orderkey, l_linenumber, case when same or not wide then 0 else l end as "left", case when same or wide then 0 else t end as top, case when same or not wide then w else l + cw end as "right", case when same or wide then h else t + ch end as bottom from p""",
     "letterbox": f"""with p as (select *, least(640.0::double / w, 640.0::double / h) as s from {_S}), q as (select *, floor(w * s)::bigint as width, floor(h * s)::bigint as height from p)
         select l_orderkey, l_linenumber, width, height, (640 - width) // 2 as pad_x, (640 - height) // 2 as pad_y from q""",
+    # Box by box, best first, with the list of those kept so far.
+    "boxes_kept": """with recursive b as (select label as image, vec_id, 100 * abs(embedding[1]::double) as x1, 100 * abs(embedding[2]::double) as y1, 100 * abs(embedding[1]::double) + 40 as x2, 100 * abs(embedding[2]::double) + 40 as y2, 0.3::double + abs(embedding[3]::double) / 10 as score from embeddings),
+        o as (select *, row_number() over (partition by image order by score desc, vec_id) as i from b where score > 0.25::double),
+        s as (select image, i, vec_id, true as kept, 1 as rank, [struct_pack(x1 := x1, y1 := y1, x2 := x2, y2 := y2)] as boxes from o where i = 1
+          union all select o.image, o.i, o.vec_id, t.good, s.rank + case when t.good then 1 else 0 end, case when t.good then list_append(s.boxes, struct_pack(x1 := o.x1, y1 := o.y1, x2 := o.x2, y2 := o.y2)) else s.boxes end
+          from s join o on o.image = s.image and o.i = s.i + 1, lateral (select len([k for k in s.boxes if greatest(0, least(o.x2, k.x2) - greatest(o.x1, k.x1)) * greatest(0, least(o.y2, k.y2) - greatest(o.y1, k.y1))
+            / ((o.x2 - o.x1) * (o.y2 - o.y1) + (k.x2 - k.x1) * (k.y2 - k.y1) - greatest(0, least(o.x2, k.x2) - greatest(o.x1, k.x1)) * greatest(0, least(o.y2, k.y2) - greatest(o.y1, k.y1)) + 1e-6) > 0.45]) = 0 as good) t)
+        select image, vec_id, rank from s where kept""",
 }

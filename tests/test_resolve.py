@@ -1,3 +1,5 @@
+import random
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -32,6 +34,17 @@ def test_claims_as_in_order(spark, triples):
     assert {r.ord: (r.claim, r.source) for r in resolve.resolve_claims(d).collect()} == sequential(rows)
 
 
+def test_many_claims_and_long_chains(spark):
+    rng = random.Random(3)
+    names = [f"n{i}" for i in range(120)]
+    pick = lambda share: rng.choice(names) if rng.random() < share else None
+    rows = [(i, pick(0.1), pick(0.8), pick(0.8)) for i in range(400)]
+    # Each of these is moved by the one before, so that it moves the next.
+    rows += [(1000, "c0", None, None)] + [(1001 + i, None, f"c{i}", f"c{i + 1}") for i in range(300)]
+    d = spark.createDataFrame(rows, "ord bigint, direct string, named string, linked string")
+    assert {r.ord: (r.claim, r.source) for r in resolve.resolve_claims(d).collect()} == sequential(rows)
+
+
 def test_later_match_is_suppressed(spark):
     rows = spark.createDataFrame([(1, "X a", "owl"), (2, "Y b", "Owl"), (3, "Z c", None)], "ord bigint, name string, english string")
     checklist = spark.createDataFrame([(1, "P p", "OWL", "c1"), (2, "Z c", "Wren", "c2")], "ord bigint, name string, english string, code string")
