@@ -1,8 +1,8 @@
 """Language of each document and of each segment, by a byte convolutional network.
 
 The network is numpy only: bytes are embedded, filters of several widths run over them, each
-filter's maximum over the window is kept, and a softmax layer gives the languages. It was trained
-by `train_langid.py` on the labelled texts; its weights are models/langid.npz. For prediction the
+filter's maximum over the window is kept, and a softmax layer gives the languages, or that a window is in none
+(tables, menus, codes). It was trained by `train_langid.py` on the labelled texts; its weights are models/langid.npz. For prediction the
 embedding and each filter column are multiplied once to tables of 256 rows, so that a window
 costs look-ups and additions alone.
 
@@ -12,8 +12,9 @@ overlap), whose scores are averaged. Batches of windows of all texts of an Arrow
 together. A segment's confidence is its softmax probability; a text's language is the one with the
 greatest confidence-weighted length, its confidence that share.
 
-Defined results: null, empty and letterless texts give no segments and no language; a segment of
-fewer than MIN_LETTERS letters gives none; labels other than the known languages count as none.
+Defined results: null, empty and letterless texts give no segments and no language; segments are
+judged from two words on (or two letters of a script without blanks); what is in no language has a
+null one; labels other than the known languages count as none.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ LANGS = ("en", "de", "fr", "es", "pt", "it", "nl", "sv", "pl", "ru", "ja")
 WINDOW = 160
 STRIDE = 120
 WIDTHS = (2, 3, 4, 5)
-MIN_LETTERS = 12
+#: Confidence that a segment needs to count, with LONG letters or more and (the sum, falling evenly) with none.
+LEAST, MORE, LONG = 0.75, 0.24, 30
 #: Windows scored at once; bounds a worker's memory to some 40 MB.
 CHUNK = 512
 
@@ -42,12 +44,12 @@ CHUNK = 512
 _QUOTED = re.compile(r"“[^“”]{1,90}”|«[^«»]{1,90}»|„[^“”]{1,90}[“”]|\"[^\"\n]{1,90}\"|「[^「」]{1,40}」|『[^『』]{1,40}』")
 _ASIDE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|<[^<>]*>|https?://\S+")
 _BREAK = re.compile(r"(?<=[.!?…])[\"”»’)\]]*\s+|(?<=[。！？])|\n\s*\n|\n(?=\s*(?:[-*•·–]|\(?\d{1,3}[.)])\s)")
-_NO_LETTER, _DIGITS, _CJK = re.compile(r"[\W\d_]+"), re.compile(r"\d+"), re.compile(r"[぀-ヿ一-鿿]")
+_WORDS, _DIGITS, _CJK = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"[぀-ヿ一-鿿]")
 _NAME = re.compile(r"\b[A-Z][a-z]{3,} [a-z]{4,}(?:us|is|ys|um|ensis|ops|eps|ons|tus|ula|uda|ris|ens|ipes|ollis|otus|orsum|enter)\b")
 
 
-def segments(text: str | None) -> list[tuple[int, int, str]]:
-    """(start, end, words to judge) of each sentence of a text, in order."""
+def segments(text: str | None) -> list[tuple[int, int, str, int]]:
+    """(start, end, words to judge, their letters) of each sentence of a text, in order."""
     if not text:
         return []
     out = []
@@ -57,9 +59,9 @@ def segments(text: str | None) -> list[tuple[int, int, str]]:
         body = text[start:end]
         clean = _NAME.sub(" ", _ASIDE.sub(" ", body))
         clean = _DIGITS.sub("0", " ".join(clean.split())).lower()
-        letters = len(_NO_LETTER.sub("", clean))
-        if letters >= MIN_LETTERS or letters >= 5 and _CJK.search(clean):
-            out.append((start, end, clean))
+        words = _WORDS.findall(clean)
+        if len(words) > 1 or words and len(words[0]) > 1 and _CJK.search(words[0]):
+            out.append((start, end, clean, sum(map(len, words))))
     return out
 
 
@@ -86,7 +88,7 @@ class Net:
         self.v, self.c = weights["v"].astype(np.float32), weights["c"].astype(np.float32)
 
     def scores(self, m: np.ndarray) -> np.ndarray:
-        out = np.empty((len(m), len(LANGS)), np.float32)
+        out = np.empty((len(m), len(self.c)), np.float32)
         order = np.argsort((m != 0).sum(1), kind="stable")
         for i in range(0, len(m), CHUNK):
             rows = order[i : i + CHUNK]
@@ -114,16 +116,16 @@ def softmax(s: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def judge(texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
-    """(start, end, language, confidence) of the segments of each text."""
+def judge(texts: list[str | None]) -> list[list[tuple[int, int, str | None, float, int]]]:
+    """(start, end, language, confidence, letters) of the segments of each text."""
     segs = [segments(t) for t in texts]
     ws, owner = [], []
     for i, s in enumerate(segs):
-        for j, (_, _, clean) in enumerate(s):
+        for j, (_, _, clean, _) in enumerate(s):
             for w in windows(clean):
                 ws.append(w)
                 owner.append((i, j))
-    out: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
+    out: list[list[tuple[int, int, str | None, float, int]]] = [[] for _ in texts]
     if not ws:
         return out
     distinct = sorted(set(ws))
@@ -135,12 +137,12 @@ def judge(texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
     best = p.argmax(1)
     for k, row in zip(first, range(len(first))):
         i, j = owner[k]
-        a, b, _ = segs[i][j]
-        out[i].append((a, b, LANGS[best[row]], float(p[row, best[row]])))
+        a, b, _, letters = segs[i][j]
+        out[i].append((a, b, LANGS[best[row]] if best[row] < len(LANGS) else None, float(p[row, best[row]]), letters))
     return out
 
 
-_SCHEMA = "start bigint, end bigint, lang string, confidence double"
+_SCHEMA = "start:bigint,end:bigint,lang:string,confidence:double,letters:bigint"
 
 
 def with_segments(df: DataFrame, text: str = "text", to: str = "segments") -> DataFrame:
@@ -150,14 +152,14 @@ def with_segments(df: DataFrame, text: str = "text", to: str = "segments") -> Da
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
             got = judge(b.tolist())
-            yield pd.Series([[{"start": a, "end": e, "lang": lang, "confidence": round(c, 4)} for a, e, lang, c in s] for s in got])
+            yield pd.Series([[{"start": a, "end": e, "lang": lang, "confidence": round(c, 4), "letters": n} for a, e, lang, c, n in s] for s in got])
 
     return df.withColumn(to, run(F.col(text)))
 
 
 def document_languages(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """(key, lang, confidence): the language of each text, null where nothing can be judged."""
-    d = with_segments(df.select(*key, text), text)
+    d = with_segments(df.select(*key, text), text).withColumn("segments", F.filter("segments", lambda s: s["lang"].isNotNull()))
     by = F.expr(
         """transform(array_distinct(transform(segments, s -> s.lang)), l -> struct(
             aggregate(filter(segments, s -> s.lang = l), 0D, (a, s) -> a + s.confidence * (s.end - s.start)) as weight, l as lang))"""
@@ -174,17 +176,16 @@ def label_language(locale: str) -> str:
     return f"case when {base} in ({known}) then {base} end"
 
 
-def other_languages(df: DataFrame, key: list[str], locale: str = "locale", text: str = "text", least: float = 0.75, keep=None) -> DataFrame:
+def other_languages(df: DataFrame, key: list[str], locale: str = "locale", text: str = "text", least: float = LEAST, more: float = MORE) -> DataFrame:
     """(key, lang): languages other than the label's in which the text or a whole sentence is written.
 
-    A segment counts from a confidence of `least` on, if it is a closed sentence or the greater
-    part of its text. `keep` may drop rows by their text, such as those that are no prose; it sees
-    only the few texts in which another language was found.
+    A segment counts from a confidence of `least` on (shorter ones need up to `more` above that),
+    if it is a closed sentence or the greater part of its text.
     """
     d = with_segments(df.select(*key, *[c for c in (locale, text) if c not in key]), text)
-    whole = rf"""filter(segments, s -> s.confidence >= {least} and (2 * (s.end - s.start) >= length(`{text}`)
+    whole = rf"""filter(segments, s -> s.lang is not null and s.confidence >= {least} + {more} * greatest(0, 1 - s.letters / {LONG}) and (2 * (s.end - s.start) >= length(`{text}`)
         or rtrim(substring(`{text}`, cast(s.start + 1 as int), cast(s.end - s.start as int))) rlike '[.!?。！？][\"”»’)\\]\\d\\[]*$'))"""
     d = d.select(*key, *[c for c in (locale, text) if c not in key], F.explode(F.expr(f"array_distinct(transform({whole}, s -> s.lang))")).alias("lang"))
     own = label_language(f"`{locale}`")
     d = d.where(f"({own}) is null or lang <> ({own})")
-    return (keep(d) if keep else d).select(*key, "lang")
+    return d.select(*key, "lang")

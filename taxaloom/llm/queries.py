@@ -41,7 +41,7 @@ def p4_forms(spark, sf_dir):
 def p6_found(spark, sf_dir):
     """Languages other than the label's in which a description or one of its sentences is written."""
     d = descriptions(table(ensure(spark), sf_dir, "species_records"))
-    return langid.other_languages(d, ["rec_id", "locale"], keep=_only_prose).distinct()
+    return langid.other_languages(d, ["rec_id", "locale"]).distinct()
 
 
 def p6_languages(spark, sf_dir):
@@ -86,10 +86,18 @@ def p7_cleaned(spark, sf_dir):
     return leakage.without_leaks(table(ensure(spark), sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "eval_items"))
 
 
+def _prepared_mix(spark, sf_dir):
+    """Documents with their tokens; the topic is the group of the species that a document is about."""
+    groups = table(ensure(spark), sf_dir, "species_records").where("taxon_group is not null").groupBy("scientific_name").agg(F.max_by("taxon_group", F.struct("received_at", "rec_id")).alias("topic"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "scientific_name")
+    counted = mixing.with_tokens(d).drop("text").withColumnRenamed("tokens", "_tokens")
+    d = counted.join(groups, "scientific_name", "left")
+    return mixing.cells_of(d, tokens="_tokens", topic="topic", materialise=checkpoint)
+
+
 def p8_mix(spark, sf_dir):
     """Documents of each mix with the number of times each is used."""
-    prepared = mixing.prepare(table(ensure(spark), sf_dir, "documents"), materialise=checkpoint)
-    return mixing.mix(prepared, table(spark, sf_dir, "mix_targets"))
+    return mixing.mix(_prepared_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
 def p8_shares(spark, sf_dir):
@@ -97,6 +105,12 @@ def p8_shares(spark, sf_dir):
     return mixing.shares(p8_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def p8_marginals(spark, sf_dir):
+    """Shares of languages and topics that each mix was to have and has."""
+    prepared, targets = _prepared_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets")
+    return mixing.marginals(mixing.mix(prepared, targets), prepared, targets)
+
+
 def p9_levels(spark, sf_dir):
     """Reading level of every document."""
     d = table(ensure(spark), sf_dir, "documents")
@@ -137,6 +151,7 @@ QUERIES = {
     "p3_members": p3_members,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p8_marginals": p8_marginals,
     "p9_found": p9_found,
     "p9_levels": p9_levels,
     "p9_profile": p9_profile,

@@ -20,6 +20,18 @@ def test_texts_of_no_template():
     assert sum(v == [k] for k, v in got.items()) >= 6, got
 
 
+def test_what_is_in_no_language():
+    got = langid.judge(["Help » Home » Contact » Species » Home » Help » Print » Share » Contact", "xq;zkw vbnt qpl;r wxzt kjq bvc mnbw", "Size | Weight | Wings\nKolberg | 117 | 33.9"])
+    assert all(s[2] is None for t in got for s in t), got
+
+
+def test_short_segments_are_judged(spark):
+    assert [len(langid.segments(t)[0][2].split()) for t in ("Le loup.", "Kleiner Vogel.")] == [2, 2]
+    assert len(langid.judge(["Le loup. Kleiner Vogel. A fox."])[0]) == 3
+    d = spark.createDataFrame([(1, "en", "The bird eats seeds. Les oiseaux mangent des graines. The bird is small.")], "rec_id bigint, locale string, text string")
+    assert [r.lang for r in langid.other_languages(d, ["rec_id", "locale"]).collect()] == ["fr"]
+
+
 def test_segments_and_windows():
     s = langid.segments("One is here in the woods. “Zwei sind da drüben im Wald.” Three are over there by the river (vier).")
     assert len(s) == 2 and "zwei" not in s[0][2] and "vier" not in s[1][2]
@@ -29,7 +41,7 @@ def test_segments_and_windows():
     m = langid.to_matrix([b"abc", b""])
     assert m.shape == (2, langid.WINDOW) and m[0, 3:].sum() == 0
     s = langid.net().scores(np.zeros((3, langid.WINDOW), np.uint8))
-    assert s.shape == (3, len(langid.LANGS)) and np.allclose(langid.softmax(s).sum(1), 1)
+    assert s.shape == (3, len(langid.LANGS) + 1) and np.allclose(langid.softmax(s).sum(1), 1)
 
 
 def test_other_languages(spark):
