@@ -32,6 +32,11 @@ def p4_found(spark, sf_dir):
     return canonical.same_look_pairs(_names(spark, sf_dir), materialise=checkpoint)
 
 
+def p4_classes(spark, sf_dir):
+    """The same as one row a name and its class."""
+    return canonical.same_look_classes(_names(spark, sf_dir), materialise=checkpoint)
+
+
 def p4_forms(spark, sf_dir):
     """Every name, also of the maps of species_records, in its common form."""
     maps = table(ensure(spark), sf_dir, "species_records").select(F.col("rec_id").alias("key"), "scientific_name", F.explode("common_names").alias("locale", "name"))
@@ -163,7 +168,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_languages": p6_languages,
     "p6_segments": p6_segments,
-    "p4_found": p4_found, "p4_forms": p4_forms, "p1_found": p1_found, "p1_statistics": p1_statistics,
+    "p4_found": p4_found, "p4_classes": p4_classes, "p4_forms": p4_forms, "p1_found": p1_found, "p1_statistics": p1_statistics,
 }
 
 _NAMES = """(select name_id as key, scientific_name, locale, common_name as name from name_rows
@@ -174,5 +179,7 @@ _FORMS = f"(select *, {canonical.form_sql('name')} as form from {_NAMES})"
 ORACLE: dict[str, str] = {
     "p4_found": f"""select distinct a.key as key_a, b.key as key_b from {_FORMS} a join {_FORMS} b on a.scientific_name = b.scientific_name and a.locale = b.locale and a.form = b.form
         where a.key < b.key and a.name <> b.name and a.form <> ''""",
+    "p4_classes": f"""select class_id, key, name as spelling from (select *, min(key) over w as class_id, min(name) over w as lo, max(name) over w as hi from {_FORMS} where form <> '' and scientific_name is not null and locale is not null
+        window w as (partition by scientific_name, locale, form)) where lo <> hi""",
     "p4_forms": f"""select * from {_FORMS} union all select rec_id, scientific_name, e.key, e.value, {canonical.form_sql('e.value')} from (select rec_id, scientific_name, unnest(map_entries(common_names)) as e from species_records)""",
 }

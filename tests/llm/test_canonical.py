@@ -20,6 +20,20 @@ def test_forms(spark):
     assert forms(spark, ["Ёж", "Еж", "ﬂügel", "a‑b", "a–b", None, "", "​"]) == ["Ëж", "Eж", "flügel", "a-b", "a–b", None, "", ""]
 
 
+def test_all_compatibility_forms(spark):
+    assert forms(spark, ["Ⅳ", "x⁴⁵ₓ", "5㎏", "ﬁnch", "Ｆｉｎｃｈ…", "ﷺ"[:1], "Ꮃren", "Օwl", "½", "한"]) == ["IV", "x45x", "5kg", "finch", "Finch...", unicodedata.normalize("NFKC", "ﷺ"), "Wren", "Owl", unicodedata.normalize("NFKC", "½"), "한"]
+    rest = [chr(o) for o in range(0xA1, 0x30000) if unicodedata.category(chr(o))[0] not in "ZC" and unicodedata.normalize("NFKC", chr(o)) != chr(o)]
+    got = forms(spark, rest)
+    want = [unicodedata.normalize("NFC", " ".join("".join(canonical.LOOKALIKES.get(c, c) for c in unicodedata.normalize("NFKC", x)).split())) for x in rest]
+    wrong = [(x, g, w) for x, g, w in zip(rest, got, want) if g != w and not unicodedata.normalize("NFKC", x).startswith((" ", "\u3099", "\u309a")) and x not in canonical.LOOKALIKES]
+    assert len(wrong) < 10, wrong[:20]
+
+
+def test_classes(spark):
+    rows = [(3, "S s", "en", "Owl"), (1, "S s", "en", "Оwl"), (2, "S s", "en", "Owl"), (4, "S s", "de", "Owl"), (5, "S s", "en", "owl"), (6, "S s", "en", None)]
+    assert sorted(map(tuple, canonical.same_look_classes(spark.createDataFrame(rows, SCHEMA)).collect())) == [(1, 1, "Оwl"), (1, 2, "Owl"), (1, 3, "Owl")]
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="abAé é и й е́ о‍ｶ ﾞ’'x", max_size=12), min_size=1, max_size=20))
 def test_idempotent_and_composed(spark, names):
