@@ -2,16 +2,19 @@
 
 The ranker learns from pairs of graded documents which of the two is harder (logistic loss on the
 difference of their features), over syntax features (lengths of words and sentences, clauses,
-commas, digits, abbreviations) and hashed vocabulary. Its scores are calibrated to levels by
-isotonic regression on graded documents. As a level belongs to the greater part of a text, the
-ranker scores each sentence, and a document's score is the median over its words.
+commas, digits, abbreviations) and hashed vocabulary. As a level belongs to the greater part of a text,
+the ranker scores each sentence, and a document's score is the median over its words. Training follows that:
+a first fit on whole documents finds the sentences about each document's median, and the second is
+fitted on these. Scores are calibrated to levels by isotonic regression on graded documents that the ranker
+has not seen: each of FOLDS parts is scored by a ranker fitted on the others, and every ranker's scores
+are brought to one scale by the mean and deviation of what it was fitted on.
 
 The graded sample is bounded by MOST_GRADED documents, taken in the order of a hash of their id;
 the model is fitted on the driver (a few MB) and sent to the workers in the function's closure.
 All documents are scored, whole.
 
 Defined results: a null text has a null score and level; a text without words has level 1, the
-least; with no graded documents at all, or only one level, every text gets that level (or null).
+least; with no graded documents that have words, or only one level, every text gets that level (or null).
 """
 
 from __future__ import annotations
@@ -31,7 +34,9 @@ from taxaloom.llm.common import spread
 #: Bound of the graded sample that is collected and fitted.
 MOST_GRADED = 3000
 #: Pairs drawn from it for training.
-PAIRS = 24_000
+PAIRS = 12_000
+#: Parts of the graded sample for calibration.
+FOLDS = 3
 BUCKETS = 4096
 SYNTAX = 12
 
@@ -76,34 +81,53 @@ def _bucket(w: str) -> int:
     return zlib.crc32(w.encode()) % BUCKETS
 
 
-def document_features(text: str) -> np.ndarray:
-    """Mean of the sentence features, weighted by words."""
-    x = np.zeros(SYNTAX + BUCKETS, np.float32)
-    total = 0
+def parsed(text: str) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """(syntax features, buckets of the words, number of words) of each sentence that has words."""
+    out = []
     for s in sentences(text):
         ws = words(s)
-        total += len(ws)
-        x[:SYNTAX] += np.array(syntax(s, ws), np.float32) * len(ws)
-        for w in ws:
-            x[SYNTAX + _bucket(w)] += 1
-    return x / max(1, total)
+        if ws:
+            out.append((np.array(syntax(s, ws), np.float32), np.array([_bucket(w) for w in ws]), len(ws)))
+    return out
+
+
+def features(parts: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
+    """Mean of the features of sentences, weighted by words."""
+    x = np.zeros(SYNTAX + BUCKETS, np.float32)
+    for syn, buckets, n in parts:
+        x[:SYNTAX] += syn * n
+        np.add.at(x, SYNTAX + buckets, 1)
+    return x / max(1, sum(n for _, _, n in parts))
+
+
+def middle(parts: list, w: np.ndarray) -> list:
+    """The sentences about the median: those that hold the middle half of the words in the order of their scores."""
+    order = sorted(parts, key=lambda p: p[0] @ w[:SYNTAX] + w[SYNTAX:][p[1]].mean())
+    total, run, out = sum(n for _, _, n in parts), 0, []
+    for p in order:
+        if run < 0.75 * total and run + p[2] > 0.25 * total:
+            out.append(p)
+        run += p[2]
+    return out
 
 
-def fit_ranker(x: np.ndarray, levels: np.ndarray, seed: int = 0, epochs: int = 12) -> np.ndarray:
-    """Weights of the pairwise ranker, by Adam on the logistic loss of level-ordered pairs."""
+def fit_ranker(x: np.ndarray, levels: np.ndarray, seed: int = 0, epochs: int = 12, start: np.ndarray | None = None) -> np.ndarray:
+    """Weights of the pairwise ranker, by Adam on the logistic loss of level-ordered pairs, from `start` on."""
     rng = np.random.default_rng(seed)
-    scale = np.ones(x.shape[1], np.float32)
-    scale[SYNTAX:] = 12.0
-    z = x * scale
+    # Features that no document has keep their weight of 0 and needn't be carried along.
+    used = np.flatnonzero(x.any(0))
+    scale = np.where(used < SYNTAX, 1.0, 12.0).astype(np.float32)
+    z = x[:, used] * scale
+    out = np.zeros(x.shape[1], np.float32)
     by = {int(v): np.flatnonzero(levels == v) for v in np.unique(levels)}
     kinds = [(a, b) for a in by for b in by if a > b]
     if not kinds:
-        return np.zeros(x.shape[1], np.float32)
+        return out
     each = max(1, PAIRS // len(kinds))
     hard = np.concatenate([rng.choice(by[a], each) for a, b in kinds])
     easy = np.concatenate([rng.choice(by[b], each) for a, b in kinds])
     gap = np.concatenate([np.full(each, a - b, np.float32) for a, b in kinds])
-    w = np.zeros(x.shape[1], np.float32)
+    w = np.zeros(len(used), np.float32) if start is None else (start[used] / scale).astype(np.float32)
     m, v, t = np.zeros_like(w), np.zeros_like(w), 0
     for _ in range(epochs):
         order = rng.permutation(len(hard))
@@ -114,7 +138,8 @@ def fit_ranker(x: np.ndarray, levels: np.ndarray, seed: int = 0, epochs: int = 1
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w -= 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w * scale
+    out[used] = w * scale
+    return out
 
 
 def isotonic(score: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +158,23 @@ def isotonic(score: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.array([(a[1] + b[0]) / 2 for a, b in zip(blocks, blocks[1:])]), np.array([b[2] for b in blocks])
 
 
+def _median(scored: list[tuple[float, int]]) -> float:
+    """Median over words of (score, words) of sentences; -inf for none."""
+    if not scored:
+        return float("-inf")
+    scored.sort()
+    half, run = sum(n for _, n in scored) / 2, 0
+    for s, n in scored:
+        run += n
+        if run >= half:
+            return s
+    return scored[-1][0]
+
+
+def median(parts: list, w: np.ndarray) -> float:
+    return _median([(float(syn @ w[:SYNTAX] + w[SYNTAX:][buckets].mean()), n) for syn, buckets, n in parts])
+
+
 class Model:
     def __init__(self, w: np.ndarray, at: np.ndarray, fitted: np.ndarray):
         self.w, self.at, self.fitted = w, at, fitted
@@ -158,29 +200,41 @@ class Model:
                     y = known[x] = float(vocabulary[_bucket(x)])
                 total += y
             got.append((total / len(ws) + sum(map(mul, weights, syntax(s, ws))), len(ws)))
-        if not got:
-            return float("-inf")
-        got.sort()
-        half, run = sum(n for _, n in got) / 2, 0
-        for s, n in got:
-            run += n
-            if run >= half:
-                return s
-        return got[-1][0]
+        return _median(got)
 
     def expected(self, score: float) -> float:
         return float(self.fitted[np.searchsorted(self.at, score)])
 
 
+def _ranker(docs: list[list], y: np.ndarray, seed: int) -> np.ndarray:
+    """Weights fitted on whole documents, then on the sentences about their medians, with scores of mean 0 and deviation 1."""
+    w = fit_ranker(np.stack([features(d) for d in docs]), y, seed, epochs=5)
+    x = np.stack([features(middle(d, w)) for d in docs])
+    w = fit_ranker(x, y, seed, epochs=7, start=w)
+    score = x @ w
+    # A shift of all scores goes to the words, whose mean every sentence has.
+    w = w / max(1e-9, float(score.std()))
+    w[SYNTAX:] -= float((x @ w).mean())
+    return w
+
+
 def fit(texts: list[str], levels: list[int], seed: int = 0) -> Model | None:
     """Ranker and calibration on the graded texts; None without any."""
-    if not texts:
+    given = [(d, y) for d, y in ((parsed(t), y) for t, y in zip(texts, levels)) if d]
+    if not given:
         return None
-    y = np.array(levels)
-    x = np.stack([document_features(t) for t in texts])
-    model = Model(fit_ranker(x, y, seed), np.array([]), np.array([1.0]))
-    at, fitted = isotonic(np.array([model.score(t) for t in texts]), y)
-    return Model(model.w, at, fitted)
+    docs, y = [d for d, _ in given], np.array([v for _, v in given])
+    score = np.full(len(docs), np.nan)
+    part = np.arange(len(docs)) % FOLDS
+    if len(docs) >= 10 * FOLDS:
+        for k in range(FOLDS):
+            w = _ranker([d for d, p in zip(docs, part) if p != k], y[part != k], seed)
+            for i in np.flatnonzero(part == k):
+                score[i] = median(docs[i], w)
+    w = _ranker(docs, y, seed)
+    if np.isnan(score).any():
+        score = np.array([median(d, w) for d in docs])
+    return Model(w, *isotonic(score, y))
 
 
 def fit_on(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", level: str = "reading_level") -> Model | None:
