@@ -6,7 +6,6 @@ Delivered order is materialised as `ord` where it has a meaning.
 
 from __future__ import annotations
 
-import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from taxaloom.functions.text import blank_to_null, is_binomial, null_to_blank, strip
+from taxaloom.sources.storage import exists, size
 
 MAP = "map<string,string>"
 #: Record schemas of the keyed documents, as DDL.
@@ -30,22 +30,24 @@ SCHEMAS = {
 }
 
 
-def exists(path: str) -> bool:
-    return os.path.exists(path)
+#: Bytes of one keyed JSON document that a task reads at most; a larger source must come as JSON lines or Parquet.
+MOST_DOCUMENT = 1 << 30
 
 
 def keyed_json(spark: SparkSession, path: str, record: str, key: str = "scientific_name", required: bool = False, hint: str = "") -> DataFrame:
     """(ord, key, fields…) of a file that holds one object {key: record}; null records have null fields.
 
-    One file is one row of text, so that its size is bound by a task's memory; larger inputs are
-    landed once as JSON lines or Parquet (see `land`).
+    One file is one row of text, so that its size is bound by a task's memory: beyond MOST_DOCUMENT bytes it raises, and
+    the source is to be given as JSON lines or Parquet (`land`, `landed`), which any number of tasks read.
     """
     schema = StructType([StructField("ord", IntegerType()), StructField(key, StringType())])
     inner = spark.createDataFrame([], record).schema
-    if not exists(path):
+    if not exists(spark, path):
         if required:
             raise FileNotFoundError(f"{path} is missing. {hint}".strip())
         return spark.createDataFrame([], StructType([*schema.fields, *inner.fields]))
+    if (n := size(spark, path)) > MOST_DOCUMENT:
+        raise ValueError(f"{path} has {n} bytes in one document; give it as JSON lines or Parquet")
     doc = spark.read.text(path, wholetext=True)
     entries = F.map_entries(F.from_json("value", f"map<string,struct<{_colons(record)}>>"))
     d = doc.select(F.posexplode(entries).alias("ord", "e"))
@@ -69,14 +71,14 @@ def _colons(ddl: str) -> str:
 def record_list(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     """Records of the first path that exists, a JSON list; raises where none does."""
     for p in paths:
-        if exists(p):
+        if exists(spark, p):
             return spark.read.schema(schema).json(p, multiLine=True)
     raise FileNotFoundError(f"none of {', '.join(paths)}")
 
 
 def journal(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Lines of an append-only journal; malformed lines are left out."""
-    if not exists(path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
@@ -90,7 +92,7 @@ def csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 def checklist(spark: SparkSession, path: str) -> DataFrame:
     """Species rows of the `;` checklist that have a name and a code; a missing file gives none."""
     cols = {"Scientific_name": "name", "Species_code_Cornell_Lab": "code", "English_name_Clements_v2024": "english_clements", "English_name_AviList": "english"}
-    if not exists(path):
+    if not exists(spark, path):
         return spark.createDataFrame([], "ord bigint, name string, code string, english_clements string, english string")
     d = csv(spark, path, ";").where(strip("Taxon_rank") == "species")
     d = d.select(F.col("line").alias("ord"), *[blank_to_null(a).alias(b) for a, b in cols.items()])
@@ -137,7 +139,7 @@ def aliases(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
 
     Not strict: rows that break a rule are left out, and a missing file gives none.
     """
-    if not strict and not exists(path):
+    if not strict and not exists(spark, path):
         return spark.createDataFrame([], "scientific_name string, alias string, line bigint")
     d = csv(spark, path)
     _require_columns(d, ["scientific_name", "alias"], "aliases")
@@ -162,6 +164,12 @@ def priority_species(spark: SparkSession, path: str) -> DataFrame:
     return d.withColumn("inat_id", number)
 
 
+def landed(spark: SparkSession, path: str, record: str, key: str = "scientific_name") -> DataFrame:
+    """(ord, key, fields…) of a source that was landed as Parquet, or as JSON lines with the key and `ord` in each."""
+    schema = f"ord bigint, `{key}` string, {record}"
+    return spark.read.schema(schema).json(path) if path.rstrip("/").endswith((".jsonl", ".json", ".ndjson")) else spark.read.schema(schema).parquet(path)
+
+
 def land(d: DataFrame, path: str) -> None:
     """Write a source once as Parquet; the commit protocol makes the overwrite atomic."""
     d.write.mode("overwrite").parquet(path)

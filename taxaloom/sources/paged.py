@@ -3,7 +3,8 @@
 `PagedSource` reads a service page by page, one partition a run of pages, so that executors fetch
 in parallel. The service is a fetcher: a callable (page, options) -> list of dicts, named by
 "module:function", so that tests and offline runs give recorded pages. Requests are spaced by
-`min_interval`, retried with growing pauses, and answers may be kept by content key in `cache`.
+`min_interval` (over all partitions of a read), retried with growing pauses, and answers may be kept by content key in
+`cache`, a folder that all executors share (a mounted one; what isn't there is fetched). `read_until` stops a whole read.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
@@ -61,6 +63,10 @@ def fetcher(name: str) -> Callable:
     return getattr(importlib.import_module(module), function)
 
 
+#: Options that say how to read, not what.
+_READING = ("first_page", "pages", "pages_per_partition", "min_interval", "tries", "pause", "cache", "stop_below", "stop_below_field")
+
+
 class _Pages(InputPartition):
     def __init__(self, first: int, last: int):
         super().__init__((first, last))
@@ -71,15 +77,17 @@ class _Reader(DataSourceReader):
         self.names, self.options = [f.name for f in schema.fields], dict(options)
 
     def partitions(self):
-        pages, each = int(self.options.get("pages", 1)), max(1, int(self.options.get("pages_per_partition", 10)))
-        return [_Pages(a, min(a + each, pages + 1)) for a in range(1, pages + 1, each)]
+        first, pages, each = int(self.options.get("first_page", 1)), int(self.options.get("pages", 1)), max(1, int(self.options.get("pages_per_partition", 10)))
+        return [_Pages(a, min(a + each, first + pages)) for a in range(first, first + pages, each)]
 
     def read(self, partition) -> Iterator[tuple]:
         fetch, cache = fetcher(self.options["fetcher"]), Cache(self.options.get("cache"))
-        gap = float(self.options.get("min_interval", 0))
+        # The spacing holds for the whole read, whose partitions may all run at once.
+        gap = float(self.options.get("min_interval", 0)) * len(self.partitions())
         stop_field, least = self.options.get("stop_below_field"), float(self.options.get("stop_below", 0))
         for page in range(*partition.value):
-            key = cache_key(self.options["fetcher"], page, sorted(self.options.items()))
+            own = sorted((k, v) for k, v in self.options.items() if k not in _READING)
+            key = cache_key(self.options["fetcher"], page, own)
             rows = cache.get(key)
             if rows is None:
                 rows = with_retries(lambda p=page: fetch(p, self.options), int(self.options.get("tries", 3)), float(self.options.get("pause", 0.5)))
@@ -113,3 +121,21 @@ def read_pages(spark: SparkSession, schema: str, fetch: str, pages: int, **optio
     for k, v in options.items():
         r = r.option(k, str(v))
     return r.load()
+
+
+def read_until(spark: SparkSession, schema: str, fetch: str, most_pages: int, wave: int, stop_below_field: str, stop_below: float, keep: Callable[[DataFrame], DataFrame], **options: object) -> DataFrame:
+    """Rows of pages in falling order of a field, up to the first below a bound, over the whole read.
+
+    Pages are fetched in waves of `wave`, which run in parallel; no further wave is asked for once one has a row below the
+    bound or fewer rows than pages. `keep` holds a wave's rows (see `session.checkpoint`), so that nothing is fetched twice.
+    """
+    out = None
+    for first in range(1, most_pages + 1, wave):
+        pages = min(wave, most_pages + 1 - first)
+        got = keep(read_pages(spark, schema, fetch, pages, first_page=first, **options))
+        good = got.where(F.coalesce(stop_below_field, F.lit(0)) >= stop_below)
+        out = good if out is None else out.unionByName(good)
+        n, enough = got.agg(F.count("*"), F.count_if(F.coalesce(stop_below_field, F.lit(0)) >= stop_below)).first()
+        if n < pages or enough < n:
+            break
+    return out if out is not None else spark.createDataFrame([], schema)

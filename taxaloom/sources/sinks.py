@@ -1,14 +1,14 @@
 """Sinks: atomic JSON, exports as CSV and ZIP, reports.
 
-Distributed tables are written by Spark's commit protocol. The single files of the export are
-written from sorted record lines on the driver, streamed row by row through a temporary name.
+Distributed tables are written by Spark's commit protocol. The single JSON files of the export are written in
+parallel parts in order and joined by their bytes, in any file system that Spark reaches; CSV and ZIP, which are for
+downloads, go through the driver row by row and stay local.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-import json
 import os
 import zipfile
 from collections.abc import Iterable
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxaloom.operators.catalog import csv_cells
+from taxaloom.sources import storage
 
 
 def _replace(path: str, chunks: Iterable[str]) -> None:
@@ -29,38 +30,23 @@ def _replace(path: str, chunks: Iterable[str]) -> None:
     os.replace(tmp, path)
 
 
-def write_json_array(df: DataFrame, path: str, order: str, indent: int | None = 2) -> int:
-    """One JSON array of all records in order, null fields kept; the number of records."""
-    lines = df.orderBy(order).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator(prefetchPartitions=True)
-    n = 0
+def write_json_array(df: DataFrame, path: str, order: str, indent: bool = True) -> int:
+    """One JSON array of all records in order, null fields kept; the number of records.
 
-    def chunks():
-        nonlocal n
-        yield "["
-        for r in lines:
-            body = json.dumps(json.loads(r.j), ensure_ascii=False, indent=indent) if indent else r.j
-            yield (",\n" if n else "\n") + body
-            n += 1
-        yield "\n]\n"
-
-    _replace(path, chunks())
-    return n
+    Tasks render and write their parts in parallel; the driver only joins the bytes.
+    """
+    pretty = {"ignoreNullFields": "false", "pretty": str(bool(indent)).lower()}
+    lines = df.select(F.concat(F.lit(","), F.to_json(F.struct(*df.columns), pretty)).alias("j"), order)
+    storage.write_merged(lines.toDF("_line", "_order"), path, ["_order"], "[\n", "]\n", first=1)
+    return df.count()
 
 
 def write_keyed_json(df: DataFrame, path: str, key: str, order: str = "ord") -> None:
-    """One object {key: record} in delivered order."""
+    """One object {key: record} in delivered order, in the same way."""
     fields = [c for c in df.columns if c not in (key, order)]
-    rows = df.orderBy(order).select(key, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator()
-
-    def chunks():
-        first = True
-        yield "{"
-        for r in rows:
-            yield ("" if first else ",") + "\n " + json.dumps(r[0], ensure_ascii=False) + ": " + r.j
-            first = False
-        yield "\n}\n"
-
-    _replace(path, chunks())
+    name = F.regexp_extract(F.to_json(F.struct(F.col(key).alias("k"))), r'^\{"k":(.*)\}$', 1)
+    lines = df.where(F.col(key).isNotNull()).select(F.concat(F.lit(","), name, F.lit(": "), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})), order)
+    storage.write_merged(lines.toDF("_line", "_order"), path, ["_order"], "{\n", "}\n", first=1)
 
 
 def _csv_lines(columns: list[str], rows: Iterable) -> Iterable[str]:

@@ -1,7 +1,7 @@
 """An append-only journal of results as a stream merged into a state table.
 
 The journal is a folder of JSON lines. Each micro-batch is reduced to one row per key and merged
-into the state (Parquet, one folder per version, switched by a pointer file), earlier entries
+into the state (Parquet, one folder per version, switched by a pointer file, in any file system that Spark reaches), earlier entries
 prevailing per locale as in the batch replay. The stream's checkpoint makes restarts exact; a batch
 that is delivered twice changes nothing, for the merge is idempotent.
 """
@@ -9,26 +9,25 @@ that is delivered twice changes nothing, for the merge is idempotent.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaloom.functions import maps
+from taxaloom.sources import storage
 
 SCHEMA = "scientific_name string, extracts map<string,string>, fallback boolean, written_at timestamp"
 STATE = "scientific_name string, extracts map<string,string>, fallback_locales array<string>"
 
 
 def _pointer(folder: str) -> str:
-    return os.path.join(folder, "current.json")
+    return f"{folder}/current.json"
 
 
 def read_state(spark: SparkSession, folder: str) -> DataFrame:
-    if not os.path.exists(_pointer(folder)):
+    if not storage.exists(spark, _pointer(folder)):
         return spark.createDataFrame([], STATE)
-    with open(_pointer(folder), encoding="utf-8") as f:
-        return spark.read.schema(STATE).parquet(os.path.join(folder, json.load(f)["version"]))
+    return spark.read.schema(STATE).parquet(f"{folder}/{json.loads(storage.read_text(spark, _pointer(folder)))['version']}")
 
 
 def reduce_lines(lines: DataFrame) -> DataFrame:
@@ -52,12 +51,8 @@ def merge(state: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def write_state(df: DataFrame, folder: str, version: str) -> None:
-    os.makedirs(folder, exist_ok=True)
-    df.write.mode("overwrite").parquet(os.path.join(folder, version))
-    tmp = _pointer(folder) + ".tmp"
-    with open(tmp, "w", encoding="utf-8") as f:
-        json.dump({"version": version}, f)
-    os.replace(tmp, _pointer(folder))
+    df.write.mode("overwrite").parquet(f"{folder}/{version}")
+    storage.write_text(df.sparkSession, _pointer(folder), json.dumps({"version": version}))
 
 
 def replay(spark: SparkSession, journal: str) -> DataFrame:

@@ -74,6 +74,48 @@ def test_paged_source(spark, tmp_path):
     assert cut.count() == 4
 
 
+def test_whole_read_stops(spark):
+    from taxaloom.session import checkpoint
+
+    asked = []
+
+    def keep(d):
+        asked.append(1)
+        return checkpoint(d)
+
+    got = paged.read_until(spark, "id bigint, n bigint", "tests.test_sources:pages", 40, 2, "n", 75, keep, pages_per_partition=1)
+    assert sorted(r.n for r in got.collect()) == [78, 79, 80, 88, 89, 90] and len(asked) == 2
+
+
+def test_storage(spark, tmp_path):
+    from taxaloom.sources import storage
+
+    f = str(tmp_path / "x.txt")
+    assert not storage.exists(spark, f)
+    storage.write_text(spark, f, "é1")
+    storage.write_text(spark, f, "é2")
+    assert storage.exists(spark, f) and storage.exists(spark, "file://" + f) and storage.read_text(spark, f) == "é2" and storage.size(spark, f) == 3
+    d = spark.range(0, 1000, 1, 7).withColumn("s", F.concat(F.lit('a"\n'), F.col("id").cast("string")))
+    assert sinks.write_json_array(d, f, "id", False) == 1000 and [r["id"] for r in json.load(open(f))] == list(range(1000)) and json.load(open(f))[3]["s"] == 'a"\n3'
+    sinks.write_keyed_json(d, f, "s", "id")
+    assert len(json.load(open(f))) == 1000
+    assert sinks.write_json_array(d.where("false"), f, "id") == 0 and json.load(open(f)) == []
+    sinks.write_keyed_json(d.where("false"), f, "s", "id")
+    assert json.load(open(f)) == {} and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["x.txt"]
+
+
+def test_documents_beyond_a_task_raise(spark, tmp_path, monkeypatch):
+    p = tmp_path / "a.json"
+    p.write_text('{"A": {"xc_name": "x"}}')
+    assert files.keyed_json(spark, str(p), files.SCHEMAS["xc"]).count() == 1
+    monkeypatch.setattr(files, "MOST_DOCUMENT", 5)
+    with pytest.raises(ValueError):
+        files.keyed_json(spark, str(p), files.SCHEMAS["xc"])
+    q = tmp_path / "b.jsonl"
+    q.write_text('{"ord": 0, "scientific_name": "A", "xc_name": "x"}\n')
+    assert [r.xc_name for r in files.landed(spark, str(q), files.SCHEMAS["xc"]).collect()] == ["x"]
+
+
 def test_retries():
     seen = []
 
