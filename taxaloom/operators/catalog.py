@@ -160,6 +160,34 @@ def search(df: DataFrame, q: str, group: str = "") -> DataFrame:
     return d.withColumn("score", tier + bonus).drop("_sci", "_com", "_al", "_names", "_own", "_all")
 
 
+def search_page(df: DataFrame, q: str, group: str = "", sort: str = "", number: int = 1, size: int = 50, fields: str = "", exclude: str = "", locale: str = "") -> DataFrame:
+    """A page of hits, projected: by score, or (where `sort` is given) by a field and then by score; ties in delivered order."""
+    if not 1 <= size <= 500 or number < 1:
+        raise ValueError("a page has 1 to 500 rows, and pages count from 1")
+    d = search(df, q, group)
+    order = [*(sort_columns(d, sort)[:-1] if sort else []), F.desc("score"), F.asc("ord")]
+    return project(d.orderBy(*order).offset((number - 1) * size).limit(size), fields, exclude, locale)
+
+
+def species(df: DataFrame, identifier: str, fields: str = "", exclude: str = "", locale: str = "") -> DataFrame:
+    """The record that any of its identifiers means (no row for none), projected."""
+    one = df.sparkSession.createDataFrame([(identifier,)], "i string")
+    return project(df.join(F.broadcast(lookup(df, one, "i").select("ord")), "ord", "left_semi"), fields, exclude, locale)
+
+
+def field_list(df: DataFrame) -> DataFrame:
+    """(field): names of the fields that a record may have, in order; internal ones left out."""
+    return df.sparkSession.createDataFrame([(c,) for c in sorted(df.columns) if c != "ord" and not c.startswith("_")], "field string")
+
+
+def api_record(df: DataFrame, prefix: str = "") -> DataFrame:
+    """Records with their image_* columns folded into one struct `image` (null without an address), which `prefix` comes before."""
+    parts = [c for c in df.columns if c.startswith("image_")]
+    url = F.when(F.col("image_url").startswith("/"), F.concat(F.lit(prefix), "image_url")).otherwise(F.col("image_url"))
+    image = F.struct(*[(url if c == "image_url" else F.col(c)).alias(c.removeprefix("image_")) for c in parts])
+    return df.withColumn("image", F.when(null_to_blank("image_url") != "", image)).drop(*parts, "ord")
+
+
 def suggest(df: DataFrame, q: str, limit: int = 10, lang: str = "en") -> DataFrame:
     """The best hits of a query of two characters or more, with the name in the wanted language."""
     d = search(df, q) if len(q) >= 2 else df.limit(0).withColumn("score", F.lit(0.0))
@@ -194,5 +222,9 @@ def csv_cells(df: DataFrame, fields: str = "") -> DataFrame:
 
 
 def rank_within(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
-    """The first n rows of each group."""
+    """The first n rows of each group.
+
+    Each task keeps no more than n rows of a group before the shuffle (Spark's group limit, up to 1,000), so that a hot
+    group doesn't come to one task whole.
+    """
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_k") <= n).drop("_k")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 MOST_OVERLAP = 0.45
 LEAST_CONFIDENCE = 0.25
 CANVAS = 640
+#: Classes of the detection model that are animals, and the least side of a subject in pixels.
+ANIMAL_CLASSES = (14, 15, 16, 17, 18, 19, 20, 21, 22, 23)
+LEAST_SIDE = 10
 
 
 def _box(left: Column, top: Column, width: Column, height: Column) -> Column:
@@ -91,3 +94,19 @@ def suppress(df: DataFrame, image: str, box_id: str) -> DataFrame:
 
     d = df.where(F.col("score") > LEAST_CONFIDENCE).select(image, box_id, "x1", "y1", "x2", "y2", "score")
     return d.groupBy(image).applyInPandas(run, f"{image} {fields[image]}, {box_id} {fields[box_id]}, rank bigint")
+
+
+def subjects(detections: DataFrame, image: str, box_id: str) -> DataFrame:
+    """(image, x1, y1, x2, y2): the subject of each image in its own pixels, no row where none is found.
+
+    detections(image, box_id, x1, y1, x2, y2, score, class_id on the canvas; scale, pad_x, pad_y, w, h of the image), as
+    `suppress` keeps them. Boxes of animal classes come before others, then the surest; a box is clamped to the
+    image and dropped if a side is below LEAST_SIDE pixels. One aggregate an image, combined before the shuffle.
+    """
+    animal = F.col("class_id").isin(*ANIMAL_CLASSES)
+    d = detections.where(F.col("score") > LEAST_CONFIDENCE)
+    at = ["x1", "y1", "x2", "y2", "scale", "pad_x", "pad_y", "w", "h"]
+    best = d.groupBy(image).agg(F.max_by(F.struct(*at), F.struct(animal.alias("a"), "score", -F.col(box_id))).alias("b")).select(image, "b.*")
+    place = lambda c, pad, side: F.greatest(F.lit(0), F.least(((F.col(c) - F.col(pad)) / F.col("scale")).cast("bigint"), F.col(side).cast("bigint"))).alias(c)
+    out = best.select(image, place("x1", "pad_x", "w"), place("y1", "pad_y", "h"), place("x2", "pad_x", "w"), place("y2", "pad_y", "h"))
+    return out.where((F.col("x2") - F.col("x1") >= LEAST_SIDE) & (F.col("y2") - F.col("y1") >= LEAST_SIDE))

@@ -65,12 +65,29 @@ def reassign_ids(rows: DataFrame, key: str, to: str = "number") -> DataFrame:
     return global_rank(rows.select(key).distinct(), [F.col(key)], to)
 
 
+def rank_in_groups(df: DataFrame, groups: list[str], by: list[Column], to: str = "rank", parts: int | None = None) -> DataFrame:
+    """Number the rows of each group from 1 in an order that must be total; null groups are groups.
+
+    Rows are range-partitioned by group and order, so that a group of any size lies in several partitions; each numbers
+    its own piece, and the sizes of the pieces before it (one number a group and partition) are added.
+    """
+    from taxaloom.session import checkpoint
+
+    n = parts or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    d = checkpoint(df.repartitionByRange(n, *groups, *by).withColumn("_p", F.spark_partition_id()))
+    piece = Window.partitionBy("_p", *groups)
+    before = d.groupBy("_p", *groups).agg(F.count("*").alias("_n"))
+    before = before.withColumn("_off", F.coalesce(F.sum("_n").over(Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = before.select(F.col("_p").alias("_q"), *[F.col(g).alias(f"_g_{g}") for g in groups], "_off")
+    same = [F.col("_p") == F.col("_q"), *[F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]]
+    ranked = d.withColumn("_i", F.row_number().over(piece.orderBy(*by))).join(before, same)
+    return ranked.withColumn(to, (F.col("_i") + F.col("_off")).cast("bigint")).drop("_p", "_q", "_i", "_off", *[f"_g_{g}" for g in groups])
+
+
 def chunks(df: DataFrame, by: list[Column], size: int, within: list[str] | None = None, to: str = "chunk") -> DataFrame:
     """Number fixed-size chunks from 0, within groups or over all rows."""
-    if within:
-        r = F.row_number().over(Window.partitionBy(*within).orderBy(*by))
-        return df.withColumn(to, F.floor((r - 1) / size).cast("bigint"))
-    return global_rank(df, by, "_rank").withColumn(to, F.floor((F.col("_rank") - 1) / size).cast("bigint")).drop("_rank")
+    ranked = rank_in_groups(df, within, by, "_rank") if within else global_rank(df, by, "_rank")
+    return ranked.withColumn(to, F.floor((F.col("_rank") - 1) / size).cast("bigint")).drop("_rank")
 
 
 def top_by_count(df: DataFrame, key: str, ord_: str, n: int) -> DataFrame:

@@ -96,3 +96,48 @@ def description_audit(df: DataFrame, least: int = 40) -> DataFrame:
     d = df.select("ord", "scientific_name", "descriptions", urls.alias("_u"), F.explode(keys).alias("locale"))
     w = word_count(F.element_at(maps._safe("descriptions"), F.col("locale")))
     return d.select("ord", "scientific_name", "locale", w.alias("words"), description_status(w, F.map_contains_key("_u", F.col("locale")), least).alias("status"))
+
+
+def quality_report(df: DataFrame, least: int, by_group: dict[str, int]) -> DataFrame:
+    """The eleven columns of the quality report, one row a record; `df` is scored and has its drop reasons."""
+    th = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in by_group.items() for x in kv]), F.col("taxon_group")) if by_group else F.lit(None).cast("int"), F.lit(least))
+    return df.select(
+        "ord", F.when(F.size("drop_reasons") > 0, "drop").otherwise("keep").alias("action"), F.col("quality_score").alias("score"), null_to_blank("scientific_name").alias("scientific_name"),
+        null_to_blank("common_name").alias("common_name"), null_to_blank("taxon_group").alias("taxon_group"), F.array_join("quality_flags", "|").alias("flags"), F.array_join("drop_reasons", "|").alias("drop_reasons"),
+        F.when(F.coalesce("record_type", F.lit("")) == "sound_class", 0).otherwise(th).cast("bigint").alias("threshold"), F.col("external_ids").alias("external_id_count"),
+        null_to_blank("description_source").alias("description_source"), F.when(null_to_blank("image_url") != "", "1").otherwise("0").alias("has_image"),
+    )
+
+
+def description_report(df: DataFrame, least: int = 40) -> DataFrame:
+    """The ten columns of the description report, one row a record and locale."""
+    a = description_audit(df, least).drop("scientific_name")
+    pair = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(F.map_filter(maps._safe(m), lambda k, v: v.isNotNull()))), lambda e: F.concat_ws(":", e["key"], e["value"])), "|")
+    r = df.select("ord", "scientific_name", "birdnet_id", "description_source", null_to_blank("taxon_group").alias("taxon_group"), maps._safe("description_sources").alias("_s"), null_to_blank(maps.value("wikipedia_urls", "en")).alias("wikipedia_en_url"),
+                  F.array_join(maps.sorted_keys("descriptions"), "|").alias("available_description_locales"), pair("description_sources").alias("available_source_locales"))
+    d = a.join(r, "ord")
+    return d.select("ord", "scientific_name", "birdnet_id", "taxon_group", "locale", "status", "words", F.coalesce(F.nullif(F.element_at("_s", F.col("locale")), F.lit("")), F.when(F.col("locale") == "en", F.col("description_source")), F.lit("")).alias("source"), "wikipedia_en_url", "available_description_locales", "available_source_locales")
+
+
+def audit_gaps(df: DataFrame, optional: list[str]) -> DataFrame:
+    """(finding, n): records without an optional identifier, and without an image."""
+    kinds = dict(df.dtypes)
+    tests = {f"without_{c}": ~_given(c, kinds) for c in optional} | {"without_image": null_to_blank("image_url") == ""}
+    one = df.agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
+    pairs = ", ".join(f"'{n}', `{n}`" for n in tests)
+    return one.select(F.expr(f"stack({len(tests)}, {pairs}) as (finding, n)"))
+
+
+def audit_samples(df: DataFrame, required: list[str], most: int, least_words: int = 40) -> DataFrame:
+    """(finding, scientific_name, words): the first `most` records of each finding, in delivered order."""
+    from taxaloom.operators.catalog import rank_within
+
+    kinds = dict(df.dtypes)
+    species = F.coalesce(F.col("record_type"), F.lit("species")) != "sound_class"
+    words = word_count(maps.value("descriptions", "en"))
+    tests = {f"missing_{c}": ~_given(c, kinds) for c in required} | {
+        "short_english": species & (words < least_words), "bad_scientific_name": species & ~is_clean_scientific_name("scientific_name"), "bad_common_name": ~is_clean_common_name("common_name"),
+    }
+    found = F.array_compact(F.array(*[F.when(t, n) for n, t in tests.items()]))
+    d = df.select("ord", "scientific_name", words.alias("words"), F.explode(found).alias("finding"))
+    return rank_within(d, ["finding"], [F.col("ord")], most).select("finding", "ord", "scientific_name", F.when(F.col("finding") == "short_english", F.col("words")).alias("words"))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from taxaloom.functions import maps
 from taxaloom.functions import text as T
 from taxaloom.operators import merge, ordering, quality, resolve
+from taxaloom.session import checkpoint
+from taxaloom.sources import storage
 
 IDS = ["inat_id", "ebird_code", "gbif_id", "ncbi_id", "avibase_id", "birdlife_id", "ml_taxon_code", "xc_name", "observationorg_id"]
 
@@ -127,3 +129,34 @@ def finish(scored: DataFrame, registry: DataFrame, least: int = 20, by_group: di
     out = kept.join(ids, "scientific_name").withColumn("birdnet_id", T.record_id("number")).drop("number")
     new = ids.join(registry.select("scientific_name"), "scientific_name", "left_anti")
     return out, registry.select("scientific_name", F.col("number").cast("bigint").alias("number")).unionByName(new)
+
+
+def kept_taxonomy(spark, path: str, make, merge_only: bool = False) -> DataFrame:
+    """The taxonomy from its table at `path`, made and written first unless `merge_only` asks for the written one.
+
+    `make` is called only where the taxonomy is made. With `merge_only` a missing table raises.
+    """
+    if not merge_only:
+        make().write.mode("overwrite").parquet(path)
+    elif not storage.exists(spark, path):
+        raise FileNotFoundError(f"{path} is missing; build the taxonomy once before merging only")
+    return spark.read.parquet(path)
+
+
+def read_registry(spark, path: str) -> DataFrame:
+    """(scientific_name, number) of all ids given so far; empty where none were."""
+    return spark.read.parquet(path) if storage.exists(spark, path) else spark.createDataFrame([], "scientific_name string, number bigint")
+
+
+def grow_registry(spark, path: str, registry: DataFrame) -> int:
+    """Append the ids that the table at `path` doesn't have; nothing is written where there are none. The number added."""
+    new = checkpoint(registry.join(read_registry(spark, path).select("scientific_name"), "scientific_name", "left_anti").select("scientific_name", "number"))
+    n = new.count()
+    if n:
+        new.write.mode("append").parquet(path)
+    return n
+
+
+def delivered(records: DataFrame) -> DataFrame:
+    """Final records in the order of their id as text."""
+    return records.orderBy("birdnet_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("nested", "names", "catalog", "joins", "ordering", "aggregates", "merge", "textfuncs", "batches", "media", "worklists")
+MODULES = ("nested", "names", "catalog", "joins", "ordering", "aggregates", "merge", "textfuncs", "batches", "media", "worklists", "reports")
 
 
 def _collect(attr: str) -> dict:

@@ -59,3 +59,23 @@ def test_build(spark, tmp_path):
     assert new.count() == len(ids)
     reasons = {r.scientific_name: r.reason for r in build.included(s.inat, s.groups).collect()}
     assert reasons["Rana mortua"] == "extinct" and reasons["Rana"] == "not_species" and reasons["Felis catus"] == "group" and reasons["Parus major"] is None
+
+
+def test_taxonomy_table_and_registry(spark, tmp_path):
+    import pytest
+
+    t, made = str(tmp_path / "taxonomy"), []
+
+    def make():
+        made.append(1)
+        return spark.createDataFrame([("A", 1)], "scientific_name string, n int")
+
+    with pytest.raises(FileNotFoundError):
+        build.kept_taxonomy(spark, t, make, merge_only=True)
+    assert build.kept_taxonomy(spark, t, make).count() == 1 and build.kept_taxonomy(spark, t, make, merge_only=True).count() == 1 and made == [1]
+    r = str(tmp_path / "registry")
+    ids = spark.createDataFrame([("A", 1), ("B", 2)], "scientific_name string, number bigint")
+    assert build.read_registry(spark, r).count() == 0 and build.grow_registry(spark, r, ids) == 2 and build.grow_registry(spark, r, ids) == 0
+    assert build.grow_registry(spark, r, ids.unionByName(spark.createDataFrame([("C", 3)], ids.schema))) == 1 and build.read_registry(spark, r).count() == 3
+    d = spark.createDataFrame([("BN100000",), ("BN00007",), ("BN99999",)], "birdnet_id string")
+    assert [x[0] for x in build.delivered(d).collect()] == ["BN00007", "BN100000", "BN99999"]

@@ -102,3 +102,39 @@ def test_pushdown_reaches_the_scan(spark, sf):
     d = C.filters(records(spark, sf), min_observations=5).select("rec_id", "observations_count")
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "descriptions" not in plan
+
+
+def test_pages_records_and_fields(spark):
+    from taxaloom.operators import catalog as C
+
+    cols = "ord bigint, scientific_name string, common_name string, common_name_alt string, birdnet_id string, ebird_code string, xc_name string, inat_id bigint, scientific_name_aliases array<string>, common_names map<string,string>, taxon_group string, observations_count bigint, image_url string, image_author string, _inner int"
+    rows = [(i, f"Bubo x{i}", "Owl" if i else None, None, f"BN{i}", None, None, i, None, {"de": "Eule", "fr": "Hibou"}, "Aves", None if i == 2 else i % 2, "/a.jpg" if i else "", "Ann", 1) for i in range(5)]
+    d = spark.createDataFrame(rows, cols)
+    assert [r.ord for r in C.search_page(d, "owl", sort="observations_count").collect()] == [4, 1, 3, 2]
+    assert len(C.search_page(d, "owl", size=1, number=2).collect()) == 1
+    assert [r.scientific_name for r in C.species(d, "bn3", fields="scientific_name").collect()] == ["Bubo x3"] and C.species(d, "nobody").count() == 0
+    assert C.species(d, "BN3", locale="fr").first().common_names == {"fr": "Hibou"}
+    assert "ord" not in [r.field for r in C.field_list(d).collect()] and "_inner" not in [r.field for r in C.field_list(d).collect()]
+    a = {r.birdnet_id: r.image for r in C.api_record(d, "/root").collect()}
+    assert a["BN0"] is None and (a["BN1"].url, a["BN1"].author) == ("/root/a.jpg", "Ann")
+    for bad in ({"size": 0}, {"size": 501}, {"number": 0}):
+        try:
+            C.search_page(d, "owl", **bad)
+        except ValueError:
+            continue
+        raise AssertionError(bad)
+
+
+def test_ranks_in_a_hot_group(spark):
+    from pyspark.sql import functions as F
+
+    from taxaloom.operators import ordering as O
+
+    d = spark.range(0, 3000).select(F.when(F.col("id") % 7 == 0, "b").when(F.col("id") % 11 == 0, F.lit(None)).otherwise("a").alias("g"), F.col("id").alias("i"))
+    got = O.rank_in_groups(d, ["g"], [F.col("i")], parts=9)
+    seen = {}
+    for r in sorted(got.collect(), key=lambda r: r.i):
+        seen[r.g] = seen.get(r.g, 0) + 1
+        assert r.rank == seen[r.g]
+    assert O.chunks(d, [F.col("i")], 100, ["g"]).where("g = 'a'").agg(F.max("chunk")).first()[0] == (seen["a"] - 1) // 100
+    assert O.chunks(d.where("false"), [F.col("i")], 100, ["g"]).count() == 0
