@@ -206,11 +206,11 @@ class Model:
         return float(self.fitted[np.searchsorted(self.at, score)])
 
 
-def _ranker(docs: list[list], y: np.ndarray, seed: int) -> np.ndarray:
+def _ranker(docs: list[list], y: np.ndarray, seed: int, epochs: tuple[int, int] = (5, 7)) -> np.ndarray:
     """Weights fitted on whole documents, then on the sentences about their medians, with scores of mean 0 and deviation 1."""
-    w = fit_ranker(np.stack([features(d) for d in docs]), y, seed, epochs=5)
+    w = fit_ranker(np.stack([features(d) for d in docs]), y, seed, epochs[0])
     x = np.stack([features(middle(d, w)) for d in docs])
-    w = fit_ranker(x, y, seed, epochs=7, start=w)
+    w = fit_ranker(x, y, seed, epochs[1], w)
     score = x @ w
     # A shift of all scores goes to the words, whose mean every sentence has.
     w = w / max(1e-9, float(score.std()))
@@ -228,7 +228,7 @@ def fit(texts: list[str], levels: list[int], seed: int = 0) -> Model | None:
     part = np.arange(len(docs)) % FOLDS
     if len(docs) >= 10 * FOLDS:
         for k in range(FOLDS):
-            w = _ranker([d for d, p in zip(docs, part) if p != k], y[part != k], seed)
+            w = _ranker([d for d, p in zip(docs, part) if p != k], y[part != k], seed, (3, 3))
             for i in np.flatnonzero(part == k):
                 score[i] = median(docs[i], w)
     w = _ranker(docs, y, seed)
