@@ -242,11 +242,12 @@ class Index:
                     out.append((d, a, k))
         return out
 
-    def search(self, text: str | None, least: int = LEAST_WORDS) -> list[tuple[int, int, int, float, list[tuple[int, int, int]]]]:
-        """(item id, words, span, coverage, runs) of every item that leaked into the text.
+    def search(self, text: str | None, least: int = LEAST_WORDS) -> list[tuple[int, int, int, float, list[tuple[int, int, int]], int]]:
+        """(item id, words, span, coverage, runs, unbroken) of every item that leaked into the text.
 
         words and span are the longest run's matching words and its length in the text; runs are the
-        (first word, word after the last, matching words) of all runs, the longest first.
+        (first word, word after the last, matching words) of all runs, the longest first; unbroken is the
+        longest match without a changed word.
         """
         seq = [self.vocabulary.get(w, -1) for w in tokens(text)]
         seeds: dict[int, list[tuple[int, int, int]]] = {}
@@ -263,7 +264,7 @@ class Index:
                 runs = self._join(matches, least, size)
                 if runs:
                     first, last, words = runs[0]
-                    out.append((self.ids[item], words, last - first, round(words / size, 4), runs))
+                    out.append((self.ids[item], words, last - first, round(words / size, 4), runs, max(k for _, _, k in matches)))
         return out
 
     def _join(self, matches: list[tuple[int, int, int]], least: int, size: int) -> list[tuple[int, int, int]]:
@@ -324,14 +325,14 @@ def _indexes(items: DataFrame, item_key: str, item_text: str) -> list:
 
 
 def _searcher(index, kind: str, least: int):
-    @F.pandas_udf(f"array<struct<item:{kind},words:bigint,span:bigint,coverage:double,start:bigint,end:bigint>>")
+    @F.pandas_udf(f"array<struct<item:{kind},words:bigint,span:bigint,coverage:double,start:bigint,end:bigint,unbroken:bigint>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
             out = []
             for t in b:
                 got = index.value.search(t, least)
                 at = located(t)[1] if got else []
-                out.append([{"item": i, "words": n, "span": s, "coverage": c, "start": at[r[0][0]][0], "end": at[r[0][1] - 1][1]} for i, n, s, c, r in got])
+                out.append([{"item": i, "words": n, "span": s, "coverage": c, "start": at[r[0][0]][0], "end": at[r[0][1] - 1][1], "unbroken": u} for i, n, s, c, r, u in got])
             yield pd.Series(out)
 
     return run
@@ -345,22 +346,23 @@ def _spanner(index, longest: int, coverage: float):
             size = dict(zip(mine.ids, mine.sizes))
             for t in b:
                 got = mine.search(t, min(longest, LEAST_WORDS))
-                out.append([{"first": a, "last": z} for i, _, _, _, runs in got for a, z, n in runs if n >= longest or n >= coverage * size[i]])
+                out.append([{"first": a, "last": z} for i, _, _, _, runs, _ in got for a, z, n in runs if n >= longest or n >= coverage * size[i]])
             yield pd.Series(out)
 
     return run
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
-    """(item, doc, words, span, coverage, start, end): every document that holds a passage of an item.
+    """(item, doc, words, span, coverage, start, end, unbroken): every document that holds a passage of an item.
 
-    start and end are the places of the longest run in the text, in characters from 0.
+    start and end are the places of the longest run in the text, in characters from 0; unbroken is the longest match
+    of the pair without a changed word.
     """
     kind = items.schema[item_key].dataType.simpleString()
     d = spread(documents.select(key, text).where(F.col(text).isNotNull()))
     found = [_searcher(index, kind, least)(F.col(text)) for index in _indexes(items, item_key, item_text)]
     leaks = F.explode(F.concat(*found) if len(found) > 1 else found[0])
-    return d.select(key, leaks.alias("_l")).select(F.col("_l.item").alias(item_key), key, "_l.words", "_l.span", "_l.coverage", "_l.start", "_l.end")
+    return d.select(key, leaks.alias("_l")).select(F.col("_l.item").alias(item_key), key, "_l.words", "_l.span", "_l.coverage", "_l.start", "_l.end", "_l.unbroken")
 
 
 def without_leaks(documents: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", longest: int = LEAST_WORDS, coverage: float = 0.5) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxaloom.llm import canonical, langid, leakage, matching, mixing, quality, reading, truncation
-from taxaloom.llm.common import checkpoint, descriptions, ensure, table
+from taxaloom.llm.common import COMMON_WORDS, checkpoint, descriptions, ensure, table
 
 
 def p1_statistics(spark, sf_dir):
@@ -14,6 +14,12 @@ def p1_statistics(spark, sf_dir):
     return d.select("rec_id", "locale", *quality.FEATURES, "verdict")
 
 
+def p1_named(spark, sf_dir):
+    """The five named statistics of every entry of `descriptions`."""
+    d = quality.with_statistics(descriptions(table(ensure(spark), sf_dir, "species_records")))
+    return d.where("text is not null").select("rec_id", "locale", "word_count", "mean_word_length", "symbol_ratio", "punct_line_share", "common_word_share")
+
+
 def p1_found(spark, sf_dir):
     """Entries whose verdict is list, table or junk."""
     d = quality.assess(descriptions(table(ensure(spark), sf_dir, "species_records")))
@@ -81,6 +87,12 @@ def p7_leaks(spark, sf_dir):
     return leakage.find_leaks(table(ensure(spark), sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p7_runs(spark, sf_dir):
+    """Items and documents with an unbroken run of LEAST_WORDS words or more, and its words."""
+    d = p7_leaks(spark, sf_dir)
+    return d.where(F.col("unbroken") >= leakage.LEAST_WORDS).select("item_id", "doc_id", F.col("unbroken").alias("words"))
+
+
 def p7_found(spark, sf_dir):
     """(item, document) of every leaked passage."""
     return p7_leaks(spark, sf_dir).select("item_id", "doc_id").distinct()
@@ -162,21 +174,55 @@ QUERIES = {
     "p9_profile": p9_profile,
     "p7_found": p7_found,
     "p7_leaks": p7_leaks,
+    "p7_runs": p7_runs,
     "p7_cleaned": p7_cleaned,
     "p5_found": p5_found,
     "p5_sources": p5_sources,
     "p6_found": p6_found,
     "p6_languages": p6_languages,
     "p6_segments": p6_segments,
-    "p4_found": p4_found, "p4_classes": p4_classes, "p4_forms": p4_forms, "p1_found": p1_found, "p1_statistics": p1_statistics,
+    "p4_found": p4_found, "p4_classes": p4_classes, "p4_forms": p4_forms, "p1_found": p1_found, "p1_named": p1_named, "p1_statistics": p1_statistics,
 }
 
 _NAMES = """(select name_id as key, scientific_name, locale, common_name as name from name_rows
     union all select rec_id, scientific_name, 'en', common_name from species_records)"""
 _FORMS = f"(select *, {canonical.form_sql('name')} as form from {_NAMES})"
 
+_D = "(select rec_id, e.key as locale, e.value as t from (select rec_id, unnest(map_entries(descriptions)) as e from species_records) where e.value is not null)"
+_COMMON = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted({w for ws in COMMON_WORDS.values() for w in ws}))
+_CJK = r"len(regexp_extract_all(t, '[\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{ac00}-\x{d7af}]'))"
+_ANY_SPACE = r"[\s\x0b\x{85}\p{Z}]"
+
+#: Words as `leakage.tokens` gives them, by other means: the common form of problem 4 without accents.
+_WORDS_SQL = rf"""regexp_extract_all(regexp_replace(replace(strip_accents(lower({canonical.form_sql("x")})), 'ß', 'ss'), '[''’]', '', 'g'), '[\p{{L}}\p{{N}}]+')"""
+
+
+def _words_of(rows: str, key: str) -> str:
+    """(key, i, w): the words of texts in order, split words joined."""
+    joined = r"regexp_replace(regexp_replace(text, '(\p{L})[-‐‑]\s*\n\s*(\p{L})', '\1\2', 'g'), '(\p{L})[-‐‑] ([a-zà-ÿ])', '\1\2', 'g')"
+    return f"(select {key}, unnest(ws) as w, generate_subscripts(ws, 1) as i from (select {key}, {_WORDS_SQL} as ws from (select {key}, {joined} as x from {rows})))"
+
+
+def _grams(words: str, key: str) -> str:
+    w = "over (partition by {0} order by i rows between current row and 11 following)".format(key)
+    return f"(select {key}, i, string_agg(w, ' ') {w} as g, count(*) {w} as n from {words})"
+
+
 #: Twins where SQL can say the same; the other operators are tested against brute force or held-out cases.
 ORACLE: dict[str, str] = {
+    "p1_named": rf"""with s as (select *, len([w for w in regexp_split_to_array(t, '[\s\x0b\x{{85}}\x{{a0}}]+') if w <> '']) + floor({_CJK} / 2)::bigint as word_count, greatest(length(t), 1) as n, {_CJK} as cjk,
+          [l for l in string_split(t, chr(10)) if trim(l) <> ''] as lines, [w for w in regexp_split_to_array(lower(t), '[^\p{{L}}]+') if w <> ''] as tokens from {_D})
+        select rec_id, locale, word_count, round((length(t) - len(regexp_extract_all(t, '{_ANY_SPACE}'))) / greatest(word_count, 1), 4) as mean_word_length,
+          round(len(regexp_extract_all(t, '[^\p{{L}}\p{{M}}\p{{N}}\s\x0b.,!?:…。、！？()\[\]"“”„«»‘’\x{{27}}\x{{2013}}\x{{2014}}-]')) / n, 4) as symbol_ratio,
+          round(coalesce(len([l for l in lines if regexp_matches(rtrim(l), '[.!?…。！？]["”»’)\]\d\[]*$')]) / nullif(len(lines), 0), 0), 4) as punct_line_share,
+          round((len([w for w in tokens if w in ({_COMMON})]) + len(regexp_extract_all(t, '[\x{{3040}}-\x{{309f}}]')) / 4) / greatest(len(tokens) + cjk / 2, 1), 4) as common_word_share from s""",
+    # Runs of equal words by twelve-word pieces on one diagonal, without an automaton; instruction lines are those that end in a question or answer to give.
+    "p7_runs": f"""with it as (select item_id, case when regexp_matches(text, '^(Read the passage and answer the question below|Answer from the text only|Lies den Text und beantworte die Frage)[.]') then regexp_replace(text, '^[^.]*[.]\\s+', '') else text end as text from eval_items where text is not null),
+        a as {_grams(_words_of("it", "item_id"), "item_id")}, b as {_grams(_words_of("documents", "doc_id"), "doc_id")},
+        m as (select distinct item_id, doc_id, a.i as ia, b.i as ib from a join b on a.g = b.g where a.n = 12 and b.n = 12),
+        r as (select *, ib - row_number() over (partition by item_id, doc_id, ib - ia order by ib) as island from m),
+        l as (select item_id, doc_id, ib - ia as diagonal, island, count(*) + 11 as words from r group by all)
+        select item_id, doc_id, max(words) as words from l group by all""",
     "p4_found": f"""select distinct a.key as key_a, b.key as key_b from {_FORMS} a join {_FORMS} b on a.scientific_name = b.scientific_name and a.locale = b.locale and a.form = b.form
         where a.key < b.key and a.name <> b.name and a.form <> ''""",
     "p4_classes": f"""select class_id, key, name as spelling from (select *, min(key) over w as class_id, min(name) over w as lo, max(name) over w as hi from {_FORMS} where form <> '' and scientific_name is not null and locale is not null
