@@ -60,13 +60,16 @@ def ensure(spark: SparkSession) -> SparkSession:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder of the session.
 
-    The folder is spark.checkpoint.dir as the cluster names it. Only where a session names none
-    (a local test) a temporary folder of this machine is set.
+    The folder is spark.checkpoint.dir as the cluster names it. Only a local session that names none
+    (a test) gets a temporary folder of this machine; on a cluster, where such a folder would differ by
+    machine, a missing one raises.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "taxaloom-checkpoint"))
     return df.checkpoint(eager=True)
 

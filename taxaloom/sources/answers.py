@@ -98,3 +98,63 @@ def sound_classes(df: DataFrame) -> DataFrame:
         maps.fill(local, F.create_map(F.lit("en"), own)).alias("common_names"), maps.ordered_distinct_ci("common_name_aliases", T.is_clean_common_name).alias("common_name_aliases"),
         maps.ordered_distinct_ci("scientific_name_aliases", T.is_clean_common_name).alias("scientific_name_aliases"), F.coalesce("image_url", F.lit("")).alias("image_url"), F.coalesce("wikidata_qid", F.lit("")).alias("wikidata_qid"),
     )
+
+
+def bindings(answer, names: list[str]) -> Column:
+    """Rows of a query service's answer: an array of structs of the named variables' values, and `lang` of the label."""
+    value = "struct<value:string,`xml:lang`:string>"
+    fields = ",".join(f"`{n}`:{value}" for n in names)
+    rows = F.from_json(T.col(answer), f"struct<results:struct<bindings:array<struct<{fields}>>>>")["results"]["bindings"]
+    lang = (lambda r: r["label"]["xml:lang"]) if "label" in names else (lambda r: F.lit(None).cast("string"))
+    return F.transform(F.coalesce(rows, F.array().cast(f"array<struct<{fields}>>")), lambda r: F.struct(*[r[n]["value"].alias(n) for n in names], lang(r).alias("lang")))
+
+
+def page_tables(df: DataFrame, answer: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(normalized, redirects, pages) of answers about titles, as `resolve.follow_titles` takes them.
+
+    pages has title, page_id, extract and the addresses of other languages by locale; continued answers of a page are merged,
+    the first extract counting. Pages that are missing are left out.
+    """
+    step = "array<struct<`from`:string,`to`:string>>"
+    page = "struct<pageid:bigint,title:string,missing:string,extract:string,langlinks:array<struct<lang:string,url:string>>>"
+    q = df.withColumn("_i", F.monotonically_increasing_id()).select("_i", F.from_json(answer, f"struct<query:struct<normalized:{step},redirects:{step},pages:map<string,{page}>>>")["query"].alias("q"))
+    steps = [q.select(F.inline(F.col(f"q.{k}"))).where("`from` is not null").groupBy("from").agg(F.min("to").alias("to")) for k in ("normalized", "redirects")]
+    p = q.select("_i", F.explode("q.pages").alias("k", "p")).select("_i", "p.*").where("title is not null and missing is null")
+    links = p.select("title", F.explode("langlinks").alias("l")).groupBy("title", "l.lang").agg(F.min("l.url").alias("url"))
+    links = links.groupBy("title").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("lang", "url")))).alias("urls"))
+    pages = p.groupBy("title").agg(F.min("pageid").alias("page_id"), F.min_by("extract", F.when(F.col("extract") != "", F.col("_i"))).alias("extract"))
+    return steps[0], steps[1], pages.join(links, "title", "left")
+
+
+def file_licences(df: DataFrame, answer: str) -> DataFrame:
+    """(file, url, attribution, license, license_url) of the media files that an answer gives a free licence."""
+    meta = "struct<LicenseShortName:struct<value:string>,LicenseUrl:struct<value:string>,Artist:struct<value:string>>"
+    pages = F.from_json(answer, f"struct<query:struct<pages:map<string,struct<title:string,imageinfo:array<struct<extmetadata:{meta}>>>>>>")["query"]["pages"]
+    d = df.select(F.explode(pages).alias("k", "p")).where("p.title like 'File:%' and size(p.imageinfo) > 0").select(F.substring("p.title", 6, 100_000).alias("file"), F.col("p.imageinfo")[0]["extmetadata"].alias("m"))
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    d = d.select("file", blank("m.LicenseShortName.value").alias("license"), blank("m.LicenseUrl.value").alias("license_url"), T.strip(T.strip_tags(blank("m.Artist.value"))).alias("attribution")).where(T.is_free_licence("license"))
+    one = d.groupBy(F.replace("file", F.lit(" "), F.lit("_")).alias("file")).agg(F.min(F.struct("attribution", "license", "license_url")).alias("v"))
+    return one.select("file", T.commons_url("file").alias("url"), "v.*")
+
+
+def taxonomy_names(csv_text) -> Column:
+    """(code, name) entries of a taxonomy list as the service delivers it: CSV text with SPECIES_CODE and COMMON_NAME."""
+    lines = F.filter(F.split(T.col(csv_text), r"\r?\n"), lambda x: x != "")
+    cells = lambda line: F.transform(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.regexp_replace(F.regexp_replace(c, r'^"|"$', ""), '""', '"'))
+    head = cells(F.get(lines, F.lit(0)))
+    at = lambda row, name: F.get(row, F.array_position(head, name).cast("int") - 1)
+    rows = F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines), F.lit(1))), cells)
+    return F.filter(F.transform(rows, lambda r: F.struct(at(r, "SPECIES_CODE").alias("code"), at(r, "COMMON_NAME").alias("name"))), lambda e: F.coalesce(e["code"], F.lit("")) != "")
+
+
+def first_title(answer) -> Column:
+    """The best title of a page search, null for none."""
+    return F.get(F.from_json(T.col(answer), "struct<query:struct<search:array<struct<title:string>>>>")["query"]["search"], F.lit(0))["title"]
+
+
+def item_labels(df: DataFrame, answer: str) -> tuple[DataFrame, DataFrame]:
+    """((qid, locale, label), (qid, image)) of items: the first label of a locale and the first image's file name."""
+    r = df.select(F.inline(bindings(answer, ["item", "label", "image"]))).withColumn("qid", F.substring_index("item", "/", -1))
+    labels = r.where("label <> '' and lang <> ''").groupBy("qid", T.normalize_locale("lang").alias("locale")).agg(F.min("label").alias("label"))
+    images = r.where("image <> ''").groupBy("qid").agg(F.min(F.try_url_decode(F.substring_index("image", "/", -1))).alias("image"))
+    return labels, images

@@ -54,3 +54,57 @@ def test_sound_classes(spark):
     d = spark.createDataFrame([(0, "Rain", None, "Env", None, None, {"nb": "regn", "de": "R/x"}, ["Drops", "drops"], None, None), (1, "Bad (x)", "y", None, None, None, None, None, None, None)], f"ord int, scientific_name string, {SCHEMAS['sound_classes']}")
     r = A.sound_classes(d).collect()
     assert len(r) == 1 and r[0].common_names == {"no": "regn", "en": "Rain"} and r[0].common_name == "Rain" and r[0].common_name_aliases == ["Drops"]
+
+
+def test_requests(spark):
+    from taxaloom.sources import requests as R
+
+    d = spark.createDataFrame([(f"T {i:03d}",) for i in range(120)] + [(None,), ("",), ("T 001",)], "t string")
+    r = R.title_requests(d, "t").orderBy("chunk").collect()
+    assert [len(x.request.split("|")) for x in r] == [50, 50, 20] and r[0].request.startswith("T 000|T 001|")
+    assert R.file_requests(d, "t").orderBy("chunk").first().request.startswith("File:T_000|File:T_001")
+    q = R.name_requests(spark.createDataFrame([('Aa "b"',), ("Cc dd",)], "t string"), "t", {"code": "P3444"}).first().request
+    assert q == 'SELECT ?item ?name ?code WHERE { VALUES ?name { "Aa \\"b\\"" "Cc dd" } ?item wdt:P225 ?name . OPTIONAL { ?item wdt:P3444 ?code . } }'
+    assert R.title_requests(d.where("false"), "t").count() == 0
+
+
+def test_batch_answers(spark):
+    def table(*docs):
+        return spark.createDataFrame([(x if isinstance(x, str) or x is None else json.dumps(x),) for x in docs], "a string")
+
+    b = {"results": {"bindings": [{"item": {"value": "http://e/Q1"}, "label": {"value": "Regen", "xml:lang": "de"}, "image": {"value": "http://f/My%20Rain.jpg"}}, {"item": {"value": "http://e/Q1"}, "label": {"value": "regn", "xml:lang": "nb"}}]}}
+    labels, images = A.item_labels(table(b, "{broken", None), "a")
+    assert {tuple(r) for r in labels.collect()} == {("Q1", "de", "Regen"), ("Q1", "no", "regn")} and [tuple(r) for r in images.collect()] == [("Q1", "My Rain.jpg")]
+    one = {"query": {"normalized": [{"from": "a_b", "to": "a b"}], "redirects": [{"from": "a b", "to": "C"}], "pages": {"7": {"pageid": 7, "title": "C", "langlinks": [{"lang": "de", "url": "u"}]}, "-1": {"title": "x", "missing": ""}}}}
+    more = {"query": {"pages": {"7": {"pageid": 7, "title": "C", "extract": "text", "langlinks": [{"lang": "fr", "url": "v"}]}}}}
+    n, r, p = A.page_tables(table(one, more, "?"), "a")
+    assert [tuple(x) for x in n.collect()] == [("a_b", "a b")] and [tuple(x) for x in r.collect()] == [("a b", "C")]
+    got = p.collect()
+    assert len(got) == 1 and (got[0].title, got[0].page_id, got[0].extract, got[0].urls) == ("C", 7, "text", {"de": "u", "fr": "v"})
+    lic = lambda name, short, artist: {"title": f"File:{name}", "imageinfo": [{"extmetadata": {"LicenseShortName": {"value": short}, "Artist": {"value": artist}}}]}
+    f = A.file_licences(table({"query": {"pages": {"1": lic("A b.jpg", "CC BY 4.0", "<a>Ann</a> "), "2": lic("c.jpg", "Fair use", "x"), "3": {"title": "File:d.jpg"}}}}), "a")
+    assert [(x.file, x.attribution, x.license) for x in f.collect()] == [("A_b.jpg", "Ann", "CC BY 4.0")] and f.first().url.endswith("/A_b.jpg")
+    csv = 'SCIENTIFIC_NAME,COMMON_NAME,SPECIES_CODE\r\nParus major,"Tit, Great ""x""",gretit\r\nNo code,Name,\r\n'
+    assert [tuple(x) for x in one_of(spark, A.taxonomy_names("v0"), csv)] == [("gretit", 'Tit, Great "x"')] and one_of(spark, A.taxonomy_names("v0"), "") == []
+    assert one_of(spark, A.first_title("v0"), '{"query": {"search": [{"title": "Owl"}]}}') == "Owl" and one_of(spark, A.first_title("v0"), '{"query": {"search": []}}') is None
+
+
+one_of = one
+
+
+def test_tasks(spark):
+    from taxaloom.functions import tasks
+
+    rows = [{"name": "A", "locales": ["de", "fr"], "texts": {"en": "x"}}]
+    assert json.loads(tasks.request("translate", rows).splitlines()[-1]) == {"name": "A", "languages": ["de", "fr"], "texts": {"en": "x"}}
+    assert tasks.read('```\n{"A": {"de": " ja ", "pl": "no", "fr": ""}, "B": {"de": "x"},}\n```', rows) == [("A", "de", "ja")] and tasks.read(None, rows) == [] and tasks.read('{"A": "x"}', rows) == []
+
+    def send(text):
+        asked = [json.loads(x) for x in text.splitlines()[2:]]
+        if any(r["name"] == "bad" for r in asked):
+            raise OSError
+        return json.dumps({r["name"]: {x: r["texts"]["en"].upper() for x in r["languages"]} for r in asked})
+
+    d = spark.createDataFrame([("A", ["de"], {"en": "a"}, 0), ("B", ["de", "fr"], {"en": "b"}, 0), ("bad", ["de"], {"en": "c"}, 1), ("D", ["de"], {"en": "d"}, None)], "scientific_name string, locales array<string>, texts map<string,string>, batch int")
+    assert {tuple(r) for r in tasks.run(d, "translate", send).collect()} == {("A", "de", "A"), ("B", "de", "B"), ("B", "fr", "B")}
+    assert tasks.run(d.where("false"), "shorten", send).count() == 0
