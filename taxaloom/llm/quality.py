@@ -2,7 +2,7 @@
 
 The statistics are Spark expressions. The verdict is an ordered rule list that was induced once
 by incremental reduced-error pruning on labelled documents (`induce`, run by `train_quality.py`)
-and stored in models/quality_rules.json; `verdict_sql` exports its thresholds to one SQL CASE,
+and stored in models/quality_rules.json; `prose_sql` and `kind_sql` export the thresholds to SQL CASE expressions,
 so that applying it is a projection inside code generation: no Python and no shuffle.
 
 Defined results: a null text has null statistics and a null verdict; an empty or blank text has
@@ -57,18 +57,26 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
           or {_count('p', r'[\\x{3040}-\\x{309f}]')} >= 0.25 * length(p))"""
     # Full-width terminators become plain ones first: a class of Latin characters alone is matched much faster.
     pieces = rf"regexp_extract_all(translate(regexp_replace(_low, '\\n(?=\\p{{L}})', ' '), '。！？', '.!?'), '[^\\n.!?]++[.!?]?+', 0)"
+    item = r"^\\s*(?:[-*•·–—]|\\(?\\d{1,3}[.)])\\s"
+
+    def bound(value: str, name: str, fields: dict[str, str]) -> str:
+        """A struct of what an array gives; the array is bound once and never leaves the expression."""
+        return f"element_at(transform(array({value}), {name} -> struct({', '.join(f'{e} as {k}' for k, e in fields.items())})), 1)"
+
     parts = {
-        "_words": rf"filter(split({t}, '{_SPACES}'), w -> w <> '')",
-        "_tokens": rf"filter(split(_low, '[^\\p{{L}}]+'), w -> w <> '')",
-        "_lines": rf"filter(split({t}, '\\n'), l -> trim(l) <> '')",
-        "_sentences": f"filter({pieces}, {piece_ok})",
+        "_words": bound(rf"filter(split({t}, '{_SPACES}'), w -> w <> '')", "ws", {"n": "size(ws)", "unlike": "size(array_distinct(ws))"}),
+        "_tokens": bound(rf"filter(split(_low, '[^\\p{{L}}]+'), w -> w <> '')", "ws", {"n": "size(ws)", "common": f"size(filter(ws, w -> w in ({common})))", "vowelless": "size(filter(ws, w -> w rlike '^[b-df-hj-np-tv-xz]{3,}$'))"}),
+        "_lines": bound(rf"filter(split({t}, '\\n'), l -> trim(l) <> '')", "ls", {"n": "size(ls)", "punct": f"size(filter(ls, l -> rtrim(l) rlike '{end}'))", "item": f"size(filter(ls, l -> l rlike '{item}' and not (rtrim(l) rlike '{end}')))"}),
+        "_sentences": bound(f"filter({pieces}, {piece_ok})", "ps", {"n": "size(ps)", "joined": "array_join(ps, '\\n')"}),
         "_cjk": _count(t, r"[\\x{3040}-\\x{30ff}\\x{3400}-\\x{9fff}\\x{ac00}-\\x{d7af}]"),
     }
     # The parts pass through a generator, so that no statistic that uses one computes it again.
     d = df.withColumn("_low", F.explode(F.array(F.lower(text)))).withColumn("_b", F.explode(F.array(F.struct(*[F.expr(e).alias(k) for k, e in parts.items()]))))
     d = d.withColumns({"_t": F.col(text), **{k: F.col(f"_b.{k}") for k in parts}})
-    d = d.withColumns({"_n": F.expr("greatest(length(_t), 1)"), "word_count": F.expr("cast(size(_words) + floor(_cjk / 2) as bigint)")})
+    d = d.withColumns({"_n": F.expr("greatest(length(_t), 1)"), "word_count": F.expr("cast(_words.n + floor(_cjk / 2) as bigint)")})
     words = "greatest(word_count, 1)"
+    by_line = lambda n: F.expr(f"round(coalesce({n} / nullif(_lines.n, 0), 0), 4)")
+    separators = r"[,;/|»>·•\\t、]|(?<!=)=(?!=)"
     d = d.withColumns(
         {
             "mean_word_length": F.expr(f"round((length(_t) - {_count('_t', r'(?U)\\s')}) / {words}, 4)"),
@@ -76,31 +84,26 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
                 f"round({_count('_t', r'[^\\p{L}\\p{M}\\p{N}\\s.,!?:…。、！？()\\[\\]\"“”„«»‘’\\x27\\x{2013}\\x{2014}-]')} / _n, 4)"
             ),
             "digit_ratio": F.expr(f"round({_count('_t', r'\\p{Nd}')} / _n, 4)"),
-            "punct_line_share": F.expr(
-                f"round(coalesce(size(filter(_lines, l -> rtrim(l) rlike '{end}')) / nullif(size(_lines), 0), 0), 4)"
-            ),
+            "punct_line_share": by_line("_lines.punct"),
             "common_word_share": F.expr(
-                f"""round((size(filter(_tokens, w -> w in ({common}))) + {_count('_t', r'[\\x{3040}-\\x{309f}]')} / 4) /
-                    greatest(size(_tokens) + _cjk / 2, 1), 4)"""
+                f"round((_tokens.common + {_count('_t', r'[\\x{3040}-\\x{309f}]')} / 4) / greatest(_tokens.n + _cjk / 2, 1), 4)"
             ),
-            "sentence_share": F.expr("round(aggregate(_sentences, 0, (a, p) -> a + length(p)) / _n, 4)"),
-            "vowelless_share": F.expr("round(size(filter(_tokens, w -> w rlike '^[b-df-hj-np-tv-xz]{3,}$')) / greatest(size(_tokens), 1), 4)"),
-            "line_count": F.expr("cast(size(_lines) as bigint)"),
-            "item_line_share": F.expr(
-                rf"round(coalesce(size(filter(_lines, l -> l rlike '^\\s*(?:[-*•·–—]|\\(?\\d{{1,3}}[.)])\\s' and not (rtrim(l) rlike '{end}'))) / nullif(size(_lines), 0), 0), 4)"
+            "sentence_share": F.expr("round((length(_sentences.joined) - greatest(_sentences.n - 1, 0)) / _n, 4)"),
+            "vowelless_share": F.expr("round(_tokens.vowelless / greatest(_tokens.n, 1), 4)"),
+            "line_count": F.expr("cast(_lines.n as bigint)"),
+            "item_line_share": by_line("_lines.item"),
+            "label_line_share": by_line(
+                rf"size(filter(split(_t, '\\n'), l -> trim(l) <> '' and l rlike '^\\S{{2,14}}\\s*(?:[:=|;\\t]|[.]{{3,}}|\\s\\s)\\s*\\S' and not (rtrim(l) rlike '{end}')))"
             ),
-            "label_line_share": F.expr(
-                rf"round(coalesce(size(filter(_lines, l -> l rlike '^\\S{{2,14}}\\s*(?:[:=|;\\t]|[.]{{3,}}|\\s\\s)\\s*\\S' and not (rtrim(l) rlike '{end}'))) / nullif(size(_lines), 0), 0), 4)"
-            ),
-            "distinct_share": F.expr("round(size(array_distinct(_words)) / greatest(size(_words), 1), 4)"),
-            "longest_word": F.expr(r"cast(coalesce(array_max(transform(_words, w -> length(regexp_replace(w, '[^\\x{00}-\\x{2fff}]', '')))), 0) as bigint)"),
+            "distinct_share": F.expr("round(_words.unlike / greatest(_words.n, 1), 4)"),
+            "longest_word": F.expr(rf"cast(coalesce(array_max(transform(split(_t, '{_SPACES}'), w -> length(regexp_replace(w, '[^\\x{{00}}-\\x{{2fff}}]', '')))), 0) as bigint)"),
             "markup_share": F.expr("round(1 - length(regexp_replace(_t, '<[^<>]*>', '')) / _n, 4)"),
         }
     )
     d = d.withColumns(
         {
             "separator_rate": F.expr(
-                f"""round(({_count('_t', r'[,;/|»>·•\\t、]|(?<!=)=(?!=)')} - aggregate(_sentences, 0, (a, p) -> a + {_count('p', r'[,;/|»>·•\\t、]|(?<!=)=(?!=)')})
+                f"""round(({_count('_t', separators)} - {_count('_sentences.joined', separators)}
                     + (1 - sentence_share) * ({_count('_t', r'\\n')} + {_count('_t', r' {2,}')})) / {words}, 4)"""
             ),
             "glued_rate": F.expr(f"round({_count('_t', r'\\p{L}[;:,!?]+\\p{L}')} / {words}, 4)"),
@@ -158,6 +161,14 @@ def _prune(x: np.ndarray, y: np.ndarray, rule: list) -> tuple[list, float]:
     return rule[:best], worth(rule[:best]) if rule else -1.0
 
 
+def tidy(rule: list) -> list:
+    """The same rule with one test for each feature and direction, the narrowest."""
+    kept: dict[tuple, float] = {}
+    for f, op, v in rule:
+        kept[f, op] = v if (f, op) not in kept else (min if op == "<=" else max)(kept[f, op], v)
+    return [(f, op, v) for (f, op), v in kept.items()]
+
+
 def induce(x: np.ndarray, labels: np.ndarray, default: str, classes: list[str], seed: int = 0, most: int = 40) -> list[dict]:
     """An ordered rule list by incremental reduced-error pruning.
 
@@ -195,7 +206,7 @@ def induce(x: np.ndarray, labels: np.ndarray, default: str, classes: list[str],
                 continue
             failed = 0
             hit = left & _covers(x, rule)
-            out.append({"class": str(c), "tests": [[FEATURES[f], op, round(v, 5)] for f, op, v in rule], "covered": int(hit.sum()), "right": int((labels[hit] == c).sum())})
+            out.append({"class": str(c), "tests": [[FEATURES[f], op, round(v, 5)] for f, op, v in tidy(rule)], "covered": int(hit.sum()), "right": int((labels[hit] == c).sum())})
             left &= ~hit
     return [*out, {"class": default, "tests": []}]
 
@@ -212,33 +223,37 @@ def rules_sql(rules: list[dict]) -> str:
     return f"case {' '.join(when)} else '{default}' end"
 
 
-def verdict_sql() -> str:
-    """The stored rules: prose or not, and of what isn't, its kind."""
-    model = load_model("quality_rules.json")
-    return f"case when {rules_sql(model['rules'])} = 'prose' then 'prose' else {rules_sql(model['kinds'])} end"
+def prose_sql() -> str:
+    """Whether the stored rules call a text prose."""
+    return f"({rules_sql(load_model('quality_rules.json')['rules'])}) = 'prose'"
+
+
+def kind_sql() -> str:
+    """Of what isn't prose, its kind by the stored rules."""
+    return rules_sql(load_model("quality_rules.json")["kinds"])
 
 
 def assess(df: DataFrame, text: str = "text") -> DataFrame:
     """Statistics and verdict of each row's text."""
-    d = with_statistics(df, text)
-    blank = rf"trim(regexp_replace(`{text}`, '(?U)\\s+', '')) = ''"
-    return d.withColumn("verdict", F.expr(f"case when `{text}` is null then null when {blank} then 'prose' else {verdict_sql()} end"))
+    return _judged(df, text).withColumn("verdict", F.expr(f"case when _prose then 'prose' when not _prose then {kind_sql()} end")).drop("_prose")
 
 
-def _held(assessed: DataFrame) -> DataFrame:
-    """Pass the verdict through a generator.
+def _judged(df: DataFrame, text: str) -> DataFrame:
+    """Statistics and `_prose`, null for a null text.
 
-    A plain filter on it would be pushed below the projections and have every statistic evaluated
-    once for each test that names it.
+    It passes through a generator: a plain filter on it would be pushed below the projections and have every
+    statistic evaluated once for each test that names it.
     """
-    return assessed.withColumn("verdict", F.explode(F.array("verdict")))
+    blank = rf"trim(regexp_replace(`{text}`, '(?U)\\s+', '')) = ''"
+    prose = F.expr(f"case when `{text}` is null then null when {blank} then true else {prose_sql()} end")
+    return with_statistics(df, text).withColumn("_prose", F.explode(F.array(prose)))
 
 
-def flagged(assessed: DataFrame) -> DataFrame:
-    """The rows of `assess` that aren't prose."""
-    return _held(assessed).where("verdict <> 'prose'")
+def flagged(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text isn't prose; only the statistics that tell so are computed."""
+    return _judged(df, text).where("not _prose").select(*df.columns)
 
 
-def prose(assessed: DataFrame) -> DataFrame:
-    """The rows of `assess` that are prose."""
-    return _held(assessed).where("verdict = 'prose'")
+def prose(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text is prose."""
+    return _judged(df, text).where("_prose").select(*df.columns)

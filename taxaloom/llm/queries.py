@@ -22,8 +22,7 @@ def p1_named(spark, sf_dir):
 
 def p1_found(spark, sf_dir):
     """Entries whose verdict is list, table or junk."""
-    d = quality.assess(descriptions(table(ensure(spark), sf_dir, "species_records")))
-    return quality.flagged(d).select("rec_id", "locale").distinct()
+    return quality.flagged(descriptions(table(ensure(spark), sf_dir, "species_records"))).select("rec_id", "locale").distinct()
 
 
 def _names(spark, sf_dir):
@@ -67,7 +66,7 @@ def p6_segments(spark, sf_dir):
 
 
 def _only_prose(d):
-    return quality.prose(quality.assess(d)).drop(*quality.FEATURES, "verdict")
+    return quality.prose(d)
 
 
 def p5_found(spark, sf_dir):
