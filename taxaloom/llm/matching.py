@@ -92,8 +92,10 @@ def stem(c: Column) -> Column:
 def _close(a: Column, b: Column, most: int, share: float) -> Column:
     """1 for equal, a little less for each edit, 0 beyond `most` edits or `share` of the length."""
     d = F.levenshtein(a, b, most)
-    ok = (d >= 0) & (d <= share * F.greatest(F.length(a), F.length(b)))
-    return F.when(a.isNull() | b.isNull(), None).when(ok, 1 - 0.05 * d).otherwise(0.0)
+    longest = F.greatest(F.length(a), F.length(b))
+    # Edits are never fewer than the lengths differ by, so that most pairs need no comparison.
+    far = F.abs(F.length(a) - F.length(b)) > F.least(F.lit(float(most)), share * longest)
+    return F.when(a.isNull() | b.isNull(), None).when(far, 0.0).when((d >= 0) & (d <= share * longest), 1 - 0.05 * d).otherwise(0.0)
 
 
 def _parts(x: Column) -> Column:
