@@ -37,6 +37,8 @@ CROWD = 64
 LEAST = 0.65
 #: Edges up to which a component of competing listings and species is solved in one task.
 MOST_COMPONENT = 20_000
+#: English names of a species: its common name, the other one, and that of its map.
+ENGLISH = 3
 #: Weights of the fields in the confidence.
 WEIGHTS = {"sci": 3.0, "eng": 2.5, "loc": 2.0, "grp": 0.5}
 
@@ -208,9 +210,11 @@ def neighbours(species: DataFrame, listings: DataFrame, window: int = WINDOW, bu
 
 def compare(pairs: DataFrame, species: DataFrame, listings: DataFrame, least: float = LEAST) -> DataFrame:
     """The field similarities and the confidence of each pair; binomials only where a confidence of `least` is still possible."""
-    d = pairs.join(listings, "unit").join(species.withColumnRenamed("grp", "sgrp"), "sid")
-    eng = F.array_max(F.transform("english", lambda n: _close(F.col("e"), n, 4, 0.25)))
-    loc = F.array_max(F.transform(F.filter("local", lambda p: p["locale"] == F.col("ll")), lambda p: _close(F.col("l"), p["name"], 3, 0.2)))
+    # English names (three at most) and local names by locale are looked up, not searched, so that the cheap fields are compiled.
+    looked_up = species.withColumnsRenamed({"grp": "sgrp"}).withColumn("_local", F.map_from_entries("local")).drop("local")
+    d = pairs.join(listings, "unit").join(looked_up, "sid")
+    eng = F.greatest(*[_close(F.col("e"), F.get("english", F.lit(i)), 4, 0.25) for i in range(ENGLISH)])
+    loc = _close(F.col("l"), F.element_at("_local", F.col("ll")), 3, 0.2)
     grp = F.when(F.col("grp").isNull() | F.col("sgrp").isNull(), None).otherwise((F.col("grp") == F.col("sgrp")).cast("double"))
     # The cheap fields come first: where an English name differs and no local one agrees, binomials can't reach `least` by themselves.
     d = d.withColumn("_f", F.explode(F.array(F.struct(eng.alias("eng"), loc.alias("loc"), F.expr("array_contains(names, x)").alias("exact")))))
