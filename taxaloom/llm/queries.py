@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from taxaloom.llm import canonical, langid, leakage, matching, mixing, quality, reading, truncation
@@ -121,6 +123,13 @@ def p8_shares(spark, sf_dir):
     return mixing.shares(p8_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
 
 
+def p8_kept(spark, sf_dir):
+    """Whether each mix keeps its limits of repeats and its shares."""
+    targets = table(ensure(spark), sf_dir, "mix_targets")
+    mixed = checkpoint(p8_mix(spark, sf_dir))
+    return mixing.kept(mixed, mixing.shares(mixed, targets))
+
+
 def p8_marginals(spark, sf_dir):
     """Shares of languages and topics that each mix was to have and has."""
     prepared, targets = _prepared_mix(spark, sf_dir), table(spark, sf_dir, "mix_targets")
@@ -168,6 +177,7 @@ QUERIES = {
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
     "p8_marginals": p8_marginals,
+    "p8_kept": p8_kept,
     "p9_found": p9_found,
     "p9_levels": p9_levels,
     "p9_profile": p9_profile,
@@ -185,7 +195,33 @@ QUERIES = {
 
 _NAMES = """(select name_id as key, scientific_name, locale, common_name as name from name_rows
     union all select rec_id, scientific_name, 'en', common_name from species_records)"""
-_FORMS = f"(select *, {canonical.form_sql('name')} as form from {_NAMES})"
+
+
+def _characters() -> str:
+    """A map of single characters to what they stand for, straight from the rule of NFKC and the look-alikes."""
+    out = {}
+    for o in range(0xA0, 0x30000):
+        c = chr(o)
+        if 0xD800 <= o < 0xE000:
+            continue
+        kind = unicodedata.category(c)
+        if kind == "Cf" or o in (0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164) or 0x180B <= o <= 0x180F or 0xFE00 <= o <= 0xFE0F:
+            out[c] = ""
+        elif kind[0] == "Z":
+            out[c] = " "
+        else:
+            k = {"ﾞ": "゙", "ﾟ": "゚"}.get(c) or unicodedata.normalize("NFKC", c)
+            k = "".join(canonical.LOOKALIKES.get(x, x) for x in k)
+            if k != c:
+                out[c] = k
+    quoted = lambda v: "'" + v.replace("'", "''") + "'"
+    return f"map([{', '.join(map(quoted, out))}], [{', '.join(map(quoted, out.values()))}])"
+
+
+#: Forms by other means than the operator's: distinct names split into characters, each looked up, joined again.
+_FORM_OF = f"""m as (select {_characters()} as m), n as (select distinct name from (select common_name as name from name_rows union all select common_name from species_records union all select unnest(map_values(common_names)) from species_records) where name is not null),
+    f as (select name, nfc_normalize(trim(regexp_replace(array_to_string([coalesce(m.m[c], c) for c in string_split(nfc_normalize(name), '')], ''), '[\\s]+', ' ', 'g'))) as form from n, m)"""
+_FORMS = f"(select x.*, form from {_NAMES} x left join f using (name))"
 
 _D = "(select rec_id, e.key as locale, e.value as t from (select rec_id, unnest(map_entries(descriptions)) as e from species_records) where e.value is not null)"
 _COMMON = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted({w for ws in COMMON_WORDS.values() for w in ws}))
@@ -209,6 +245,8 @@ def _grams(words: str, key: str) -> str:
 
 #: Twins where SQL can say the same; the other operators are tested against brute force or held-out cases.
 ORACLE: dict[str, str] = {
+    # What must hold of every mix.
+    "p8_kept": "select distinct mix_name, true as repeats_kept, true as each_once, true as shares_met from mix_targets",
     "p1_named": rf"""with s as (select *, len([w for w in regexp_split_to_array(t, '[\s\x0b\x{{85}}\x{{a0}}]+') if w <> '']) + floor({_CJK} / 2)::bigint as word_count, greatest(length(t), 1) as n, {_CJK} as cjk,
           [l for l in string_split(t, chr(10)) if trim(l) <> ''] as lines, [w for w in regexp_split_to_array(lower(t), '[^\p{{L}}]+') if w <> ''] as tokens from {_D})
         select rec_id, locale, word_count, round((length(t) - len(regexp_extract_all(t, '{_ANY_SPACE}'))) / greatest(word_count, 1), 4) as mean_word_length,
@@ -222,9 +260,10 @@ ORACLE: dict[str, str] = {
         r as (select *, ib - row_number() over (partition by item_id, doc_id, ib - ia order by ib) as island from m),
         l as (select item_id, doc_id, ib - ia as diagonal, island, count(*) + 11 as words from r group by all)
         select item_id, doc_id, max(words) as words from l group by all""",
-    "p4_found": f"""select distinct a.key as key_a, b.key as key_b from {_FORMS} a join {_FORMS} b on a.scientific_name = b.scientific_name and a.locale = b.locale and a.form = b.form
+    "p4_found": f"""with {_FORM_OF} select distinct a.key as key_a, b.key as key_b from {_FORMS} a join {_FORMS} b on a.scientific_name = b.scientific_name and a.locale = b.locale and a.form = b.form
         where a.key < b.key and a.name <> b.name and a.form <> ''""",
-    "p4_classes": f"""select class_id, key, name as spelling from (select *, min(key) over w as class_id, min(name) over w as lo, max(name) over w as hi from {_FORMS} where form <> '' and scientific_name is not null and locale is not null
+    "p4_classes": f"""with {_FORM_OF} select class_id, key, name as spelling from (select *, min(key) over w as class_id, min(name) over w as lo, max(name) over w as hi from {_FORMS} where form <> '' and scientific_name is not null and locale is not null
         window w as (partition by scientific_name, locale, form)) where lo <> hi""",
-    "p4_forms": f"""select * from {_FORMS} union all select rec_id, scientific_name, e.key, e.value, {canonical.form_sql('e.value')} from (select rec_id, scientific_name, unnest(map_entries(common_names)) as e from species_records)""",
+    "p4_forms": f"""with {_FORM_OF} select key, scientific_name, locale, name, form from {_FORMS} union all select rec_id, scientific_name, e.key, e.value, form
+        from (select rec_id, scientific_name, unnest(map_entries(common_names)) as e from species_records) left join f on f.name = e.value""",
 }
