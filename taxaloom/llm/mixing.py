@@ -2,15 +2,17 @@
 
 Tokens are counted with a public tokenizer (its file is a parameter). Documents fall into cells of
 source, language and topic; the topic is an input column (in the queries, the group of the text's species).
-The cell totals are pre-aggregated, and since their number is bounded
-(targets x languages x topics, where the rarest languages and topics are taken together beyond MOST_CELLS)
-the fitting runs on the driver. Each mix's cells are raked in turn to the source marginal (the targets), the
+The cell totals are pre-aggregated, and the fitting runs on the driver over all of them, as arrays of codes and
+numbers and in blocks; no cell is left out or taken together with others, however many there are (unless MOST_CELLS is
+set). Each mix's cells are raked in turn to the source marginal (the targets), the
 language marginal and the topic marginal (the corpus's own, or given ones), with no cell above its source's
 permitted repeats, until nothing changes; the source marginal comes last and is met exactly. A mix has the
 size asked for, or is as large as its scarcest source permits, times FILL; of a size asked for, a source
 gives its share or all it has. A cell's expected uses of a document are then realised by systematic
-sampling along sizes, in salted parts of a source, so that no group is held in one task. `shares` reports what
-each source reached, `marginals` what the rakes reached on every axis.
+sampling along sizes, which runs on from cell to cell of a source: a document's place within its cell, counted
+through range partitions, and the sum of the cells before it tell how often it is used, so that no group is held in
+one task and one rule holds for any number of documents and partitions. `shares` reports what each source reached,
+`marginals` what the rakes reached on every axis.
 
 Defined results: spellings of a source that differ in case, blanks or punctuation are one source;
 null languages and topics are 'und'; null and empty texts have no tokens and aren't used; a target source
@@ -26,19 +28,26 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxaloom.llm.common import spread
+from taxaloom.operators.ordering import rank_in_groups
 
 TOKENIZER = os.path.join("/opt/tokenizers", "byte_bpe_50k.tiktoken")
 #: Fixed value: the published pattern by which this vocabulary's texts are cut before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Share of the largest possible mix that is used, which leaves the rakes room to move.
 FILL = 0.9
-MOST_CELLS = 200_000
-#: Documents of a source that one task orders at most, on average.
-PART = 20_000
+#: Only if set: the rarest languages and topics are taken together so that so many cells remain, and more targets raise.
+MOST_CELLS: int | None = None
+#: Planned cells that are broadcast; more are joined. The results are the same.
+BROADCAST_CELLS = 200_000
+#: Cells that the rakes work on at a time, for the sake of the driver's memory.
+BLOCK = 1 << 20
+AXES = ("skey", "lang", "topic")
+PLAN = pa.schema([("cell", pa.int64()), ("mix_name", pa.string()), *((axis, pa.string()) for axis in AXES), ("uses", pa.float64()), ("before", pa.float64())])
 
 @cache
 def _tokenizer(path: str):
@@ -75,23 +84,30 @@ def rake(tokens: np.ndarray, axes: list[np.ndarray], marginals: list[np.ndarray]
     Rounds end when none changes a use by more than the share `least`; marginals that contradict each other
     or the caps may leave a rest, which `marginals` reports.
     """
-    use = np.ones(len(tokens))
+    n = len(tokens)
+    blocks = [slice(i, i + BLOCK) for i in range(0, n, BLOCK)]
+    use = np.ones(n)
     for _ in range(most_rounds):
-        begun = use
+        begun = use.copy()
         for axis, want in [*zip(axes[1:], marginals[1:]), (axes[0], marginals[0])]:
-            for _ in range(len(tokens) if axis is axes[0] else 1):
-                now = np.bincount(axis, tokens * use, len(want))
-                held = np.bincount(axis, tokens * use * (use >= cap - 1e-9), len(want))
+            for _ in range(n if axis is axes[0] else 1):
+                now, held = np.zeros(len(want)), np.zeros(len(want))
+                for b in blocks:
+                    uses = tokens[b] * use[b]
+                    now += np.bincount(axis[b], uses, len(want))
+                    held += np.bincount(axis[b], uses * (use[b] >= cap[b] - 1e-9), len(want))
                 free = now - held
                 ratio = np.where(free > 1e-9, np.maximum(want - held, 0) / np.maximum(free, 1e-9), 1.0)
                 ratio = np.where(want < held, np.where(now > 0, want / np.maximum(now, 1e-9), 1), ratio)
-                moved = np.where((use < cap - 1e-9) | (want < held)[axis], use * ratio[axis], use)
-                new = np.minimum(moved, cap)
-                done = np.allclose(new, use, rtol=least, atol=0)
-                use = new
+                done = True
+                for b in blocks:
+                    moved = np.where((use[b] < cap[b] - 1e-9) | (want < held)[axis[b]], use[b] * ratio[axis[b]], use[b])
+                    new = np.minimum(moved, cap[b])
+                    done = done and np.allclose(new, use[b], rtol=least, atol=0)
+                    use[b] = new
                 if done:
                     break
-        if np.allclose(use, begun, rtol=least, atol=0):
+        if all(np.allclose(use[b], begun[b], rtol=least, atol=0) for b in blocks):
             break
     return use
 
@@ -106,31 +122,59 @@ def _folded(cells: DataFrame, most: int) -> DataFrame:
     return cells
 
 
-def plan(cells: pd.DataFrame, targets: pd.DataFrame, fill: float = FILL, size: float | None = None) -> pd.DataFrame:
-    """(mix_name, skey, lang, topic, uses, parts) of every cell of every mix; `size` is the wanted number of tokens of each."""
+def _coded(column: pd.Series) -> tuple[np.ndarray, pd.Index]:
+    """The codes of a column's values, and the values in order."""
+    column = column.astype("category").cat.remove_unused_categories()
+    names = column.cat.categories
+    order = names.argsort()
+    place = np.empty(len(names), "int32")
+    place[order] = np.arange(len(names), dtype="int32")
+    return place[column.cat.codes.to_numpy()], names[order]
+
+
+def _dense(code: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes that occur, numbered without gaps, and whether each of the n occurs."""
+    there = np.bincount(code, minlength=n) > 0
+    return (np.cumsum(there, dtype="int32") - np.int32(1))[code], there
+
+
+def plan(cells: pd.DataFrame, targets: pd.DataFrame, fill: float = FILL, size: float | None = None) -> pa.Table:
+    """(cell, mix_name, skey, lang, topic, uses, before) of every cell of every mix; `size` is the wanted number of tokens of each.
+
+    uses: the expected uses of each of the cell's documents; before: the broken part of those of all documents of the cells
+    of the source that come before it.
+    """
+    coded = {axis: _coded(cells[axis]) for axis in AXES}
+    order = np.lexsort([coded[axis][0] for axis in reversed(AXES)])
+    codes, names = {axis: x[0][order] for axis, x in coded.items()}, {axis: x[1] for axis, x in coded.items()}
+    tokens, docs = (cells[c].to_numpy(float)[order] for c in ("tokens", "docs"))
+    whole = {axis: np.bincount(codes[axis], tokens, len(names[axis])) / max(1, tokens.sum()) for axis in ("lang", "topic")}
     out = []
-    lang_share = cells.groupby("lang")["tokens"].sum() / max(1, cells["tokens"].sum())
-    topic_share = cells.groupby("topic")["tokens"].sum() / max(1, cells["tokens"].sum())
     for mix, t in targets.groupby("mix_name", sort=True):
-        t = t.groupby("skey", as_index=False).agg(share=("target_share", "sum"), cap=("max_repeats", "max"))
-        c = cells.merge(t, on="skey").sort_values(["skey", "lang", "topic"]).reset_index(drop=True)
-        c = c[(c["tokens"] > 0) & (c["share"] > 0) & (c["cap"] > 0)].reset_index(drop=True)
-        if c.empty:
+        t = t.groupby("skey").agg(share=("target_share", "sum"), cap=("max_repeats", "max")).reindex(names["skey"])
+        share, most = t["share"].to_numpy(float), t["cap"].to_numpy(float)
+        at = np.flatnonzero((tokens > 0) & ((share > 0) & (most > 0))[codes["skey"]])
+        if not len(at):
             continue
-        have = c.groupby("skey").agg(tokens=("tokens", "sum"), share=("share", "first"), cap=("cap", "first"))
-        have["share"] /= have["share"].sum()
-        total = size or fill * float((have["tokens"] * have["cap"] / have["share"]).min())
-        axes, wants = [], []
-        for name, share in (("skey", have["share"]), ("lang", lang_share), ("topic", topic_share)):
-            code, names = pd.factorize(c[name], sort=True)
-            s = share.reindex(names).fillna(0).to_numpy(float)
-            axes.append(code)
-            wants.append(np.minimum(total * s / s.sum(), (have["tokens"] * have["cap"]).reindex(names).to_numpy(float)) if name == "skey" else total * s / s.sum())
-        c["uses"] = rake(c["tokens"].to_numpy(float), axes, wants, c["cap"].to_numpy(float))
-        c["mix_name"] = mix
-        c["parts"] = np.maximum(1, np.ceil(c.groupby("skey")["docs"].transform("sum") / PART)).astype("int64")
-        out.append(c[["mix_name", "skey", "lang", "topic", "uses", "parts"]])
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["mix_name", "skey", "lang", "topic", "uses", "parts"])
+        c = {axis: code[at] for axis, code in codes.items()}
+        n, k = tokens[at], docs[at]
+        dense = {axis: _dense(c[axis], len(names[axis])) for axis in AXES}
+        source, there = dense["skey"]
+        share, most = share[there] / share[there].sum(), most[there]
+        have = np.bincount(source, n) * most
+        total = size or fill * float((have / share).min())
+        wants = [np.minimum(total * share / share.sum(), have)]
+        for axis in ("lang", "topic"):
+            s = whole[axis][dense[axis][1]]
+            wants.append(total * s / s.sum())
+        use = rake(n, [dense[axis][0] for axis in AXES], wants, most[source])
+        broken = k * (use - np.floor(use))
+        for i in np.split(np.arange(len(at)), np.flatnonzero(np.diff(source)) + 1):
+            broken[i] = np.concatenate([[0.0], np.cumsum(broken[i])[:-1]])
+        strings = [pa.DictionaryArray.from_arrays(c[axis], pa.array(names[axis], pa.string())).cast(pa.string()) for axis in AXES]
+        first = sum(x.num_rows for x in out)
+        out.append(pa.table([np.arange(first, first + len(at)), pa.repeat(str(mix), len(at)), *strings, use, broken - np.floor(broken)], schema=PLAN))
+    return pa.concat_tables(out) if out else PLAN.empty_table()
 
 
 def cells_of(counted: DataFrame, tokens: str = "tokens", topic: str | None = None, materialise=None) -> DataFrame:
@@ -151,29 +195,24 @@ def mix(prepared: DataFrame, targets: DataFrame, fill: float = FILL, seed: int =
     """(mix_name, doc_id, skey, lang, topic, tokens, repeats) of every document used."""
     spark = prepared.sparkSession
     wanted = targets.withColumn("skey", source_key("source"))
-    small = wanted.limit(MOST_CELLS + 1).toPandas()
-    if len(small) > MOST_CELLS:
+    small = wanted.toPandas()
+    if MOST_CELLS and len(small) > MOST_CELLS:
         raise ValueError(f"more than {MOST_CELLS} targets")
     keys = F.broadcast(wanted.select("skey").distinct())
 
     def totals(d: DataFrame) -> DataFrame:
-        return d.join(keys, "skey", "left_semi").groupBy("skey", "lang", "topic").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
+        return d.join(keys, "skey", "left_semi").groupBy(*AXES).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
 
-    cells = totals(prepared).limit(MOST_CELLS + 1).toPandas()
-    if len(cells) > MOST_CELLS:
+    if MOST_CELLS and totals(prepared).count() > MOST_CELLS:
         prepared = _folded(prepared, MOST_CELLS)
-        cells = totals(prepared).toPandas()
-    p = plan(cells, small, fill, size)
-    schema = "mix_name string, skey string, lang string, topic string, uses double, parts bigint"
-    cell = F.broadcast(spark.createDataFrame(p.astype({"uses": float}).to_dict("records") if len(p) else [], schema))
-    d = prepared.join(cell, ["skey", "lang", "topic"])
-    u = F.xxhash64(F.lit(seed), "mix_name", "doc_id")
-    d = d.withColumn("_u", u).withColumn("_part", F.pmod("_u", "parts"))
-    # Running on from cell to cell of a source, so that its uses and those of each cell are met within one document a part.
-    w = "partition by mix_name, skey, _part order by lang, topic, tokens, _u, doc_id rows between unbounded preceding and current row"
+    p = plan(totals(prepared).toArrow().to_pandas(categories=list(AXES)), small, fill, size)
+    cell = spark.createDataFrame(p)
+    d = prepared.join(F.broadcast(cell) if p.num_rows <= BROADCAST_CELLS else cell, list(AXES))
+    d = d.withColumn("_u", F.xxhash64(F.lit(seed), "mix_name", "doc_id"))
+    # Running on from cell to cell of a source, so that its uses and those of each cell are met within one document.
+    d = rank_in_groups(d, ["cell"], [F.col("tokens"), F.col("_u"), F.col("doc_id")], "place")
     frac = "(uses - floor(uses))"
-    d = d.withColumn("_sum", F.expr(f"sum({frac}) over ({w}) + 0.5"))
-    d = d.withColumn("repeats", F.expr(f"cast(floor(uses) + (floor(_sum + 1e-9) - floor(_sum - {frac} + 1e-9)) as bigint)"))
+    d = d.withColumn("repeats", F.expr(f"cast(floor(uses) + (floor(before + place * {frac} + 0.5 + 1e-9) - floor(before + (place - 1) * {frac} + 0.5 + 1e-9)) as bigint)"))
     return d.where("repeats > 0").select("mix_name", "doc_id", "skey", "lang", "topic", "tokens", "repeats")
 
 

@@ -99,3 +99,40 @@ def test_rare_categories_are_taken_together(spark, monkeypatch):
     got = M.mix(M.prepare(d, topic="t"), t)
     assert got.select("skey", "lang", "topic").distinct().count() <= 8 and got.where("topic = 'other'").count() > 0
     assert {x.source: round(x.actual_share, 1) for x in M.shares(got, t).collect()} == {"big": 0.5, "mid": 0.5}
+
+
+def test_many_cells_stay_apart(spark):
+    t = spark.createDataFrame([("m", "a", 0.6, 2), ("m", "b", 0.4, 1)], "mix_name string, source string, target_share double, max_repeats int")
+    p = spark.range(210_000).selectExpr("id as doc_id", "if(id % 2 = 0, 'a', 'b') as skey", "'en' as lang", "concat('t', id) as topic", "20 + id % 7 as tokens")
+    got = M.mix(p, t)
+    assert got.where("topic != concat('t', doc_id)").count() == 0 and got.count() > 100_000
+    assert all(abs(x.actual_share - x.target_share) < 1e-3 for x in M.shares(got, t).collect())
+
+
+def test_sampling_runs_on_through_a_large_source(spark):
+    t = spark.createDataFrame([("m", "a", 0.5, 1), ("m", "b", 0.5, 3)], "mix_name string, source string, target_share double, max_repeats int")
+    p = spark.range(63_000).selectExpr("id as doc_id", "if(id % 3 > 0, 'a', 'b') as skey", "if(id % 5 = 0, 'de', 'en') as lang", "concat('t', id % 7) as topic", "100 + id as tokens")
+    got = M.mix(p, t)
+    d = p.join(got.select("doc_id", "repeats"), "doc_id", "left").fillna(0, "repeats").toPandas().sort_values(["skey", "lang", "topic", "tokens"])
+    # Within a cell of equal uses, any two runs of as many documents in order are used as often, but for one.
+    for _, c in d.groupby(["skey", "lang", "topic"]):
+        total = c["repeats"].cumsum().to_numpy()
+        for k in (10, 100, 1000):
+            runs = total[k:] - total[:-k]
+            assert len(runs) == 0 or runs.max() - runs.min() <= 1
+
+
+def test_same_results_by_any_plan(spark, monkeypatch):
+    t = spark.createDataFrame([("m", "big", 0.5, 1), ("m", "mid", 0.3, 2), ("n", "mid", 1.0, 3)], "mix_name string, source string, target_share double, max_repeats int")
+    p = M.prepare(docs(spark, 900).withColumn("t", F.concat(F.lit("t"), (F.col("doc_id") % 20).cast("string"))), topic="t")
+    p.cache()
+    whole = sorted(M.mix(p, t, size=9000.0).collect())
+    monkeypatch.setattr(M, "BLOCK", 7)
+    monkeypatch.setattr(M, "BROADCAST_CELLS", 0)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 9)
+    try:
+        assert sorted(M.mix(p.repartition(5), t, size=9000.0).collect()) == whole
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        p.unpersist()
